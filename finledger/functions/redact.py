@@ -5,11 +5,9 @@ Documents travel as VARIANT, so members this library does not know about survive
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finledger.functions.scalars import to_json_text
-
 MARKER = "***REDACTED***"
 
 # Members of a payment document that are never kept in raw JSON.
@@ -40,38 +38,37 @@ def _tree(paths: tuple[str, ...]) -> dict:
     return root
 
 
-def _present(v: Column) -> Column:
-    return v.isNotNull() & ~F.is_variant_null(v)
-
-
-def _redact_object(v: Column, tree: dict) -> Column:
+def _redact_object(v: str, tree: dict, depth: int = 0) -> str:
     """Redact the members named in ``tree``; anything that is not an object passes through."""
-
-    def member(key: Column, value: Column) -> Column:
-        out = value
-        for name, below in tree.items():
-            new = _redact_object(value, below) if below else F.lit(MARKER).cast("variant")
-            out = F.when((key == name) & _present(value), new).otherwise(out)
-        return out
-
-    fields = F.try_variant_get(v, "$", "map<string,variant>")
-    return F.coalesce(F.to_variant_object(F.transform_values(fields, member)), v)
-
-
-def redact_variant(v: Column, paths: tuple[str, ...] = PAYMENT_PATHS) -> Column:
+    key, value = f"k{depth}", f"x{depth}"
+    cases = []
+    for name, below in tree.items():
+        new = _redact_object(value, below, depth + 1) if below else f"CAST('{MARKER}' AS VARIANT)"
+        cases.append(
+            f"WHEN {key} = '{name}' AND {value} IS NOT NULL AND NOT is_variant_null({value}) THEN {new}"
+        )
+    fields = f"try_variant_get({v}, '$', 'map<string,variant>')"
+    member = f"({key}, {value}) -> CASE {' '.join(cases)} ELSE {value} END"
+    return f"coalesce(to_variant_object(transform_values({fields}, {member})), {v})"
+
+
+def redact_variant(v: str, paths: tuple[str, ...] = PAYMENT_PATHS) -> str:
+    """SQL text: the variant ``v`` (a column name or SQL text) redacted."""
     return _redact_object(v, _tree(paths))
 
 
-def redact_array(v: Column, paths: tuple[str, ...] = PAYMENT_PATHS) -> Column:
-    """Each object of a JSON array redacted; other elements unchanged."""
-    items = F.try_variant_get(v, "$", "array<variant>")
-    return F.to_variant_object(F.transform(items, lambda x: redact_variant(x, paths)))
+def redact_array(v: str, paths: tuple[str, ...] = PAYMENT_PATHS) -> str:
+    """SQL text: each object of a JSON array redacted; other elements unchanged, NULL if
+    ``v`` is no array."""
+    items = f"try_variant_get({v}, '$', 'array<variant>')"
+    return f"to_variant_object(transform({items}, item -> {redact_variant('item', paths)}))"
 
 
-def redact_payment(body: Column, paths: tuple[str, ...] = PAYMENT_PATHS) -> Column:
-    """JSON text in, redacted JSON text out; text that is not JSON becomes NULL."""
-    v = F.try_parse_json(body)
-    return F.to_json(F.coalesce(redact_array(v, paths), redact_variant(v, paths)))
+def redact_payment(body: str, paths: tuple[str, ...] = PAYMENT_PATHS) -> str:
+    """SQL text: the JSON text ``body`` redacted; text that is not JSON becomes NULL."""
+    redacted = f"to_json(coalesce({redact_array('doc', paths)}, {redact_variant('doc', paths)}))"
+    # the one-element array makes the text be parsed once, not once per use
+    return f"element_at(transform(array(try_parse_json({body})), doc -> {redacted}), 1)"
 
 
 def redact_bank(df: DataFrame, columns: tuple[str, ...] = BANK_COLUMNS) -> DataFrame:
@@ -80,10 +77,9 @@ def redact_bank(df: DataFrame, columns: tuple[str, ...] = BANK_COLUMNS) -> DataF
     return df.withColumns(masked) if masked else df
 
 
-def bank_raw_json(df: DataFrame, columns: tuple[str, ...] = BANK_COLUMNS) -> Column:
-    """JSON text of the whole normalised row with the tax ids masked."""
+def bank_raw_json(columns: list[str], masked: tuple[str, ...] = BANK_COLUMNS) -> str:
+    """SQL text: JSON of the whole normalised row with the tax ids masked, NULLs kept."""
     fields = [
-        F.when(F.col(c).isNotNull(), F.lit(MARKER)).alias(c) if c in columns else F.col(c)
-        for c in df.columns
+        f"'{c}', " + (f"if({c} IS NULL, NULL, '{MARKER}')" if c in masked else c) for c in columns
     ]
-    return to_json_text(F.struct(*fields))
+    return f"to_json(named_struct({', '.join(fields)}), map('ignoreNullFields', 'false'))"

@@ -1,4 +1,7 @@
-"""Scalar cleaning, typing and hashing: Column in, Column out, JVM side only."""
+"""Scalar cleaning, typing and hashing, JVM side only.
+
+Column in, Column out; most also take SQL text and return SQL text.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A column, or SQL text of one.
+Expr = Column | str
+
 # The characters that count as whitespace when text is trimmed.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -24,13 +30,36 @@ FALLBACK_FORMATS = (
 )
 
 
-def strip(c: Column) -> Column:
-    return F.btrim(c.cast("string"), F.lit(WHITESPACE))
+def call(name: str, *args: Expr) -> Expr:
+    """A built-in function over columns, or over SQL text when all arguments are text.
+
+    Text keeps wide projections cheap to build: a table of sixty columns becomes one
+    ``selectExpr`` instead of hundreds of calls into the JVM.
+    """
+    if all(isinstance(a, str) for a in args):
+        return f"{name}({', '.join(args)})"
+    return F.call_function(name, *[F.expr(a) if isinstance(a, str) else a for a in args])
+
+
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def cast(c: Expr, dtype: str) -> Expr:
+    return f"CAST({c} AS {dtype})" if isinstance(c, str) else c.cast(dtype)
+
+
+def try_cast(c: Expr, dtype: str) -> Expr:
+    return f"try_cast({c} AS {dtype})" if isinstance(c, str) else c.try_cast(dtype)
+
 
+def strip(c: Expr) -> Expr:
+    return call("btrim", cast(c, "string"), text_literal(WHITESPACE))
 
-def clean(c: Column) -> Column:
+
+def clean(c: Expr) -> Expr:
     """Trimmed text; blank becomes NULL."""
-    return F.nullif(strip(c), F.lit(""))
+    return call("nullif", strip(c), "''")
 
 
 def clean_number(c: Column) -> Column:
@@ -38,17 +67,31 @@ def clean_number(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def to_str(c: Column) -> Column:
+def to_str(c: Expr) -> Expr:
     """Identifier text: trimmed, blank to NULL, zero kept, ``12345.0`` read as ``12345``."""
-    return F.regexp_replace(clean(c), r"^(-?\d+)\.0+$", "$1")
+    text = clean(c)
+    whole = call("regexp_replace", text, text_literal(r"^(-?\d+)\.0+$"), "'$1'")
+    return call("if", call("contains", text, "'.0'"), whole, text)
+
+
+def read_as(c: Expr, dtype: str) -> Expr:
+    """Text as another type, NULL when it cannot be read. The plain cast comes first;
+    trimming is left to the few texts it does not take."""
+    return call("coalesce", try_cast(c, dtype), try_cast(strip(c), dtype))
+
 
+def read_id(c: Expr, dtype: str = "bigint") -> Expr:
+    """Identifier text as a whole number."""
+    return call("coalesce", try_cast(c, dtype), try_cast(to_str(c), dtype))
 
-def to_bool(c: Column) -> Column:
+
+def to_bool(c: Expr) -> Expr:
     """Boolean from text tokens; any other text is NULL."""
-    text = F.lower(strip(c))
-    return F.when(text.isin(*TRUE_TOKENS), F.lit(True)).when(
-        text.isin(*FALSE_TOKENS), F.lit(False)
-    )
+    text = call("lower", strip(c))
+    known = {True: TRUE_TOKENS, False: FALSE_TOKENS}
+    yes, no = (call("array_contains", call("array", *map(text_literal, known[v])), text)
+               for v in (True, False))
+    return call("if", yes, "true", call("if", no, "false", "CAST(NULL AS BOOLEAN)"))
 
 
 def number_to_bool(c: Column) -> Column:
@@ -56,36 +99,42 @@ def number_to_bool(c: Column) -> Column:
     return clean_number(c) != 0
 
 
-def parse_ts_drop_zone(c: Column, formats: Sequence[str] = FALLBACK_FORMATS) -> Column:
+def parse_ts_drop_zone(c: Expr, formats: Sequence[str] = FALLBACK_FORMATS) -> Expr:
     """Wall-clock timestamp: the offset is dropped, not applied. Unreadable text is NULL."""
-    text = clean(c)
-    tries = [text.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*tries)
+    text = strip(c)
+    tries = [try_cast(c, "timestamp_ntz"), try_cast(text, "timestamp_ntz")]
+    tries += [
+        cast(call("try_to_timestamp", text, text_literal(f)), "timestamp_ntz") for f in formats
+    ]
+    return call("coalesce", *tries)
 
 
-def parse_ts_utc(c: Column) -> Column:
+def parse_ts_utc(c: Expr) -> Expr:
     """UTC timestamp without zone: the offset is applied, then dropped (session zone is UTC)."""
-    return clean(c).try_cast("timestamp").cast("timestamp_ntz")
+    return cast(read_as(c, "timestamp"), "timestamp_ntz")
 
 
-def canonical_ts(c: Column) -> Column:
+def canonical_ts(c: Expr) -> Expr:
     """One spelling per instant for hashing; unreadable text stays as it came."""
-    return F.coalesce(parse_ts_drop_zone(c).cast("string"), clean(c))
+    return call("coalesce", cast(parse_ts_drop_zone(c), "string"), clean(c))
 
 
-def canonical_amount(c: Column) -> Column:
+def canonical_amount(c: Expr) -> Expr:
     """Amounts hash as two-decimal text whatever their source spelling."""
-    return F.coalesce(clean(c).try_cast("decimal(18,2)").cast("string"), clean(c))
+    return call("coalesce", cast(read_as(c, "decimal(18,2)"), "string"), clean(c))
+
+
+def canonical_int(c: Expr) -> Expr:
+    return call("coalesce", cast(read_id(c, "int"), "string"), clean(c))
 
 
-def parts_text(*parts: Column) -> Column:
+def parts_text(*parts: Expr) -> Expr:
     """The text that is hashed: NULL counts as empty, so no part can shift left."""
-    return F.concat_ws("|", *[F.coalesce(strip(p), F.lit("")) for p in parts])
+    return call("concat_ws", "'|'", *[call("coalesce", strip(p), "''") for p in parts])
 
 
-def sha256_of_parts(*parts: Column) -> Column:
-    return F.sha2(parts_text(*parts), 256)
+def sha256_of_parts(*parts: Expr) -> Expr:
+    return call("sha2", parts_text(*parts), "256")
 
 
 def to_json_text(c: Column) -> Column:
@@ -100,9 +149,9 @@ def safe_get(c: Column, *path: str, default: Column | None = None) -> Column:
     return c if default is None else F.coalesce(c, default)
 
 
-def first_nonzero(a: Column, b: Column) -> Column:
+def first_nonzero(a: Expr, b: Expr) -> Expr:
     """``a`` unless it is missing or zero, else ``b``."""
-    return F.coalesce(F.nullif(a, F.lit(0)), b)
+    return call("coalesce", call("nullif", a, "0"), b)
 
 
 def first_nonblank(*cols: Column) -> Column:

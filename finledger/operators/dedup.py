@@ -7,28 +7,30 @@ The ordinal must be free of ties for the choice to be reproducible.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(
-    choose: Callable, df: DataFrame, keys: Sequence[str], ordinal: Sequence[str | Column]
-) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), F.struct(*ordinal)).alias("__row"))
-    return picked.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+def _pick(choose: str, df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> DataFrame:
+    rest = [f"`{c}`" for c in df.columns if c not in keys]
+    order = [f"`{c}`" for c in ordinal]
+    row = F.expr(f"{choose}(struct({', '.join(rest)}), struct({', '.join(order)}))")
+    picked = df.groupBy(*keys).agg(row.alias("__row"))
+    return picked.selectExpr(
+        *[f"`{c}`" if c in keys else f"__row.`{c}` AS `{c}`" for c in df.columns]
+    )
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str | Column]) -> DataFrame:
+def keep_last(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> DataFrame:
     """The latest row of each key: a later delivery replaces an earlier one."""
-    return _pick(F.max_by, df, keys, ordinal)
+    return _pick("max_by", df, keys, ordinal)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str | Column]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str]) -> DataFrame:
     """The earliest row of each key: re-read rows of overlapping windows collapse."""
-    return _pick(F.min_by, df, keys, ordinal)
+    return _pick("min_by", df, keys, ordinal)
 
 
 def latest_per(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finledger.functions.scalars import first_nonzero, parse_ts_drop_zone, to_str
 from finledger.functions.redact import redact_payment
+from finledger.functions.scalars import first_nonzero, parse_ts_drop_zone, read_id, to_str
+from finledger.schemas import SPECS
 from finledger.sources import aliases as A
 from finledger.sources.conform import rename_fields
 
@@ -27,20 +28,23 @@ def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if n in df.columns]
 
 
-def _members(nested: Column, dataset: str, prefix: str) -> dict[str, Column]:
-    return {
-        f"{prefix}_{name}": F.coalesce(*[nested[n] for n in (name, *others)])
+def _members(nested: Sequence[str], dataset: str, prefix: str) -> list[str]:
+    """SQL text of each member: the first name that holds a value in the first object."""
+    return [
+        "coalesce(" + ", ".join(f"{o}.`{n}`" for o in nested for n in (name, *others))
+        + f") AS `{prefix}_{name}`"
         for name, others in A.alias_map(dataset).items()
-    }
+    ]
 
 
-def flatten_account(df: DataFrame, prefix: str, *sources: str) -> DataFrame:
+def flatten_account(df: DataFrame, prefix: str, *sources: str, dataset: str = "nested_account") -> DataFrame:
     """The first of the source objects that is there, as ``prefix_*`` columns."""
     found = _present(df, sources)
     if not found:
         return df
-    nested = F.coalesce(*[F.col(n) for n in found])
-    return df.withColumns(_members(nested, "nested_account", prefix)).drop(*found)
+    one = f"coalesce({', '.join(found)})"
+    df = df.selectExpr(*[f"`{c}`" for c in df.columns if c not in found], f"{one} AS __nested")
+    return df.selectExpr("*", *_members(["__nested"], dataset, prefix)).drop("__nested")
 
 
 def flatten_blob(df: DataFrame, prefix: str, fields: Sequence[str], *sources: str) -> DataFrame:
@@ -52,12 +56,13 @@ def flatten_blob(df: DataFrame, prefix: str, fields: Sequence[str], *sources: st
     found = _present(df, sources)
     if not found:
         return df
-    text = F.coalesce(*[F.col(n) for n in found])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in fields])
-    parsed = F.from_json(text, schema)
-    columns = {f"{prefix}_{n}": parsed[n] for n in fields}
-    out = df.withColumns({**columns, "__blob": text}).drop(*found)
-    return out.withColumnRenamed("__blob", prefix)
+    text = f"coalesce({', '.join(found)})"
+    schema = ", ".join(f"{n} STRING" for n in fields)
+    df = df.selectExpr(
+        *[f"`{c}`" for c in df.columns if c not in found], f"{text} AS `{prefix}`",
+        f"from_json({text}, '{schema}') AS __parsed",
+    )
+    return df.selectExpr("*", *[f"__parsed.`{n}` AS `{prefix}_{n}`" for n in fields]).drop("__parsed")
 
 
 def transfers(df: DataFrame) -> DataFrame:
@@ -74,10 +79,7 @@ def vouchers(df: DataFrame) -> DataFrame:
     df = flatten_account(df, "debit_account", *A.DEBIT_NAMES)
     df = flatten_blob(df, "billing_company", A.BILLING_FIELDS, *A.BILLING_NAMES)
     df = flatten_blob(df, "paying_customer", A.PAYING_FIELDS, *A.PAYING_NAMES)
-    tax = _present(df, A.TAX_NAMES)
-    if tax:
-        nested = F.coalesce(*[F.col(n) for n in tax])
-        df = df.withColumns(_members(nested, "tax_block", "afip")).drop(*tax)
+    df = flatten_account(df, "afip", *A.TAX_NAMES, dataset="tax_block")
     return rename_fields(df, A.alias_map("voucher"))
 
 
@@ -96,11 +98,11 @@ def balances(df: DataFrame) -> DataFrame:
     now = df.schema["balances"].dataType.names
     names = ("operation_date", "day_balance", "total_debits", "total_credits")
     fixed = {"balances", "historical_balances", "is_historical", *now, *names}
-    out = df.withColumn("__row", F.explode(tagged)).select(
-        *[c for c in df.columns if c not in fixed],
-        *[F.col("balances")[n].alias(n) for n in now],
-        *[F.col("__row.h")[n].alias(n) for n in names],
-        F.col("__row.flag").alias("is_historical"),
+    out = df.withColumn("__row", F.explode(tagged)).selectExpr(
+        *[f"`{c}`" for c in df.columns if c not in fixed],
+        *[f"balances.`{n}` AS `{n}`" for n in now],
+        *[f"__row.h.`{n}` AS `{n}`" for n in names],
+        "__row.flag AS is_historical",
     )
     return rename_fields(out, A.alias_map("balance"))
 
@@ -121,12 +123,10 @@ def statements(df: DataFrame) -> DataFrame:
     names = element.names
     carried = [c for c in df.columns
                if c not in names and c not in ("movement_detail", "movements_detail")]
-    out = out.select(
+    out = out.selectExpr(
         *carried,
-        *[
-            (F.coalesce(F.col("__mov")[n], F.col(n)) if n in header else F.col("__mov")[n]).alias(n)
-            for n in names
-        ],
+        *[(f"coalesce(__mov.`{n}`, `{n}`)" if n in header else f"__mov.`{n}`") + f" AS `{n}`"
+          for n in names],
     )
     return rename_fields(out, A.alias_map("extract"))
 
@@ -198,10 +198,6 @@ _NESTED_FROM = {
 }
 
 
-def _id(c: Column) -> Column:
-    return to_str(c).try_cast("bigint")
-
-
 def read_payment(df: DataFrame, body: str = "body") -> DataFrame:
     """The payment document next to its parsed form ``p``."""
     return df.withColumn("p", F.from_json(F.col(body), PAYMENT_RECORD))
@@ -209,71 +205,63 @@ def read_payment(df: DataFrame, body: str = "body") -> DataFrame:
 
 def payment_parent(df: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """One row per payment document with the columns of the payments table."""
-    from finledger.schemas import SPECS
-
-    p = F.col("p")
+    spec = SPECS["mp_payments"]
     special = {
-        "collector_id": first_nonzero(_id(p["collector_id"]), _id(p["collector"]["id"])),
-        "payer_id": first_nonzero(_id(p["payer_id"]), _id(p["payer"]["id"])),
-        "raw_json": redact_payment(F.col(body)),
+        "collector_id": first_nonzero(read_id("p.collector_id"), read_id("p.collector.id")),
+        "payer_id": first_nonzero(read_id("p.payer_id"), read_id("p.payer.id")),
+        "raw_json": redact_payment(body),
     }
-    out = [_id(p["id"]).alias("payment_id")]
-    schema = SPECS["mp_payments"].schema
-    for name in SPECS["mp_payments"].update_cols:
-        if name in special:
-            value = special[name]
-        else:
-            value = F.col("p." + ".".join(f"`{x}`" for x in _NESTED_FROM.get(name, name).split(".")))
-            if isinstance(schema[name].dataType, T.TimestampNTZType):
-                value = parse_ts_drop_zone(value)
-        out.append(value.alias(name))
-    return df.select(*keep, *out)
+    out = [f"{read_id('p.id')} AS payment_id"]
+    for name in spec.update_cols:
+        value = special.get(name) or f"p.{_NESTED_FROM.get(name, name)}".replace(".order.", ".`order`.")
+        if isinstance(spec.schema[name].dataType, T.TimestampNTZType):
+            value = parse_ts_drop_zone(value)
+        out.append(f"{value} AS {name}")
+    return df.selectExpr(*keep, *out)
 
 
 def payment_charges(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per entry of ``charges_details``."""
-    df = df.select(*keep, _id(F.col("p.id")).alias("payment_id"),
-                   F.explode("p.charges_details").alias("c"))
-    c, meta = F.col("c"), F.col("c")["metadata"]
-    return df.select(
+    df = df.selectExpr(*keep, f"{read_id('p.id')} AS payment_id", "explode(p.charges_details) AS c")
+    return df.selectExpr(
         *keep,
         "payment_id",
-        to_str(c["id"]).alias("charge_id"),
-        c["type"].alias("charge_type"),
-        c["name"].alias("charge_name"),
-        c["accounts"]["from"].alias("account_from"),
-        c["accounts"]["to"].alias("account_to"),
-        c["amounts"]["original"].alias("amount_original"),
-        c["amounts"]["refunded"].alias("amount_refunded"),
-        c["base_amount"].alias("base_amount"),
-        c["rate"].alias("rate"),
-        _id(c["reserve_id"]).alias("reserve_id"),
-        _id(c["client_id"]).alias("client_id"),
-        _id(meta["tax_id"]).alias("tax_id"),
-        meta["tax_status"].alias("tax_status"),
-        meta["mov_detail"].alias("mov_detail"),
-        meta["mov_financial_entity"].alias("mov_financial_entity"),
-        meta["mov_type"].alias("mov_type"),
-        _id(meta["user_id"]).alias("metadata_user_id"),
-        meta["source"].alias("metadata_source"),
-        parse_ts_drop_zone(c["date_created"]).alias("charge_date_created"),
-        parse_ts_drop_zone(c["last_updated"]).alias("charge_last_updated"),
+        f"{to_str('c.id')} AS charge_id",
+        "c.type AS charge_type",
+        "c.name AS charge_name",
+        "c.accounts.`from` AS account_from",
+        "c.accounts.`to` AS account_to",
+        "c.amounts.original AS amount_original",
+        "c.amounts.refunded AS amount_refunded",
+        "c.base_amount",
+        "c.rate",
+        f"{read_id('c.reserve_id')} AS reserve_id",
+        f"{read_id('c.client_id')} AS client_id",
+        f"{read_id('c.metadata.tax_id')} AS tax_id",
+        "c.metadata.tax_status",
+        "c.metadata.mov_detail",
+        "c.metadata.mov_financial_entity",
+        "c.metadata.mov_type",
+        f"{read_id('c.metadata.user_id')} AS metadata_user_id",
+        "c.metadata.source AS metadata_source",
+        f"{parse_ts_drop_zone('c.date_created')} AS charge_date_created",
+        f"{parse_ts_drop_zone('c.last_updated')} AS charge_last_updated",
     )
 
 
 def payment_items(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per entry of ``additional_info.items``."""
-    df = df.select(*keep, _id(F.col("p.id")).alias("payment_id"),
-                   F.explode("p.additional_info.items").alias("i"))
-    i = F.col("i")
-    return df.select(
+    df = df.selectExpr(
+        *keep, f"{read_id('p.id')} AS payment_id", "explode(p.additional_info.items) AS i"
+    )
+    return df.selectExpr(
         *keep,
         "payment_id",
-        to_str(i["id"]).alias("item_id"),
-        to_str(i["category_id"]).alias("category_id"),
-        i["title"].alias("title"),
-        i["description"].alias("description"),
-        i["quantity"].alias("quantity"),
-        i["unit_price"].alias("unit_price"),
-        i["picture_url"].alias("picture_url"),
+        f"{to_str('i.id')} AS item_id",
+        f"{to_str('i.category_id')} AS category_id",
+        "i.title",
+        "i.description",
+        "i.quantity",
+        "i.unit_price",
+        "i.picture_url",
     )

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from finledger.functions.scalars import (
     canonical_amount,
+    canonical_int,
     canonical_ts,
-    clean,
+    cast,
     parts_text,
     sha256_of_parts,
     to_bool,
@@ -23,45 +24,39 @@ from finledger.functions.scalars import (
 from finledger.operators.ranking import index_in_group
 
 
-def _integer(c: Column) -> Column:
-    return F.coalesce(to_str(c).try_cast("int").cast("string"), clean(c))
-
-
-def balance_key() -> Column:
+def balance_key() -> str:
+    """SQL text of the key, like the others below."""
     return sha256_of_parts(
-        _integer(F.col("bank_number")), to_str(F.col("account_number")), F.col("account_type"),
-        F.col("currency"), canonical_ts(F.col("row_date")), canonical_ts(F.col("operation_date")),
-        to_bool(F.col("is_historical")).cast("string"), canonical_amount(F.col("day_balance")),
+        canonical_int("bank_number"), to_str("account_number"), "account_type", "currency",
+        canonical_ts("row_date"), canonical_ts("operation_date"),
+        cast(to_bool("is_historical"), "string"), canonical_amount("day_balance"),
     )
 
 
-def movement_key() -> Column:
+def movement_key() -> str:
     """Key of a settled movement."""
     return sha256_of_parts(
-        to_str(F.col("source_account")), to_str(F.col("voucher_number")),
-        canonical_ts(F.col("process_date")), canonical_amount(F.col("amount")),
-        F.col("debit_credit_type"), F.col("operation_code_ib"),
-        to_str(F.col("branch_office_activity")), to_str(F.col("correlative_number")),
+        to_str("source_account"), to_str("voucher_number"), canonical_ts("process_date"),
+        canonical_amount("amount"), "debit_credit_type", "operation_code_ib",
+        to_str("branch_office_activity"), to_str("correlative_number"),
     )
 
 
-def extract_key() -> Column:
+def extract_key() -> str:
     return sha256_of_parts(
-        to_str(F.col("statement_number")), to_str(F.col("source_account")),
-        to_str(F.col("voucher_number")), canonical_ts(F.col("process_date")),
-        canonical_amount(F.col("amount")), F.col("debit_credit_type"),
-        to_str(F.col("correlative_number")),
+        to_str("statement_number"), to_str("source_account"), to_str("voucher_number"),
+        canonical_ts("process_date"), canonical_amount("amount"), "debit_credit_type",
+        to_str("correlative_number"),
     )
 
 
-def provisional_parts() -> list[Column]:
+def provisional_text() -> str:
     """What makes two same-day movements identical, the arrival index aside."""
-    return [
-        F.lit("dia"), to_str(F.col("source_account")), canonical_ts(F.col("process_date")),
-        canonical_amount(F.col("amount")), F.col("debit_credit_type"),
-        F.col("operation_code_ib"), to_str(F.col("branch_office_activity")),
-        to_str(F.col("voucher_number")), to_str(F.col("correlative_number")),
-    ]
+    return parts_text(
+        "'dia'", to_str("source_account"), canonical_ts("process_date"),
+        canonical_amount("amount"), "debit_credit_type", "operation_code_ib",
+        to_str("branch_office_activity"), to_str("voucher_number"), to_str("correlative_number"),
+    )
 
 
 def provisional_key(df: DataFrame, order: Sequence[str | Column], block: Column) -> DataFrame:
@@ -71,7 +66,7 @@ def provisional_key(df: DataFrame, order: Sequence[str | Column], block: Column)
     keeps the index of the movements already seen, hence their keys. ``block`` cuts the
     arrival order into bounded stretches (see ``index_in_group``).
     """
-    grouped = df.withColumn("__text", parts_text(*provisional_parts()))
+    grouped = df.withColumn("__text", F.expr(provisional_text()))
     ranked = index_in_group(grouped, ["__text"], order, block, "seq")
     text = F.concat_ws("|", F.col("__text"), F.col("seq").cast("string"))
     return ranked.withColumn("movement_hash", F.sha2(text, 256)).drop("__text")

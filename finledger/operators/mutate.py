@@ -33,27 +33,26 @@ def merge_upsert(
     """
     keys, update_cols = list(keys), list(update_cols)
     require_columns(source, [*keys, *update_cols], context)
-    new = source.select(
-        *keys, *[F.col(c).alias(f"__new_{c}") for c in [*update_cols, *insert_only]],
-        F.lit(True).alias("__hit"),
+    new = source.selectExpr(
+        *keys, *[f"`{c}` AS `__new_{c}`" for c in [*update_cols, *insert_only]], "true AS __hit"
     )
     both = target.withColumn("__old", F.lit(True)).join(new, keys, "full_outer")
-    hit, fresh = F.col("__hit").isNotNull(), F.col("__old").isNull()
+    both = both.withColumn("__as_of", as_of)
     out = []
     for field in target.schema:
-        c = F.col(field.name)
+        c, kind = f"`{field.name}`", field.dataType.simpleString()
         if field.name in update_cols:
-            c = F.when(hit, F.col(f"__new_{field.name}").cast(field.dataType)).otherwise(c)
+            c = f"if(__hit IS NOT NULL, CAST(`__new_{field.name}` AS {kind}), {c})"
         elif field.name in insert_only:
-            c = F.when(fresh, F.col(f"__new_{field.name}")).otherwise(c)
+            c = f"if(__old IS NULL, CAST(`__new_{field.name}` AS {kind}), {c})"
         elif field.name == touch:
-            c = F.when(hit, as_of).otherwise(c)
+            c = f"if(__hit IS NOT NULL, __as_of, {c})"
         elif field.name in stamps:
-            c = F.when(fresh, as_of).otherwise(c)
-        out.append(c.alias(field.name))
+            c = f"if(__old IS NULL, __as_of, {c})"
+        out.append(f"{c} AS `{field.name}`")
     if flag:
-        out.append(hit.alias(flag))
-    return both.select(*out)
+        out.append(f"__hit IS NOT NULL AS {flag}")
+    return both.selectExpr(*out)
 
 
 def skip_unchanged(source: DataFrame, target: DataFrame, key: str, version: str) -> DataFrame:

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finledger.functions.redact import bank_raw_json
-from finledger.functions.scalars import clean, parse_ts_drop_zone, to_bool, to_str
+from finledger.functions.scalars import (
+    clean,
+    parse_ts_drop_zone,
+    read_as,
+    read_id,
+    to_bool,
+    to_str,
+)
 from finledger.operators.keys import balance_key, extract_key, movement_key, provisional_key
 from finledger.schemas import SPECS
 from finledger.sources.conform import conform
@@ -44,8 +51,8 @@ ID_COLUMNS = {
 }
 
 
-def typed(c: Column, dtype: T.DataType, is_id: bool = False) -> Column:
-    """Wire text as the target type; what cannot be read becomes NULL."""
+def typed(c: str, dtype: T.DataType, is_id: bool = False) -> str:
+    """SQL text: wire text as the target type; what cannot be read becomes NULL."""
     if isinstance(dtype, T.StringType):
         return to_str(c) if is_id else clean(c)
     if isinstance(dtype, T.TimestampNTZType):
@@ -53,8 +60,8 @@ def typed(c: Column, dtype: T.DataType, is_id: bool = False) -> Column:
     if isinstance(dtype, T.BooleanType):
         return to_bool(c)
     if isinstance(dtype, T.DecimalType):
-        return clean(c).try_cast(dtype)
-    return to_str(c).try_cast(dtype)
+        return read_as(c, dtype.simpleString())
+    return read_id(c, dtype.simpleString())
 
 
 def normalize(
@@ -90,23 +97,24 @@ def normalize(
     if dataset == "movement" and feed == "dia":
         df = provisional_key(df, extra_order[:-1], F.col("__b")).drop("seq")
     elif dataset == "movement":
-        df = df.withColumn("movement_hash", movement_key())
+        df = df.withColumn("movement_hash", F.expr(movement_key()))
     elif dataset == "balance":
-        df = df.withColumn("balance_hash", balance_key())
+        df = df.withColumn("balance_hash", F.expr(balance_key()))
     elif dataset == "extract":
-        df = df.withColumn("extract_hash", extract_key())
+        df = df.withColumn("extract_hash", F.expr(extract_key()))
 
-    columns = {
-        c: typed(F.col(c), schema[c].dataType, c in ids) for c in natural + payload
-    }
+    columns = {c: typed(c, schema[c].dataType, c in ids) for c in natural + payload}
     if dataset == "movement":
-        columns["movement_source"] = F.lit(feed)
+        columns["movement_source"] = f"'{feed}'"
         if feed == "dia":
-            columns["movement_date"] = F.coalesce(
-                columns["movement_date"], columns["process_date"], as_of
+            df = df.withColumn("__as_of", as_of)
+            columns["movement_date"] = (
+                f"coalesce({columns['movement_date']}, {columns['process_date']}, __as_of)"
             )
     hashes = [k for k in spec.keys if k.endswith("_hash")]
-    df = df.select(*extra, *hashes, *[v.alias(c) for c, v in columns.items()])
+    df = df.selectExpr(*extra, *hashes, *[f"{v} AS {c}" for c, v in columns.items()])
     shown = [c for c in df.columns if c not in keep or c in payload]
-    df = df.withColumn("raw_json", bank_raw_json(df.select(*shown)))
-    return df.select(*spec.keys, *spec.update_cols, *[c for c in keep if c in extra])
+    return df.selectExpr(
+        *spec.keys, *[c for c in spec.update_cols if c != "raw_json"],
+        f"{bank_raw_json(shown)} AS raw_json", *[c for c in keep if c in extra],
+    ).select(*spec.keys, *spec.update_cols, *[c for c in keep if c in extra])

@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from finledger.registry import bank, payments  # noqa: F401
+from finledger.registry.core import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -16,12 +15,12 @@ def rename_fields(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFr
     """
     have = set(df.columns)
     consumed = {a for others in aliases.values() for a in others}
-    out = [F.col(c) for c in df.columns if c not in consumed and c not in aliases]
+    out = [f"`{c}`" for c in df.columns if c not in consumed and c not in aliases]
     for name, others in aliases.items():
-        present = [F.col(c) for c in (name, *others) if c in have]
+        present = [f"`{c}`" for c in (name, *others) if c in have]
         if present:
-            out.append(F.coalesce(*present).alias(name))
-    return df.select(*out)
+            out.append(f"coalesce({', '.join(present)}) AS `{name}`")
+    return df.selectExpr(*out)
 
 
 def conform(df: DataFrame, schema: T.StructType | Sequence[str]) -> DataFrame:
@@ -32,9 +31,10 @@ def conform(df: DataFrame, schema: T.StructType | Sequence[str]) -> DataFrame:
     if not isinstance(schema, T.StructType):
         schema = T.StructType([T.StructField(n, T.StringType()) for n in schema])
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()})"
+            f" AS `{f.name}`"
             for f in schema
         ]
     )
