@@ -6,7 +6,7 @@ text stays STRING at rest.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -164,7 +164,7 @@ class TableSpec:
     not_null: tuple[str, ...] = ()
     unique: tuple[tuple[str, ...], ...] = ()  # further unique keys, checked where not null
     partition_by: str | None = None  # low-cardinality column kept as the outer folder
-    buckets: int = 64
+    buckets: int = 16  # see scaled_specs
 
     @property
     def schema(self) -> T.StructType:
@@ -200,6 +200,13 @@ SPECS: dict[str, TableSpec] = {
     )
 }
 
+
+def scaled_specs(buckets: int, specs: dict[str, TableSpec] = SPECS) -> dict[str, TableSpec]:
+    """The same tables with another number of buckets: about one gigabyte per bucket is
+    right, so a table of 10 TB wants some 10,000. Fixed for the life of a table."""
+    return {name: replace(spec, buckets=buckets) for name, spec in specs.items()}
+
+
 # Children before parents: the order in which tables may be emptied.
 RESET_ORDER = (
     "mp_payment_charges", "mp_payment_items", "ib_vouchers", "mp_payments", "ib_transfers",

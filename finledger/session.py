@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # no call-site capture per column expression: wide plans are built several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

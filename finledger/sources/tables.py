@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,16 +54,16 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def create_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """An empty table unless there is one."""
+    empty = spark.createDataFrame([], stored_schema(spec))
+    empty.write.mode("ignore").partitionBy(*_folders(spec)).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, spec: TableSpec, stored: bool = False) -> DataFrame:
-    """The table's rows; an absent table is empty. ``stored`` adds batch and bucket."""
+    """The table's rows. ``stored`` adds batch and bucket."""
     schema = stored_schema(spec)
-    try:
-        df = spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        df = spark.createDataFrame([], schema)
-    df = df.select(*schema.names)
+    df = spark.read.schema(schema).parquet(path).select(*schema.names)
     return df if stored else df.drop(BATCH, BUCKET)
 
 
@@ -113,6 +112,7 @@ def upsert_table(
     touched = _touched(batch)
     if not touched:
         return
+    create_table(spark, path, spec)
     whole = read_table(spark, path, spec, stored=True)
     target = whole.where(F.col(BUCKET).isin(touched))
     if spec.partition_by:
@@ -135,38 +135,42 @@ def upsert_table(
     _write(merged, path, _folders(spec))
 
 
-def _clear_missing(spark: SparkSession, path: str, written: DataFrame, touched: Sequence[int],
-                   schema: T.StructType) -> None:
-    # a dynamic overwrite leaves a bucket alone when no row falls into it any more
-    left = set(_touched(written))
+def _write_and_clear(spark: SparkSession, path: str, df: DataFrame, touched: Sequence[int],
+                     schema: T.StructType) -> None:
+    """Rewrite the touched buckets, and empty those no row falls into any more (a dynamic
+    overwrite alone would leave them as they were)."""
+    written = Observation(f"buckets-{path}")
+    _write(df.observe(written, F.collect_set(BUCKET).alias("buckets")), path, [BUCKET])
     empty = spark.createDataFrame([], T.StructType([f for f in schema if f.name != BUCKET]))
-    for bucket in sorted(set(touched) - left):
+    for bucket in sorted(set(touched) - set(written.get["buckets"])):
         empty.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
 
 
 def replace_children_table(
     spark: SparkSession, path: str, spec: TableSpec, parents: DataFrame, new: DataFrame,
     as_of: Column, batch_id: str,
-) -> None:
-    """Children of the given parents replaced by the new ones."""
+) -> int:
+    """Children of the given parents replaced by the new ones; returns how many were written."""
     parent_key = spec.parent[0]
     parents = parents.select(parent_key).distinct().withColumn(BUCKET, bucket_of(spec))
     touched = _touched(parents)
     if not touched:
-        return
+        return 0
+    create_table(spark, path, spec)
     whole = read_table(spark, path, spec, stored=True)
     old = whole.where(F.col(BUCKET).isin(touched))
-    new = new.withColumns(
-        {spec.created: as_of, BATCH: F.lit(batch_id), BUCKET: bucket_of(spec)}
+    new = stage(
+        new.withColumns({spec.created: as_of, BATCH: F.lit(batch_id), BUCKET: bucket_of(spec)}),
+        spec.name,
     )
+    count = new.count()
     if spec.surrogate:
-        new = stage(new, spec.name)
         order = F.struct(*[F.col(c) for c in new.columns if c != spec.surrogate])
         new = assign_surrogate(whole, new.withColumn("__order", order), spec.surrogate, "__order",
                                id_block(spec)).drop("__order")
-    merged = stage(replace_children(old, parents, new, parent_key), spec.name)
-    _write(merged, path, [BUCKET])
-    _clear_missing(spark, path, merged, touched, stored_schema(spec))
+    merged = replace_children(old, parents, new, parent_key)
+    _write_and_clear(spark, path, merged, touched, stored_schema(spec))
+    return count
 
 
 def reconcile_table(
@@ -177,6 +181,7 @@ def reconcile_table(
 
     Settled partitions are neither read nor written.
     """
+    create_table(spark, path, spec)
     whole = read_table(spark, path, spec, stored=True)
     target = whole.where(F.col(spec.partition_by) == PROVISIONAL)
     batch = stage(
