@@ -143,10 +143,10 @@ _S, _B = "STRING", "BOOLEAN"
 _M = "DECIMAL(18,2)"
 _IDENT = "identification:STRUCT<type:STRING, number:STRING>"
 
-PAYMENT_RECORD = T.StructType.fromDDL(f"""
+PAYMENT_RECORD = f"""
     id {_S}, collector_id {_S}, collector STRUCT<id:{_S}>, payer_id {_S},
     payer STRUCT<id:{_S}, email:{_S}, {_IDENT}>,
-    external_reference {_S}, order STRUCT<id:{_S}, type:{_S}>, status {_S}, status_detail {_S},
+    external_reference {_S}, `order` STRUCT<id:{_S}, type:{_S}>, status {_S}, status_detail {_S},
     operation_type {_S}, payment_method_id {_S}, payment_type_id {_S},
     payment_method STRUCT<type:{_S}>, issuer_id {_S}, currency_id {_S}, installments INT,
     transaction_amount {_M}, transaction_amount_refunded {_M}, shipping_amount {_M},
@@ -170,7 +170,7 @@ PAYMENT_RECORD = T.StructType.fromDDL(f"""
         metadata:STRUCT<tax_id:{_S}, tax_status:{_S}, mov_detail:{_S},
             mov_financial_entity:{_S}, mov_type:{_S}, user_id:{_S}, source:{_S}>,
         date_created:{_S}, last_updated:{_S}>>
-""")
+"""
 
 # Where the columns that are not top-level members of the same name come from.
 _NESTED_FROM = {

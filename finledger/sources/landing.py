@@ -12,11 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PAGE_SCHEMA = T.StructType.fromDDL(
-    """source STRING, endpoint STRING, request_id STRING, account_number STRING,
+PAGE_SCHEMA = """source STRING, endpoint STRING, request_id STRING, account_number STRING,
     bank_number STRING, movement_type STRING, page INT, page_size INT,
     fetched_at TIMESTAMP_NTZ, body STRING"""
-)
 
 # Where a response keeps its records, in order of preference.
 RECORD_KEYS = (
@@ -26,13 +24,13 @@ RECORD_KEYS = (
 )
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEMA) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, schema: str | T.StructType = PAGE_SCHEMA) -> DataFrame:
     """Landed pages as JSON lines with a declared schema (no inference pass)."""
     return spark.read.schema(schema).json(path)
 
 
 def stream_pages(
-    spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEMA,
+    spark: SparkSession, path: str, schema: str | T.StructType = PAGE_SCHEMA,
     fmt: str = "json", **options: str,
 ) -> DataFrame:
     """The same rows as a stream; a message bus is a matter of format and options."""
