@@ -69,9 +69,10 @@ def clean_number(c: Column) -> Column:
 
 def to_str(c: Expr) -> Expr:
     """Identifier text: trimmed, blank to NULL, zero kept, ``12345.0`` read as ``12345``."""
-    text = clean(c)
-    whole = call("regexp_replace", text, text_literal(r"^(-?\d+)\.0+$"), "'$1'")
-    return call("if", call("contains", text, "'.0'"), whole, text)
+    # only the rare text with ".0" in it meets the pattern
+    text = cast(c, "string")
+    whole = call("regexp_replace", text, text_literal(r"^\s*(-?\d+)\.0+\s*$"), "'$1'")
+    return clean(call("if", call("contains", text, "'.0'"), whole, text))
 
 
 def read_as(c: Expr, dtype: str) -> Expr:

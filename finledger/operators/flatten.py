@@ -161,9 +161,17 @@ PAYMENT_RECORD = f"""
         location:STRUCT<source:{_S}, state_id:{_S}>>,
     card STRUCT<first_six_digits:{_S}, last_four_digits:{_S},
         cardholder:STRUCT<name:{_S}, {_IDENT}>>,
-    date_created {_S}, date_approved {_S}, date_last_updated {_S}, money_release_date {_S},
+    date_created {_S}, date_approved {_S}, date_last_updated {_S}, money_release_date {_S}
+"""
+
+ITEMS_RECORD = f"""
+    id {_S},
     additional_info STRUCT<items:ARRAY<STRUCT<id:{_S}, category_id:{_S}, title:{_S},
-        description:{_S}, quantity:DECIMAL(18,4), unit_price:{_M}, picture_url:{_S}>>>,
+        description:{_S}, quantity:DECIMAL(18,4), unit_price:{_M}, picture_url:{_S}>>>
+"""
+
+CHARGES_RECORD = f"""
+    id {_S},
     charges_details ARRAY<STRUCT<id:{_S}, type:{_S}, name:{_S},
         accounts:STRUCT<`from`:{_S}, `to`:{_S}>, amounts:STRUCT<original:{_M}, refunded:{_M}>,
         base_amount:{_M}, rate:DECIMAL(18,6), reserve_id:{_S}, client_id:{_S},
@@ -198,13 +206,9 @@ _NESTED_FROM = {
 }
 
 
-def read_payment(df: DataFrame, body: str = "body") -> DataFrame:
-    """The payment document next to its parsed form ``p``."""
-    return df.withColumn("p", F.from_json(F.col(body), PAYMENT_RECORD))
-
-
 def payment_parent(df: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """One row per payment document with the columns of the payments table."""
+    df = df.withColumn("p", F.from_json(F.col(body), PAYMENT_RECORD))
     spec = SPECS["mp_payments"]
     special = {
         "collector_id": first_nonzero(read_id("p.collector_id"), read_id("p.collector.id")),
@@ -220,9 +224,22 @@ def payment_parent(df: DataFrame, body: str = "body", keep: Sequence[str] = ())
     return df.selectExpr(*keep, *out)
 
 
-def payment_charges(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def _entries(df: DataFrame, body: str, keep: Sequence[str], schema: str, array: str, alias: str) -> DataFrame:
+    """Payment id and one row per entry of an array in the document.
+
+    Only what is needed is parsed, and only once: the outer explode keeps Catalyst from
+    testing the array in a filter below, which would parse each document again.
+    """
+    df = df.withColumn("p", F.from_json(F.col(body), schema))
+    rows = df.selectExpr(
+        *keep, f"{read_id('p.id')} AS payment_id", f"explode_outer(p.{array}) AS {alias}"
+    )
+    return rows.where(F.col(alias).isNotNull())
+
+
+def payment_charges(df: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """One row per entry of ``charges_details``."""
-    df = df.selectExpr(*keep, f"{read_id('p.id')} AS payment_id", "explode(p.charges_details) AS c")
+    df = _entries(df, body, keep, CHARGES_RECORD, "charges_details", "c")
     return df.selectExpr(
         *keep,
         "payment_id",
@@ -249,11 +266,9 @@ def payment_charges(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def payment_items(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def payment_items(df: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """One row per entry of ``additional_info.items``."""
-    df = df.selectExpr(
-        *keep, f"{read_id('p.id')} AS payment_id", "explode(p.additional_info.items) AS i"
-    )
+    df = _entries(df, body, keep, ITEMS_RECORD, "additional_info.items", "i")
     return df.selectExpr(
         *keep,
         "payment_id",

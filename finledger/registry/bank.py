@@ -50,7 +50,7 @@ def extract_records(d: Data):
         ELSE concat('{{"oops":', {rows}) END"""
     # an empty list under an earlier key would win, so sign-ups use a later key only
     body = body.replace('"items":[],"results"', '"other":[],"results"')
-    df = d.events.selectExpr("event_id", f"{body} AS body", "0 AS page", f"{FETCHED} AS fetched_at")
+    df = d.spread("events").selectExpr("event_id", f"{body} AS body", "0 AS page", f"{FETCHED} AS fetched_at")
     out = landing.extract_records(df)
     return out.select(
         "event_id", F.col("ordinal.pos").alias("pos"),
@@ -64,7 +64,7 @@ FROM events
 """)
 def stitch_pages(d: Data):
     """Every page landed twice; the later landing counts."""
-    both = d.events.selectExpr(
+    both = d.spread("events").selectExpr(
         "CAST(user_id AS STRING) AS request_id", "CAST(event_id AS INT) AS page",
         """explode(array(
             named_struct('fetched_at', ts, 'body', concat('{"data":[{"kind":"', event_type, '"}]}')),
@@ -105,7 +105,7 @@ def page_completeness(d: Data):
         WHEN 'MACHINERY' THEN concat('{{"last":', i = {last}, ',"data":', {rows}, '}}')
         WHEN 'FURNITURE' THEN concat('{{"totalElements":', {total}, ',"data":', {rows}, '}}')
         ELSE {rows} END"""
-    df = d.customer.selectExpr("*", f"explode(sequence(0, CAST({last} AS INT))) AS i").where(
+    df = d.spread("customer").selectExpr("*", f"explode(sequence(0, CAST({last} AS INT))) AS i").where(
         f"NOT (c_mktsegment = 'MACHINERY' AND i = 1) "
         f"AND NOT (c_mktsegment = 'FURNITURE' AND i = {last} AND i > 0)"
     )
@@ -442,7 +442,7 @@ SELECT sha256({SQL_HASH_PARTS}) AS movement_hash,
 FROM lineitem
 """)
 def natural_key_hash(d: Data):
-    rows = d.lineitem.selectExpr(
+    rows = d.spread("lineitem").selectExpr(
         "l_suppkey AS source_account", "l_orderkey AS voucher_number", "l_shipdate AS process_date",
         "CAST(l_extendedprice AS STRING) AS amount", "l_returnflag AS debit_credit_type",
         "l_partkey AS operation_code_ib", "CAST(NULL AS STRING) AS branch_office_activity",
@@ -474,7 +474,7 @@ FROM m
 """)
 def provisional_key(d: Data):
     """Same-day movements without numbers of their own: twins are told apart by arrival."""
-    rows = d.lineitem.selectExpr(
+    rows = d.spread("lineitem").selectExpr(
         "CAST(l_suppkey AS STRING) AS source_account",
         "CAST(CAST(date_trunc('YEAR', l_shipdate) AS TIMESTAMP_NTZ) AS STRING) AS process_date",
         "CAST(l_quantity AS STRING) AS amount", "l_returnflag AS debit_credit_type",

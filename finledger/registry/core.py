@@ -31,11 +31,13 @@ class Data:
         return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
     def stream(self, name: str) -> DataFrame:
-        schema = getattr(self, name).schema
-        return (
-            self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        stream = (
+            self.spark.readStream.schema(df.schema).option("pathGlobFilter", f"{name}.parquet")
             .parquet(self.path)
         )
+        return stream.repartition(cores) if df.rdd.getNumPartitions() < cores else stream
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -356,7 +356,7 @@ def notifications(d: Data):
     """Events as notifications of every kind: fine, stale, early, malformed, foreign."""
     stamp = f"""CASE {_kind()} WHEN 0 THEN {RECEIVED_MS} - 301000 WHEN 1 THEN {RECEIVED_MS} + 301000
         ELSE {RECEIVED_MS} - 1000 END"""
-    return d.events.selectExpr(
+    return d.spread("events").selectExpr(
         "event_id",
         """CASE WHEN event_type = 'signup' THEN concat('{"topic":"payment","id":', event_id, '}')
              WHEN event_type = 'error' THEN concat('{"type":"payment",', event_id)

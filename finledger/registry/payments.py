@@ -9,7 +9,7 @@ from finledger.functions.redact import redact_payment as redact
 from finledger.operators import filters, mutate
 from finledger.operators.dedup import keep_first as first_per
 from finledger.operators.dedup import keep_last as last_per
-from finledger.operators.flatten import payment_charges, payment_items, payment_parent, read_payment
+from finledger.operators.flatten import payment_charges, payment_items, payment_parent
 from finledger.plans import payments as plan
 from finledger.plans import reports
 from finledger.registry import standins as S
@@ -23,7 +23,7 @@ CUT = "2000-01-01"
 
 
 def docs(d: Data):
-    return d.spread("orders").select(S.payment_doc().alias("body"))
+    return S.documents(d.spread("orders"))
 
 
 @query("""
@@ -65,7 +65,7 @@ def payment_parent_roundtrip(d: Data):
         status_detail currency_id installments transaction_amount net_received_amount captured
         store_id point_branch payer_email payer_identification_number card_last_four_digits
         cardholder_name date_created date_approved"""
-    return payment_parent(read_payment(docs(d))).select(*columns.split())
+    return payment_parent(docs(d)).select(*columns.split())
 
 
 CHARGES_SQL = """
@@ -81,7 +81,7 @@ WHERE i < CAST(substr(o_orderpriority, 1, 1) AS INTEGER)
 
 @query(CHARGES_SQL)
 def charges_explode(d: Data):
-    return payment_charges(read_payment(docs(d))).select(
+    return payment_charges(docs(d)).select(
         "payment_id", "charge_id", "charge_type", "account_from", "account_to", "amount_original",
         "amount_refunded", "metadata_user_id", "charge_date_created",
     )
@@ -95,7 +95,7 @@ FROM orders, range(1, 6) AS r(i)
 WHERE i < CAST(substr(o_orderpriority, 1, 1) AS INTEGER)
 """)
 def items_explode(d: Data):
-    return payment_items(read_payment(docs(d))).select(
+    return payment_items(docs(d)).select(
         "payment_id", "item_id", "title", "quantity", "unit_price"
     )
 
@@ -112,7 +112,7 @@ def payments_search(d: Data):
         F.concat(F.lit('{"paging":{"total":2},"results":['), S.payment_doc(), F.lit(","),
                  S.payment_doc(), F.lit("]}")).alias("body"),
     )
-    rows = payment_parent(read_payment(plan.search_results(pages)), keep=("page", "pos"))
+    rows = payment_parent(plan.search_results(pages), keep=("page", "pos"))
     once = first_per(
         rows.select("payment_id", "status", "transaction_amount", "date_created", "page", "pos"),
         ["payment_id"], ["page", "pos"],
@@ -234,7 +234,7 @@ def replace_children(d: Data):
         S.money("l_extendedprice").alias("amount_original"),
     )
     touched = d.spread("orders").where(F.col("o_orderdate") >= CUT)
-    new = payment_charges(read_payment(touched.select(S.payment_doc().alias("body"))))
+    new = payment_charges(S.documents(touched))
     parents = touched.select(F.col("o_orderkey").alias("payment_id"))
     return mutate.replace_children(old, parents, new, "payment_id")
 

@@ -86,6 +86,12 @@ def payment_doc(status: str = STATUS, updated: str = "o_orderdate") -> Column:
         'platform_id', 'kept'))""")
 
 
+def documents(orders: DataFrame) -> DataFrame:
+    """Orders as payment documents. The explode stands for a file boundary: without it,
+    filters on parsed fields would have the documents built again."""
+    return orders.select(F.explode(F.array(payment_doc())).alias("body"))
+
+
 def two_deliveries(orders: DataFrame) -> DataFrame:
     """Every order delivered twice: pending a day earlier, then in its final state."""
     first = payment_doc("'pending'", "o_orderdate - INTERVAL 1 DAY")

@@ -38,23 +38,33 @@ def stream_pages(
     return reader.schema(schema).load(path) if fmt != "kafka" else reader.load()
 
 
-def records_array(
-    body: Column, record: T.DataType | None = None, keys: Sequence[str] = RECORD_KEYS
-) -> Column:
-    """The records of one response body: first listed key that holds an array, or the
-    body itself when it is an array, else NULL.
-
-    With a record type the body is parsed once into typed rows, which lets Catalyst
-    prune fields nobody reads. Without one, records come out as VARIANT.
+def with_records(
+    df: DataFrame, body: str = "body", record: T.DataType | None = None,
+    keys: Sequence[str] = RECORD_KEYS,
+) -> DataFrame:
+    """The records of each response body as array column ``records``: first listed key that
+    holds an array, or the body itself when it is an array, else NULL.
+
+    The body is parsed once, in a projection of its own. With a record type that gives
+    typed rows, of which Catalyst reads the fields that are used; without one, records
+    are VARIANT and the parsed body stays as ``parsed``.
     """
     if record is None:
-        v = F.try_parse_json(body)
-        found = [F.try_variant_get(v, f"$.{k}", "array<variant>") for k in keys]
-        return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), *found)
+        out = df.withColumn("parsed", F.try_parse_json(body))
+        paths = ["$", *[f"$.{k}" for k in keys]]
+        found = [f"try_variant_get(parsed, '{p}', 'array<variant>')" for p in paths]
+        return out.withColumn("records", F.expr(f"coalesce({', '.join(found)})"))
     rows = T.ArrayType(record)
-    envelope = F.from_json(body, T.StructType([T.StructField(k, rows) for k in keys]))
-    bare = F.when(F.ltrim(body).startswith("["), F.from_json(body, rows))
-    return F.coalesce(bare, *[envelope[k] for k in keys])
+    envelope = T.StructType([T.StructField(k, rows) for k in keys])
+    out = df.withColumns(
+        {
+            "__envelope": F.from_json(F.col(body), envelope),
+            "__bare": F.when(F.ltrim(body).startswith("["), F.from_json(F.col(body), rows)),
+        }
+    )
+    found = ["__bare", *[f"__envelope.`{k}`" for k in keys]]
+    out = out.withColumn("records", F.expr(f"coalesce({', '.join(found)})"))
+    return out.drop("__envelope", "__bare")
 
 
 def extract_records(
@@ -64,10 +74,12 @@ def extract_records(
     """One row per record with ``ordinal`` = (fetched_at, page, pos): the arrival order
     that "last wins" and "first wins" rules need. Request columns are carried along."""
     rest = [c for c in df.columns if c != body]
-    out = df.select(
-        *rest, F.posexplode(records_array(F.col(body), record, keys)).alias("pos", "record")
-    )
-    order = [F.col(c) for c in ("fetched_at", "page", "pos") if c in out.columns]
+    # the outer form, because the plain one tests the array in a filter below and so
+    # has every body parsed once more
+    out = with_records(df, body, record, keys).select(
+        *rest, F.posexplode_outer("records").alias("pos", "record")
+    ).where(F.col("pos").isNotNull())
+    order = [c for c in ("fetched_at", "page", "pos") if c in out.columns]
     return out.withColumn("ordinal", F.struct(*order)).drop("pos")
 
 
@@ -92,30 +104,29 @@ def stitch_pages(df: DataFrame) -> DataFrame:
     )
 
 
-def _envelope_total(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "string").try_cast("bigint")
+def _number(path: str) -> Column:
+    return F.try_variant_get("parsed", path, "string").try_cast("bigint")
 
 
-def has_next_page(body: Column, page: Column, page_size: Column) -> Column:
-    """Whether the response says that more pages follow.
+def has_next_page() -> Column:
+    """Whether a response (``parsed``, ``n`` records, ``page``, ``page_size``) says that more
+    pages follow.
 
     ``general_data.total_rows``, then ``totalPages``, ``last``, ``totalElements``; without any
     of them a full page means that another one follows. An empty page ends the request.
     """
-    v = F.try_parse_json(body)
-    returned = F.coalesce(F.size(records_array(body)), F.lit(0))
-    reached = (page + 1) * page_size
-    total_rows = _envelope_total(v, "$.general_data.total_rows")
-    total_pages = _envelope_total(v, "$.totalPages")
-    last = F.try_variant_get(v, "$.last", "boolean")
-    total_elements = _envelope_total(v, "$.totalElements")
+    page, size, n = F.col("page"), F.col("page_size"), F.col("n")
+    total_rows, total_pages = _number("$.general_data.total_rows"), _number("$.totalPages")
+    last = F.try_variant_get("parsed", "$.last", "boolean")
+    total_elements = _number("$.totalElements")
+    reached = (page + 1) * size
     return (
-        F.when(returned <= 0, F.lit(False))
+        F.when(n <= 0, F.lit(False))
         .when(total_rows.isNotNull(), reached < total_rows)
         .when(total_pages.isNotNull(), page + 1 < total_pages)
         .when(last.isNotNull(), ~last)
         .when(total_elements.isNotNull(), reached < total_elements)
-        .otherwise(returned >= page_size)
+        .otherwise(n >= size)
     )
 
 
@@ -126,12 +137,9 @@ def page_completeness(df: DataFrame) -> DataFrame:
     many landings never gathers in one task before it is small.
     """
     per_page = (
-        df.select(
-            "request_id", "page",
-            F.coalesce(F.size(records_array(F.col("body"))), F.lit(0)).alias("n"),
-            has_next_page(F.col("body"), F.col("page"), F.col("page_size")).alias("more"),
-            "fetched_at",
-        )
+        with_records(df.select("request_id", "page", "page_size", "fetched_at", "body"))
+        .withColumn("n", F.coalesce(F.size("records"), F.lit(0)))
+        .select("request_id", "page", "fetched_at", "n", has_next_page().alias("more"))
         .groupBy("request_id", "page")
         .agg(F.max_by(F.struct("n", "more"), "fetched_at").alias("p"))
     )
