@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,17 +135,6 @@ def upsert_table(
     _write(merged, path, _folders(spec))
 
 
-def _write_and_clear(spark: SparkSession, path: str, df: DataFrame, touched: Sequence[int],
-                     schema: T.StructType) -> None:
-    """Rewrite the touched buckets, and empty those no row falls into any more (a dynamic
-    overwrite alone would leave them as they were)."""
-    written = Observation(f"buckets-{path}")
-    _write(df.observe(written, F.collect_set(BUCKET).alias("buckets")), path, [BUCKET])
-    empty = spark.createDataFrame([], T.StructType([f for f in schema if f.name != BUCKET]))
-    for bucket in sorted(set(touched) - set(written.get["buckets"])):
-        empty.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
-
-
 def replace_children_table(
     spark: SparkSession, path: str, spec: TableSpec, parents: DataFrame, new: DataFrame,
     as_of: Column, batch_id: str,
@@ -168,8 +157,15 @@ def replace_children_table(
         order = F.struct(*[F.col(c) for c in new.columns if c != spec.surrogate])
         new = assign_surrogate(whole, new.withColumn("__order", order), spec.surrogate, "__order",
                                id_block(spec)).drop("__order")
-    merged = replace_children(old, parents, new, parent_key)
-    _write_and_clear(spark, path, merged, touched, stored_schema(spec))
+    # buckets no row falls into any more: a dynamic overwrite alone would leave them
+    emptied = set(touched) - set(_touched(new))
+    if emptied:
+        doubtful = old.where(F.col(BUCKET).isin(sorted(emptied)))
+        emptied -= set(_touched(doubtful.join(parents.drop(BUCKET), parent_key, "left_anti")))
+    _write(replace_children(old, parents, new, parent_key), path, [BUCKET])
+    blank = spark.createDataFrame([], T.StructType([f for f in stored_schema(spec) if f.name != BUCKET]))
+    for bucket in sorted(emptied):
+        blank.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
     return count
 
 
