@@ -29,6 +29,7 @@ from finledger.sources.conform import conform
 
 BUCKET = "key_bucket"
 BATCH = "batch_id"
+NO_LABEL = "__HIVE_DEFAULT_PARTITION__"  # the folder Spark gives to NULL partition values
 
 
 def bucket_keys(spec: TableSpec) -> tuple[str, ...]:
@@ -132,7 +133,22 @@ def upsert_table(
         target, batch, spec.keys, [*spec.update_cols, BATCH], as_of, spec.touch,
         [spec.created, *([spec.touch] if spec.touch else [])], spec.name, insert_only=insert_only,
     )
+    unlabelled = set(_touched(target.where(F.col(spec.partition_by).isNull()))) if spec.partition_by else set()
+    if unlabelled:  # rows that get their label now leave the folder of the unlabelled
+        merged = stage(merged, spec.name)
+        unlabelled -= set(_touched(merged.where(F.col(spec.partition_by).isNull())))
     _write(merged, path, _folders(spec))
+    _blank(spark, path, spec, unlabelled, f"{spec.partition_by}={NO_LABEL}/")
+
+
+def _blank(spark: SparkSession, path: str, spec: TableSpec, buckets: set[int], under: str = "") -> None:
+    """Empty buckets no row falls into any more; a dynamic overwrite leaves them as they were."""
+    schema = T.StructType([f for f in stored_schema(spec) if f.name not in _folders(spec)])
+    none = spark.createDataFrame([], schema)
+    for bucket in sorted(buckets):
+        none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{path}/{under}{BUCKET}={bucket}"
+        )
 
 
 def replace_children_table(
@@ -149,23 +165,23 @@ def replace_children_table(
     whole = read_table(spark, path, spec, stored=True)
     old = whole.where(F.col(BUCKET).isin(touched))
     new = stage(
-        new.withColumns({spec.created: as_of, BATCH: F.lit(batch_id), BUCKET: bucket_of(spec)}),
-        spec.name,
+        new.withColumns({
+            spec.created: as_of, BATCH: F.lit(batch_id), BUCKET: bucket_of(spec),
+            "__row": F.monotonically_increasing_id(),
+        }), spec.name,
     )
     count = new.count()
     if spec.surrogate:
-        order = F.struct(*[F.col(c) for c in new.columns if c != spec.surrogate])
-        new = assign_surrogate(whole, new.withColumn("__order", order), spec.surrogate, "__order",
-                               id_block(spec)).drop("__order")
-    # buckets no row falls into any more: a dynamic overwrite alone would leave them
+        # numbered by written position in stretches of a million rows: even when one parent
+        # owns much of the batch, or when rows are copies of each other
+        new = assign_surrogate(whole, new, spec.surrogate, "__row", F.shiftright("__row", 20))
+    new = new.drop("__row")
     emptied = set(touched) - set(_touched(new))
     if emptied:
         doubtful = old.where(F.col(BUCKET).isin(sorted(emptied)))
         emptied -= set(_touched(doubtful.join(parents.drop(BUCKET), parent_key, "left_anti")))
     _write(replace_children(old, parents, new, parent_key), path, [BUCKET])
-    blank = spark.createDataFrame([], T.StructType([f for f in stored_schema(spec) if f.name != BUCKET]))
-    for bucket in sorted(emptied):
-        blank.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+    _blank(spark, path, spec, emptied)
     return count
 
 
@@ -193,12 +209,9 @@ def reconcile_table(
         insert_only=[spec.surrogate],
     )
     written = stage(merged, spec.name)
-    # the folder as a whole, so buckets that ran empty go away too
-    (
-        written.drop(spec.partition_by).hint("rebalance", BUCKET)
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy(BUCKET).parquet(f"{path}/{spec.partition_by}={PROVISIONAL}")
-    )
+    emptied = set(_touched(target)) - set(_touched(written))
+    _write(written, path, _folders(spec))
+    _blank(spark, path, spec, emptied, f"{spec.partition_by}={PROVISIONAL}/")
 
 
 def merge_into(batch: DataFrame, table: str, spec: TableSpec, as_of: Column) -> None:

@@ -106,6 +106,16 @@ def test_movements_settle(spark, now, tmp_path):
     assert rows(table(spark, root, "ib_movements")) == done
 
 
+def test_rows_without_label_get_one(spark, now, tmp_path):
+    root, spec = str(tmp_path), SPECS["ib_movements"]
+    p = pages(spark, "anteriores", {"amount": 5, "process_date": "2026-06-01"})
+    old = bank.bank_rows(p, "movement", now).withColumn("movement_source", F.lit(None).cast("string"))
+    write_table(old.withColumn("movement_id", F.lit(7).cast("bigint")), f"{root}/ib_movements", spec)
+    bank.sync_dataset(spark, root, p, "movement", now, "1")
+    got = table(spark, root, "ib_movements").collect()
+    assert [(r["movement_id"], r["movement_source"]) for r in got] == [(7, "anteriores")]
+
+
 def test_failed_account_keeps_its_rows(spark, now, tmp_path):
     root = str(tmp_path)
     feed = pages(spark, "dia", {"amount": 5}).unionByName(pages(spark, "dia", {"amount": 6}, account="B"))
