@@ -69,10 +69,15 @@ def clean_number(c: Column) -> Column:
 
 def to_str(c: Expr) -> Expr:
     """Identifier text: trimmed, blank to NULL, zero kept, ``12345.0`` read as ``12345``."""
-    # only the rare text with ".0" in it meets the pattern
+    # only the rare text that looks like a float meets the patterns; large ones come as 1.2E7
     text = cast(c, "string")
     whole = call("regexp_replace", text, text_literal(r"^\s*(-?\d+)\.0+\s*$"), "'$1'")
-    return clean(call("if", call("contains", text, "'.0'"), whole, text))
+    plain = cast(try_cast(text, "decimal(38,6)"), "string")
+    spelled = call("regexp_replace", plain, text_literal(r"\.?0+$"), "''")
+    large = call("rlike", text, text_literal(r"^\s*-?\d\.\d+E\d+\s*$"))
+    is_large = call("if", call("contains", text, "'E'"), large, "false")
+    fixed = call("if", is_large, spelled, call("if", call("contains", text, "'.0'"), whole, text))
+    return clean(fixed)
 
 
 def read_as(c: Expr, dtype: str) -> Expr:

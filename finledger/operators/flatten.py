@@ -50,18 +50,19 @@ def flatten_account(df: DataFrame, prefix: str, *sources: str, dataset: str = "n
 def flatten_blob(df: DataFrame, prefix: str, fields: Sequence[str], *sources: str) -> DataFrame:
     """Members as ``prefix_*`` columns, and the whole object kept as JSON text.
 
-    Sources hold JSON text, so members outside ``fields`` survive in the kept text. A
+    Sources are VARIANT, so members outside ``fields`` survive in the kept text. A
     scalar stays as it is and yields no members.
     """
     found = _present(df, sources)
     if not found:
         return df
-    text = f"coalesce({', '.join(found)})"
-    schema = ", ".join(f"{n} STRING" for n in fields)
-    df = df.selectExpr(
-        *[f"`{c}`" for c in df.columns if c not in found], f"{text} AS `{prefix}`",
-        f"from_json({text}, '{schema}') AS __parsed",
+    text = f"try_variant_get(coalesce({', '.join(found)}), '$', 'string')"
+    schema = ", ".join(
+        f"{n} {'DECIMAL(38,10)' if n == 'amount' else 'STRING'}" for n in fields
     )
+    rest = [f"`{c}`" for c in df.columns if c not in found]
+    df = df.selectExpr(*rest, f"{text} AS `{prefix}`")
+    df = df.selectExpr("*", f"from_json(`{prefix}`, '{schema}') AS __parsed")
     return df.selectExpr("*", *[f"__parsed.`{n}` AS `{prefix}_{n}`" for n in fields]).drop("__parsed")
 
 

@@ -6,8 +6,15 @@ local-language names. The camelCase spelling follows from the name by rule.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
+from finledger.schemas import TABLE_DDL
+
+# Wide enough for any amount as it arrives; tables round to their own scale.
+AMOUNT = T.DecimalType(38, 10)
+
 # ---------------------------------------------------------------------------
 # Local-language names per field, several separated by blanks.
 # ---------------------------------------------------------------------------
@@ -223,40 +230,48 @@ def alias_map(dataset: str) -> dict[str, list[str]]:
     return out
 
 
-def _strings(names) -> list[T.StructField]:
-    return [T.StructField(n, T.StringType()) for n in names]
+def _amounts() -> set[str]:
+    """Names of the columns that are amounts in some table."""
+    return {n for ddl in TABLE_DDL.values() for n in re.findall(r"(\w+) DECIMAL", ddl)}
+
+
+def _field(name: str, column: str) -> T.StructField:
+    # JSON numbers read as text pass through a double; as decimals they stay exact
+    return T.StructField(name, AMOUNT if column in _amounts() else T.StringType())
 
 
-def _all_names(dataset: str) -> list[str]:
-    names: dict[str, None] = {}
-    for name, others in alias_map(dataset).items():
-        names.update(dict.fromkeys([name, *others]))
-    names.update(dict.fromkeys(OWN_NAME_ONLY.get(dataset, ())))
-    return list(names)
+def _fields(dataset: str) -> list[T.StructField]:
+    names: dict[str, str] = {}
+    for column, others in alias_map(dataset).items():
+        names.update((n, column) for n in (column, *others))
+    names.update((n, n) for n in OWN_NAME_ONLY.get(dataset, ()))
+    return [_field(n, column) for n, column in names.items()]
 
 
 def nested_schema(dataset: str) -> T.StructType:
-    return T.StructType(_strings(_all_names(dataset)))
+    return T.StructType(_fields(dataset))
 
 
 def wire_schema(dataset: str) -> T.StructType:
-    """Every name a record of the dataset may use; scalars arrive as text."""
-    fields = _strings(_all_names(dataset))
+    """Every name a record of the dataset may use: amounts as decimals, other scalars as
+    text, objects that are kept whole as VARIANT."""
+    fields = _fields(dataset)
     account, tax = nested_schema("nested_account"), nested_schema("tax_block")
     if dataset in ("transfer", "voucher"):
         fields += [T.StructField(n, account) for n in CREDIT_NAMES + DEBIT_NAMES]
     if dataset == "transfer":
-        fields += _strings(ADDENDA_NAMES)
+        fields += [T.StructField(n, T.VariantType()) for n in ADDENDA_NAMES]
     if dataset == "voucher":
-        fields += _strings(BILLING_NAMES + PAYING_NAMES)
+        fields += [T.StructField(n, T.VariantType()) for n in BILLING_NAMES + PAYING_NAMES]
         fields += [T.StructField(n, tax) for n in TAX_NAMES]
     if dataset == "balance":
-        now = [n for n in BALANCE if n.endswith("_balance") or n.startswith("projected")]
-        fields.append(T.StructField("balances", T.StructType(_strings(n for n in now if n != "day_balance"))))
-        past = T.StructType(_strings(["operation_date", "day_balance", "total_debits", "total_credits"]))
-        fields.append(T.StructField("historical_balances", T.ArrayType(past)))
+        now = [n for n in BALANCE if n != "day_balance" and n.endswith(("_balance", "hs"))]
+        fields.append(T.StructField("balances", T.StructType([_field(n, n) for n in now])))
+        past = ["operation_date", "day_balance", "total_debits", "total_credits"]
+        history = T.StructType([_field(n, n) for n in past])
+        fields.append(T.StructField("historical_balances", T.ArrayType(history)))
     if dataset == "extract":
-        movement = T.StructType(_strings(_all_names("extract")))
+        movement = nested_schema("extract")
         for name in ("movement_detail", "movements_detail"):
             fields.append(T.StructField(name, T.ArrayType(movement)))
     return T.StructType(fields)

@@ -185,3 +185,13 @@ def test_payment_document(spark):
     assert p["date_created"] == dt.datetime(2026, 1, 1, 10)
     assert [(r["payment_id"], r["charge_id"], r["tax_id"]) for r in flatten.payment_charges(df).collect()] == [(9, "c", 5), (9, None, None)]
     assert [(r["item_id"], float(r["quantity"])) for r in flatten.payment_items(df).collect()] == [("5", 1.5)]
+
+
+def test_amounts_stay_exact(spark):
+    body = """{"transfers":[{"id":1,"importe":1234567890123456.78,
+        "addenda":{"amount":1234567890123456.78,"operation_numer":12345678}}]}"""
+    out = normalize(bank.wire_rows(pages(spark, body), "transfer"), "transfer").first()
+    assert str(out["amount"]) == str(out["addenda_amount"]) == "1234567890123456.78"
+    assert out["addenda_operation_numer"] == "12345678"
+    big = movement(spark, '{"amount":"1234567890123456.78","voucher_number":123456789.0}').first()
+    assert (str(big["amount"]), big["voucher_number"]) == ("1234567890123456.78", "123456789")
