@@ -221,19 +221,19 @@ def plan_slices(d: Data):
 # -- logs and requests ---------------------------------------------------------------
 @query(f"""
 SELECT event_id, "timestamp", severity_level, message FROM ({S.SQL_LOGS})
-WHERE "timestamp" > {AS_OF_SQL} - INTERVAL 1 HOUR AND service = 'mp_webhook'
+WHERE "timestamp" > {AS_OF_SQL} - INTERVAL 1 HOUR AND service = 'webhook'
 """)
 def logs_recent(d: Data):
-    rows = telemetry.logs_of_service(S.logs(d.events), "mp_webhook", AS_OF)
+    rows = telemetry.logs_of_service(S.logs(d.events), "webhook", AS_OF)
     return rows.select("event_id", "timestamp", "severity_level", "message")
 
 
 @query(f"""
 SELECT event_id, "timestamp", severity_level, message FROM ({S.SQL_LOGS})
-WHERE "timestamp" > {AS_OF_SQL} - INTERVAL 24 HOUR AND service = 'ib_poller' AND severity_level >= 3
+WHERE "timestamp" > {AS_OF_SQL} - INTERVAL 24 HOUR AND service = 'poller' AND severity_level >= 3
 """)
 def logs_errors(d: Data):
-    rows = telemetry.errors_of_service(S.logs(d.events), "ib_poller", AS_OF)
+    rows = telemetry.errors_of_service(S.logs(d.events), "poller", AS_OF)
     return rows.select("event_id", "timestamp", "severity_level", "message")
 
 
@@ -243,7 +243,7 @@ SELECT 'job_' || event_type AS process, avg({S.SQL_MS}) AS avg_duration_ms, max(
 FROM events WHERE event_type IN ('view', 'click') AND ts > {AS_OF_SQL} - INTERVAL 30 DAY GROUP BY 1
 """)
 def duration_by_process(d: Data):
-    return telemetry.duration_by_process(S.logs(d.events), "ib_poller", AS_OF, "30 DAYS")
+    return telemetry.duration_by_process(S.logs(d.events), "poller", AS_OF, "30 DAYS")
 
 
 @query(f"""
@@ -253,14 +253,14 @@ SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN 'job_' || event_
        CASE WHEN event_type = 'error' THEN CASE {S.SQL_K} % 3 WHEN 0 THEN '{S.REASONS[0]}'
             WHEN 1 THEN '{S.REASONS[1]}' ELSE '{S.REASONS[2]}' END END AS reason,
        CASE WHEN event_type = 'error' THEN 'payment' END AS rejected_type,
-       CASE WHEN event_type IN ('view', 'click') THEN 'ib_poller' ELSE 'unknown' END AS service
+       CASE WHEN event_type IN ('view', 'click') THEN 'poller' ELSE 'unknown' END AS service
 FROM events
 """)
 def message_parse(d: Data):
     from finledger.functions.messages import parse_reject_message, parse_sync_message
 
     sync, reject = parse_sync_message(F.col("message")), parse_reject_message(F.col("message"))
-    service = F.when(F.col("service") == "ib_poller", F.col("service"))
+    service = F.when(F.col("service") == "poller", F.col("service"))
     return S.logs(d.events).select(
         "event_id", sync.alias("s"), reject.alias("r"), with_service(service, "unknown").alias("service")
     ).select("event_id", "s.process", "s.rows_read", "s.duration_ms", "r.reason",
@@ -292,12 +292,12 @@ SELECT CASE {S.SQL_K} % 3 WHEN 0 THEN '{S.REASONS[0]}' WHEN 1 THEN '{S.REASONS[1
 FROM events WHERE event_type = 'error' AND ts > {AS_OF_SQL} - INTERVAL 30 DAY GROUP BY 1
 """)
 def rejects_by_reason(d: Data):
-    return telemetry.rejects_by_reason(S.logs(d.events), "mp_webhook", AS_OF, "30 DAYS")
+    return telemetry.rejects_by_reason(S.logs(d.events), "webhook", AS_OF, "30 DAYS")
 
 
 @query(f"SELECT count(*) AS processed FROM events WHERE event_type = 'purchase' AND ts > {AS_OF_SQL} - INTERVAL 30 DAY")
 def processed_count(d: Data):
-    return telemetry.processed_count(S.logs(d.events), "mp_webhook", AS_OF, "30 DAYS")
+    return telemetry.processed_count(S.logs(d.events), "webhook", AS_OF, "30 DAYS")
 
 
 @query(f"""

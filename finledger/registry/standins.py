@@ -271,7 +271,7 @@ def logs(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.col("ts").cast("timestamp_ntz").alias("timestamp"),
-        F.when(kind.isin("view", "click"), "ib_poller").otherwise("mp_webhook").alias("service"),
+        F.when(kind.isin("view", "click"), "poller").otherwise("webhook").alias("service"),
         F.when((kind == "error") | ((kind == "view") & (k() > 50)), 3).otherwise(1)
         .alias("severity_level"),
         message.alias("message"),
@@ -280,7 +280,7 @@ def logs(events: DataFrame) -> DataFrame:
 
 SQL_LOGS = f"""
     SELECT event_id, ts AS "timestamp",
-           CASE WHEN event_type IN ('view', 'click') THEN 'ib_poller' ELSE 'mp_webhook' END AS service,
+           CASE WHEN event_type IN ('view', 'click') THEN 'poller' ELSE 'webhook' END AS service,
            CASE WHEN event_type = 'error' OR (event_type = 'view' AND {SQL_K} > 50) THEN 3 ELSE 1 END AS severity_level,
            CASE WHEN event_type IN ('view', 'click')
                 THEN 'sync job_' || event_type || ' OK: read=' || {SQL_K} || ' upserted=' || {SQL_K}
