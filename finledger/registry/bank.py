@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 from finledger.functions import scalars as X
 from finledger.functions.redact import redact_bank as mask
 from finledger.operators import audit, filters, flatten, keys, mutate
-from finledger.operators.dedup import keep_first
 from finledger.operators.normalize import normalize
 from finledger.plans import bank, reports
 from finledger.registry import standins as S
 from finledger.registry.core import Data, query
-from finledger.schemas import SPECS, TABLE_DDL
 from finledger.sources import aliases as A
 from finledger.sources import landing
-from finledger.sources.conform import conform, rename_fields
+from finledger.sources.conform import conform
 
 AS_OF = "2002-01-01 00:00:00"
 FETCHED = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
@@ -46,10 +44,8 @@ def extract_records(d: Data):
         WHEN 'view' THEN concat('{{"general_data":{{"x":1}},"accounts":', {rows}, '}}')
         WHEN 'click' THEN {rows}
         WHEN 'purchase' THEN concat('{{"data":5,"movimientos":', {rows}, '}}')
-        WHEN 'signup' THEN concat('{{"items":[],"results":', {rows}, '}}')
+        WHEN 'signup' THEN concat('{{"other":[],"results":', {rows}, '}}')
         ELSE concat('{{"oops":', {rows}) END"""
-    # an empty list under an earlier key would win, so sign-ups use a later key only
-    body = body.replace('"items":[],"results"', '"other":[],"results"')
     df = d.spread("events").selectExpr("event_id", f"{body} AS body", "0 AS page", f"{FETCHED} AS fetched_at")
     out = landing.extract_records(df)
     return out.select(

@@ -154,20 +154,6 @@ SQL_MOVEMENTS = """
 """
 
 
-def page(body: Column, df: DataFrame, account: Column, kind: str | None = None, *keep: str) -> DataFrame:
-    """Rows as landed pages of one record list each."""
-    return df.select(
-        *keep,
-        account.cast("string").alias("account_number"),
-        F.lit("7").alias("bank_number"),
-        F.lit(kind).cast("string").alias("movement_type"),
-        F.lit(0).alias("page"),
-        F.lit(100).alias("page_size"),
-        lit_ts("2024-01-01 00:00:00").alias("fetched_at"),
-        body.alias("body"),
-    )
-
-
 def k() -> Column:
     """The integer inside an event's properties."""
     return F.get_json_object("props", "$.k").cast("int")

@@ -9,9 +9,7 @@ from finledger.operators import audit
 from finledger.plans import bank, payments
 from finledger.schemas import CONTROL_SEED, SPECS, scaled_specs, table_schema
 from finledger.sources.landing import PAGE_SCHEMA
-from finledger.sources.tables import (
-    export_tables, read_table, reconcile_table, upsert_table, write_table,
-)
+from finledger.sources.tables import export_tables, read_table, upsert_table, write_table
 
 AT = dt.datetime(2026, 6, 1)
 
