@@ -8,7 +8,16 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from finledger.llm import packing, prefix_bpe, sharding, token_files
+from finledger.llm import (
+    packing,
+    pii,
+    prefix_bpe,
+    risk_rules,
+    rule_ensemble,
+    sharding,
+    simhash,
+    token_files,
+)
 from finledger.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +54,13 @@ def op4_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, folder, "documents"), shards=24)
 
 
+@query
+def op5_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_ensemble.score_documents(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    )
+
+
 @query
 def op6_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_bpe.encode_documents(
@@ -52,6 +68,23 @@ def op6_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_risk_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return risk_rules.judge_documents(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    )
+
+
+@query
+def op8_crf_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_in_documents(read_table(spark, folder, "documents"))
+
+
+@query
+def op9_simhash_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
 @query
 def op10_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(spark, read_table(spark, folder, "documents"), BYTE_TOKENIZER)
