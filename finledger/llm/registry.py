@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from finledger.llm import (
+    hnsw,
     packing,
     pii,
     prefix_bpe,
@@ -49,6 +50,11 @@ def op2_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.near_vectors(read_table(spark, folder, "embeddings"))
+
+
 @query
 def op4_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, folder, "documents"), shards=24)
