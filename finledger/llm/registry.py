@@ -13,6 +13,7 @@ from finledger.llm import (
     packing,
     pii,
     prefix_bpe,
+    recompression,
     risk_rules,
     rule_ensemble,
     sharding,
@@ -43,6 +44,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_recompression(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.remove_repeats(read_table(spark, folder, "documents"))
+
+
 @query
 def op2_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(
