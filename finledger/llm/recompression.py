@@ -16,12 +16,11 @@ Spark counts the keys, hands each document those that are shared, gathers the wi
 shared keys, and hands each document the windows that start earlier elsewhere.
 """
 
-from __future__ import annotations
-
 import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -463,9 +462,7 @@ def cut_documents(
     starts = earlier_windows(rows, hot).groupBy("doc").agg(F.collect_list("starts").alias("starts"))
 
     @F.pandas_udf("string")
-    def cut(texts, lists):
-        import pandas as pd
-
+    def cut(texts: pd.Series, lists: pd.Series) -> pd.Series:
         whole = [(t or "").encode() for t in texts]
         words = [t.split() for t in whole]
         others = [[None if s is None else list(s)] for s in lists]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finledger.llm.common import stored
-from finledger.llm.textstats import RATIOS, text_statistics
+from finledger.llm.textstats import RATIOS, statistics_column, text_statistics
 
 FEATURES = tuple(RATIOS)
 HELD_OUT = 5  # every fifth document by checksum of its id is kept from the training
@@ -169,16 +169,27 @@ def checksum_rest(key: Column) -> Column:
 
 
 def train(
-    rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality",
-    settings: Settings = Settings(),
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+    label: str = "quality", settings: Settings = Settings(),
 ) -> Ensemble:
-    """Fits on labelled rows outside the held-out fifth, ``settings.sample`` of them at most."""
+    """Fits on labels outside the held-out fifth, ``settings.sample`` of them at most.
+
+    The sample is drawn from the labels alone, so only its documents are read for statistics; its
+    bounded list of keys is what the join with the documents may broadcast.
+    """
     known = labels.select(
         F.col(key).cast("bigint").alias("key"), F.col(label).cast("int").alias("label")
     ).where(F.col("label").isin(0, 1) & (checksum_rest(F.col("key")) != 0))
+    known = stored(
+        known.orderBy(F.xxhash64("key"), "key", "label").limit(settings.sample), "quality-labels"
+    )
+    mine = docs.selectExpr(f"CAST(`{key}` AS BIGINT) AS key", f"`{text}` AS text").join(
+        F.broadcast(known.select("key").distinct()), "key", "left_semi"
+    )
+    order = [F.xxhash64("key"), "key", "label", *FEATURES]
     sample = (
-        rows.join(known, "key").orderBy(F.xxhash64("key"), "key", "label", *FEATURES)
-        .limit(settings.sample).select("label", *FEATURES).toPandas()
+        features(mine, "key", "text").join(known, "key").orderBy(*order).limit(settings.sample)
+        .select("label", *FEATURES).toPandas()
     )
     x = sample[list(FEATURES)].to_numpy(dtype=np.float64).reshape(-1, len(FEATURES))
     return fit(x, sample["label"].to_numpy(dtype=np.float64), settings)
@@ -196,9 +207,8 @@ def score_documents(
     checksum. An empty table gives no rows; without labels every score is a half. Other columns
     are not read.
     """
-    rows = stored(features(docs, key, text), "quality-features")
-    score = train(rows, labels, key, settings=settings).column()
-    return rows.select(
+    score = train(docs, labels, key, text, settings=settings).column()
+    return features(docs, key, text).select(
         F.col("key").alias(key), (checksum_rest(F.col("key")) == 0).alias("held_out"),
         score.alias("score"),
     ).withColumn("predicted", (F.col("score") >= F.lit(cutoff)).cast("int"))
@@ -208,10 +218,12 @@ def keep_good(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
     settings: Settings = Settings(), cutoff: float = CUTOFF,
 ) -> DataFrame:
-    """The documents whose score reaches the cutoff, with all their columns.
-
-    A key's rows stay if one of its texts is good enough; rows with a null key stay.
-    """
-    scored = score_documents(docs, labels, key, text, settings, cutoff)
-    bad = scored.groupBy(key).agg(F.max("predicted").alias("__best")).where("__best = 0")
-    return docs.join(bad.select(key), key, "left_anti")
+    """The documents whose score reaches the cutoff, with all their columns: a filter by row."""
+    score = train(docs, labels, key, text, settings=settings).column()
+    # the row travels as one column beside its statistics, so no names can clash
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+        statistics_column(F.col(f"`{text}`")).alias("__stats"),
+    ).select("__row", "__stats.*")
+    rows = rows.select("__row", *[F.expr(sql).alias(name) for name, sql in RATIOS.items()])
+    return rows.where(score >= F.lit(cutoff)).select("__row.*")

@@ -210,3 +210,16 @@ def near_duplicates(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest key, all columns kept.
+
+    A key stays if any of its rows is its group's first; rows with a null key stay.
+    """
+    found = near_duplicates(docs, key, text)
+    gone = (
+        found.groupBy(key).agg(F.max(F.col(key) == F.col("component_id")).alias("__first"))
+        .where("NOT __first").select(key)
+    )
+    return docs.join(gone, key, "left_anti").select(*docs.columns)

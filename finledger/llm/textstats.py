@@ -1,12 +1,12 @@
 """Statistics of whole texts, one pass per text, as columns that rules and classifiers read."""
 
-from __future__ import annotations
-
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from finledger.llm.common import batches, texts_of
 
@@ -91,6 +91,16 @@ def text_statistics(
     return rows.mapInArrow(run, ", ".join(kinds))
 
 
+def statistics_column(text: Column) -> Column:
+    """The statistics of a text column as a struct, row by row."""
+
+    @F.pandas_udf(", ".join(f"{n} long" for n in NAMES))
+    def measure(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([statistics((t or "").encode()) for t in texts], columns=list(NAMES))
+
+    return measure(text)
+
+
 # Shares of the statistics, as SQL over the columns above; empty texts divide by one.
 RATIOS = {
     "mean_word": "word_chars / greatest(n_words, 1)",
