@@ -16,7 +16,7 @@ import numpy as np
 SPACE = "\t-\r \x85\xa0  -     　"
 RUNS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 ENDS_IN_SPACE = re.compile(f"[{SPACE}]\\Z")
-MEMORY = 400_000  # chunks kept by one worker, some 80 MB
+MEMORY = 500_000  # chunks of a generation; a worker keeps two, some 200 MB
 
 
 def spaced_chunks(text: bytes) -> list[bytes] | None:
@@ -40,21 +40,33 @@ def safe(chunk: bytes) -> bool:
 
 
 class Memory(dict):
-    """Chunk to packed ids (little-endian, 4 bytes each), filled from ``encode`` in bulk."""
+    """Chunk to packed ids (little-endian, 4 bytes each), filled from ``encode`` in bulk.
+
+    When it is full it becomes the old generation, from which chunks that occur again come back.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], Iterable[bytes]], limit: int = MEMORY):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.old = encode, limit, {}
 
-    def packed(self, lists: list[list[bytes]]) -> list[bytes]:
+    def learn(self, lists: list[list[bytes]]) -> None:
+        """Makes sure that all these chunks are known."""
         if len(self) > self.limit:
+            self.old = dict(self)
             self.clear()
         missing: set[bytes] = set()
         for chunks in lists:
             missing.update(filterfalse(self.__contains__, chunks))
+        if missing and self.old:
+            known = missing & self.old.keys()
+            self.update(zip(known, map(self.old.__getitem__, known), strict=True))
+            missing -= known
         if missing:
-            new = sorted(missing)
+            new = list(missing)
             self.update(zip(new, self.encode(new), strict=True))
+
+    def packed(self, lists: list[list[bytes]]) -> list[bytes]:
+        self.learn(lists)
         get = self.__getitem__
         return [b"".join(map(get, chunks)) for chunks in lists]
 

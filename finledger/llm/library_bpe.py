@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import unicodedata
 
 import numpy as np
 
@@ -16,6 +18,13 @@ from finledger.llm.chunks import Memory, ids_array, run_chunks, safe, spaced_chu
 
 JOIN = 20_000  # chunks handed over at once
 SEPARATOR = b"\x01"
+# Letters that stay one letter when they are composed and lowered, and marks that are a token of
+# their own behind such a letter (an apostrophe is not, as it may begin a contraction).
+LETTERS = "".join(
+    c for c in map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x250)])
+    if c.isalpha() and unicodedata.normalize("NFC", c).lower()[-1].isalpha()
+)
+MARKED_WORD = re.compile(f"([{LETTERS}]+)([!\"#$%&()*+,\\-./:;<=>?@\\[\\\\\\]^_`{{|}}~]*)")
 
 
 class Library:
@@ -27,8 +36,13 @@ class Library:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.spaced = self.ids(" ") != []
         self.memory = Memory(self._spaced if self.spaced else self._words)
-        if self.spaced:
-            words = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.letters, self.marks = Memory(self._letters), Memory(self._separated)
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        if not self.spaced:
+            ends = [i for word, i in words.items() if word.endswith("</w>")]
+            self.is_end = np.zeros(max(words.values()) + 1, dtype=bool)
+            self.is_end[ends] = True
+        else:
             self.length = np.zeros(max(words.values()) + 1, dtype=np.int64)
             for word, i in words.items():
                 self.length[i] = len(word)  # one character stands for one byte
@@ -64,11 +78,45 @@ class Library:
         return out
 
     def _words(self, chunks: list[bytes]) -> list[bytes]:
-        """For tokenizers that drop white space: words are joined by a separator word."""
+        """For tokenizers that drop white space and mark the ends of words. A word of letters is
+        one word for them, and so are the marks behind it; the parts repeat more than the
+        whole."""
+        parts = [MARKED_WORD.fullmatch(c.decode()) for c in chunks]
+        plain = [(b"", b"") if m is None else (m[1].encode(), m[2].encode()) for m in parts]
+        odd = [c for c, m in zip(chunks, parts, strict=True) if m is None]
+        self.letters.learn([[a for a, _ in plain]])
+        self.marks.learn([[b for _, b in plain], odd])
+        letters, marks = self.letters, self.marks
+        return [
+            marks[c] if m is None else letters[p[0]] + marks[p[1]]
+            for c, m, p in zip(chunks, parts, plain, strict=True)
+        ]
+
+    def _letters(self, chunks: list[bytes]) -> list[bytes]:
+        """Words of letters are joined by blanks and cut where a token ends a word."""
+        out: list[bytes] = []
+        full = [c for c in chunks if c]
+        for a in range(0, len(full), JOIN):
+            part = full[a:a + JOIN]
+            ids = np.array(self.ids(b" ".join(part).decode()), dtype="<u4")
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                raise ValueError("a word of letters is not one word for this tokenizer")
+            packed, begin = ids.tobytes(), 0
+            for end in (ends * 4).tolist():
+                out.append(packed[begin:end])
+                begin = end
+        given = iter(out)
+        return [next(given) if c else b"" for c in chunks]
+
+    def _separated(self, chunks: list[bytes]) -> list[bytes]:
+        """Anything between white space, joined by a separator word."""
         out: list[bytes] = [b""] * len(chunks)
         mark = self.ids(SEPARATOR.decode())
         plain = []
         for i, chunk in enumerate(chunks):
+            if not chunk:
+                continue
             if SEPARATOR in chunk or len(mark) != 1:
                 out[i] = self._one(chunk)
             else:
