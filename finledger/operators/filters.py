@@ -30,6 +30,19 @@ def search_payments(
     return out if limit is None else out.limit(limit)
 
 
+def up_to(col: str, end) -> Column:
+    """At or before the end of a closed range; a date (or its text) ends with its last instant."""
+    try:
+        day = isinstance(end, dt.date) and not isinstance(end, dt.datetime) or isinstance(end, str) \
+            and dt.date.fromisoformat(end) is not None
+    except ValueError:
+        day = False
+    if not day:
+        return F.col(col) <= end
+    end = dt.date.fromisoformat(end) if isinstance(end, str) else end
+    return F.col(col) < F.lit(end + dt.timedelta(days=1)).cast("timestamp_ntz")
+
+
 def request_filter(
     df: DataFrame, kind: str = "anteriores", account_type: str = DEFAULT_ACCOUNT_TYPE,
     currency: str = DEFAULT_CURRENCY, begin=None, end=None, date_col: str = "process_date",
@@ -45,7 +58,7 @@ def request_filter(
         if begin is not None:
             out = out.where(F.col(date_col) >= begin)
         if end is not None:
-            out = out.where(F.col(date_col) <= end)
+            out = out.where(up_to(date_col, end))
     return out
 
 

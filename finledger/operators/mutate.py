@@ -131,15 +131,17 @@ def evolve(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def assign_surrogate(
-    target: DataFrame, inserts: DataFrame, id_col: str, order: str, block: Column
+    target: DataFrame | None, inserts: DataFrame, id_col: str, order: str, block: Column,
+    high: int | None = None,
 ) -> DataFrame:
-    """New ids for inserted rows, counting on from the highest stored id in key order.
+    """New ids for inserted rows, counting on from ``high``, the highest id ever given.
 
-    Stored ids never change. ``block`` cuts the key order into ranges that are numbered
-    side by side (a hash prefix, or the key divided by a width).
+    Without it the highest id in ``target`` is taken, which gives the id of a deleted top row
+    again: a stored table must pass its mark. Stored ids never change. ``block`` cuts the rows into
+    ranges that are numbered side by side, in the given order inside.
     """
     ranked = running_total(inserts, F.lit(1).cast("bigint"), [order], block, "__before")
-    top = target.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
+    top = F.lit(high) if high is not None else target.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
     return ranked.withColumn(id_col, top + F.col("__before") + 1).select(
         id_col, *[c for c in inserts.columns if c != id_col]
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finledger.operators.ranking import running_total, running_totals
@@ -18,7 +20,7 @@ def plan_slices(df: DataFrame, ts: str, cap: int, block_unit: str = "day") -> Da
     Instants are counted first. Those above half the cap get a slice of their own, the
     others are packed by running count into halves of the cap, so a slice of them stays
     below the cap. A single instant above the cap cannot be cut: it is marked
-    ``overfull``. ``block_unit`` is the stretch of time ranked in one task.
+    ``overfull``. Rows without a time are one row without bounds. ``block_unit`` is the stretch of time ranked in one task.
     """
     half = max(cap // 2, 1)
     counts = _instants(df, ts)
@@ -31,33 +33,68 @@ def plan_slices(df: DataFrame, ts: str, cap: int, block_unit: str = "day") -> Da
         counts, {"light_before": F.col("light"), "heavy_before": F.col("heavy")}, [ts], block
     )
     packed = F.floor(F.col("light_before") / half)
+    undated = df.where(F.col(ts).isNull()).agg(
+        F.min(ts).alias("begin_ts"), F.max(ts).alias("end_ts"), F.count(F.lit(1)).alias("rows"),
+        F.lit(False).alias("overfull"),
+    ).where("rows > 0")
     return (
         ranked.groupBy(
             "heavy_before", "heavy", F.when(F.col("heavy") == 0, packed).otherwise(-1).alias("pack")
         )
         .agg(F.min(ts).alias("begin_ts"), F.max(ts).alias("end_ts"), F.sum("n").alias("rows"))
         .select("begin_ts", "end_ts", "rows", (F.col("rows") > cap).alias("overfull"))
+        .unionByName(undated)
     )
 
 
-def cap_cycle(df: DataFrame, ts: str, key: str, cap: int, block_unit: str = "day") -> tuple[
-    DataFrame, DataFrame
-]:
-    """At most ``cap`` rows, oldest first, and the watermark from which to carry on.
+def cap_cycle(
+    df: DataFrame, ts: str, key: str, cap: int | None = None, block_unit: str = "day",
+    after: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """All rows, or at most ``cap`` of them, oldest first, and from where to carry on.
 
-    Rows without a key are skipped. Running counts per instant show where the cap falls,
-    so only the rows up to there are sorted, not every partition's best ``cap``.
-    The second result is one row: the last time taken and how many rows were left over.
+    ``after`` is the watermark of the cycle before (struct of time and key): only later rows are
+    taken, so cycles that follow each other take every row once. Running counts per instant show
+    where the cap falls, so only the rows up to there are sorted. The second result is one row: time
+    and key of the last row taken, how many rows are left over, and how many were skipped as they
+    have no key or no time.
     """
-    rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    counts = running_total(
-        _instants(rows, ts), F.col("n"), [ts], F.date_trunc(block_unit, F.col(ts)), "before"
+    fit = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    rows = df.where(fit)
+    if after is not None:
+        rows = rows.where(F.struct(F.col(ts), F.col(key)) > after)
+    skipped = df.where(~fit).agg(F.count(F.lit(1)).alias("skipped"))
+    taken = rows
+    if cap is not None:
+        counts = running_total(
+            _instants(rows, ts), F.col("n"), [ts], F.date_trunc(block_unit, F.col(ts)), "before"
+        )
+        reached = counts.where(F.col("before") < cap)
+        near = rows.join(reached.select(ts), ts, "left_semi")
+        taken = near.orderBy(F.asc(ts), F.asc(key)).limit(cap)
+    last = taken.agg(
+        F.max(F.struct(F.col(ts).alias("ts"), F.col(key).alias("key"))).alias("last"),
+        F.count(F.lit(1)).alias("taken"),
     )
-    reached = counts.where(F.col("before") < cap)
-    near = rows.join(reached.select(ts), ts, "left_semi")
-    taken = near.orderBy(F.asc(ts), F.asc(key)).limit(cap)
-    carry = counts.agg(
-        F.max(F.when(F.col("before") < cap, F.col(ts))).alias("carry_over_from"),
-        F.greatest(F.sum("n") - F.lit(cap), F.lit(0)).alias("left_over"),
+    total = rows.agg(F.count(F.lit(1)).alias("total"))
+    carry = last.join(total).join(skipped).select(
+        F.col("last.ts").alias("carry_over_from"), F.col("last.key").alias("carry_over_key"),
+        (F.col("total") - F.col("taken")).alias("left_over"), "skipped",
     )
     return taken, carry
+
+
+def cycles(df: DataFrame, ts: str, key: str, cap: int, block_unit: str = "day") -> Iterator[DataFrame]:
+    """Cycle after cycle of at most ``cap`` rows until none is left over; each starts behind the
+    watermark of the one before."""
+    after = None
+    while True:
+        taken, carry = cap_cycle(df, ts, key, cap, block_unit, after)
+        state = carry.first()
+        if state["carry_over_from"] is None:
+            return
+        yield taken
+        if not state["left_over"]:
+            return
+        after = F.struct(F.lit(state["carry_over_from"]).cast(df.schema[ts].dataType),
+                         F.lit(state["carry_over_key"]).cast(df.schema[key].dataType))

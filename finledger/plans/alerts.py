@@ -59,20 +59,35 @@ def threshold_alert(df: DataFrame, ts: str, rule: Threshold, value: Column | Non
 
 
 def absence_alert(df: DataFrame, key: str, ts: str, gap_minutes: int = RUN_GAP_MINUTES,
-                  bin_width: str = "5 minutes") -> DataFrame:
+                  bin_minutes: int | None = None, as_of: Column | None = None,
+                  expected: DataFrame | None = None) -> DataFrame:
     """Stretches longer than the gap without a run, per key.
 
-    Only first and last run of each bin are kept: a gap longer than a bin lies between two
-    neighbouring bins, so none is missed.
+    Only first and last run of each bin are kept; bins are no wider than the gap, so a gap lies
+    between two neighbouring bins. With ``as_of`` the stretch that lasts until then counts as
+    well (its ``gap_end`` is ``as_of``), and a key of ``expected`` that never ran has no
+    ``gap_start``.
     """
-    bins = df.groupBy(key, F.window(ts, bin_width).getField("start").alias("bin")).agg(
+    bin_minutes = bin_minutes or gap_minutes
+    if bin_minutes > gap_minutes:
+        raise ValueError("bins must not be wider than the gap")
+    if as_of is not None:
+        df = df.where(F.col(ts) <= as_of)
+    bins = df.groupBy(key, F.window(ts, f"{bin_minutes} minutes").getField("start").alias("bin")).agg(
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
     following = F.lead("first_ts").over(Window.partitionBy(key).orderBy("bin"))
-    gap = F.timestamp_diff("SECOND", F.col("last_ts"), F.col("next_ts"))
-    return (
-        bins.withColumn("next_ts", following)
+    end = F.coalesce(following, as_of) if as_of is not None else following
+    out = (
+        bins.withColumn("next_ts", end)
         .where(F.col("next_ts") > F.col("last_ts") + F.expr(f"INTERVAL {gap_minutes} MINUTES"))
         .select(key, F.col("last_ts").alias("gap_start"), F.col("next_ts").alias("gap_end"),
-                gap.alias("gap_seconds"))
+                F.timestamp_diff("SECOND", F.col("last_ts"), F.col("next_ts")).alias("gap_seconds"))
+    )
+    if as_of is None or expected is None:
+        return out
+    never = expected.select(key).distinct().join(df.select(key), key, "left_anti").select(
+        key, F.lit(None).cast("timestamp_ntz").alias("gap_start"), as_of.alias("gap_end"),
+        F.lit(None).cast("bigint").alias("gap_seconds"),
     )
+    return out.unionByName(never)

@@ -112,27 +112,32 @@ def payments_by_store(payments: DataFrame, store_id: str, pos_id: str | None = N
     return out.where(F.col("pos_id") == pos_id) if pos_id is not None else out
 
 
+def _days(col: str, begin, end) -> Column:
+    """A closed range; an end given as a date includes that whole day."""
+    return (F.col(col) >= _ts(begin)) & filters.up_to(col, end)
+
+
 # -- bank -------------------------------------------------------------------
 def movements_by_account(movements: DataFrame, account: str, begin, end,
                          account_col: str = "source_account") -> DataFrame:
     return movements.where(
-        (F.col(account_col) == account) & F.col("process_date").between(_ts(begin), _ts(end))
+        (F.col(account_col) == account) & _days("process_date", begin, end)
     )
 
 
 def movements_by_date(movements: DataFrame, begin, end) -> DataFrame:
-    return movements.where(F.col("process_date").between(_ts(begin), _ts(end)))
+    return movements.where(_days("process_date", begin, end))
 
 
 def extracts_by_account(extracts: DataFrame, account: str, begin, end) -> DataFrame:
     return extracts.where(
-        (F.col("source_account") == account) & F.col("operation_date").between(_ts(begin), _ts(end))
+        (F.col("source_account") == account) & _days("operation_date", begin, end)
     )
 
 
 def balances_by_account(balances: DataFrame, account: str, begin, end) -> DataFrame:
     return balances.where(
-        (F.col("account_number") == account) & F.col("row_date").between(_ts(begin), _ts(end))
+        (F.col("account_number") == account) & _days("row_date", begin, end)
     )
 
 
@@ -175,10 +180,13 @@ def statement_summary(extracts: DataFrame, ordinal: list[str]) -> DataFrame:
     ).drop(*ordinal)
 
 
-def statement_detail(extracts: DataFrame, statement: str, ordinal: list[str], n: int = 5) -> DataFrame:
-    """The first detail rows of one statement; a header without movement is no detail."""
-    rows = head_in_order(extracts.where(F.col("statement_number") == statement), ordinal, n)
-    return rows.where(F.col("amount").isNotNull()).select(
+def statement_detail(
+    extracts: DataFrame, statement: str, ordinal: list[str], n: int | None = None
+) -> DataFrame:
+    """The detail rows of one statement, or the first ``n`` of them; a header without movement is
+    no detail."""
+    mine = extracts.where((F.col("statement_number") == statement) & F.col("amount").isNotNull())
+    return (mine if n is None else head_in_order(mine, ordinal, n)).select(
         "statement_number", "real_date_activity", "amount", "debit_credit_type",
         "code_description_bank",
     )
@@ -195,7 +203,7 @@ def availability_matrix(accounts: DataFrame, datasets: Mapping[str, tuple[DataFr
     out = accounts.select("account_number", "bank_name", "currency")
     for name, (df, account_col, date_col) in datasets.items():
         if date_col:
-            df = df.where((F.col(date_col) >= F.lit(begin)) & (F.col(date_col) <= F.lit(as_of)))
+            df = df.where((F.col(date_col) >= F.lit(begin)) & filters.up_to(date_col, as_of))
         counts = df.groupBy(F.col(account_col).alias("account_number")).agg(
             F.count(F.lit(1)).alias(f"__{name}")
         )

@@ -46,7 +46,7 @@ def extract_records(d: Data):
         WHEN 'purchase' THEN concat('{{"data":5,"movimientos":', {rows}, '}}')
         WHEN 'signup' THEN concat('{{"other":[],"results":', {rows}, '}}')
         ELSE concat('{{"oops":', {rows}) END"""
-    df = d.spread("events").selectExpr("event_id", f"{body} AS body", "0 AS page", f"{FETCHED} AS fetched_at")
+    df = d.events.selectExpr("event_id", f"{body} AS body", "0 AS page", f"{FETCHED} AS fetched_at")
     out = landing.extract_records(df)
     return out.select(
         "event_id", F.col("ordinal.pos").alias("pos"),
@@ -60,7 +60,7 @@ FROM events
 """)
 def stitch_pages(d: Data):
     """Every page landed twice; the later landing counts."""
-    both = d.spread("events").selectExpr(
+    both = d.events.selectExpr(
         "CAST(user_id AS STRING) AS request_id", "CAST(event_id AS INT) AS page",
         """explode(array(
             named_struct('fetched_at', ts, 'body', concat('{"data":[{"kind":"', event_type, '"}]}')),
@@ -101,7 +101,7 @@ def page_completeness(d: Data):
         WHEN 'MACHINERY' THEN concat('{{"last":', i = {last}, ',"data":', {rows}, '}}')
         WHEN 'FURNITURE' THEN concat('{{"totalElements":', {total}, ',"data":', {rows}, '}}')
         ELSE {rows} END"""
-    df = d.spread("customer").selectExpr("*", f"explode(sequence(0, CAST({last} AS INT))) AS i").where(
+    df = d.customer.selectExpr("*", f"explode(sequence(0, CAST({last} AS INT))) AS i").where(
         f"NOT (c_mktsegment = 'MACHINERY' AND i = 1) "
         f"AND NOT (c_mktsegment = 'FURNITURE' AND i = {last} AND i > 0)"
     )
@@ -149,7 +149,7 @@ BALANCE_BODY = """to_json(named_struct('data', array(named_struct(
 
 
 def balance_rows(d: Data) -> DataFrame:
-    return bank.wire_rows(pages(d.spread("customer"), BALANCE_BODY, "NULL"), "balance")
+    return bank.wire_rows(pages(d.customer, BALANCE_BODY, "NULL"), "balance")
 
 
 SQL_BALANCES = """
@@ -222,7 +222,7 @@ STATEMENT_BODY = f"""CASE WHEN o_orderstatus = 'F' THEN
 
 
 def statement_pages(d: Data) -> DataFrame:
-    return pages(d.spread("orders"), STATEMENT_BODY, "o_custkey")
+    return pages(d.orders, STATEMENT_BODY, "o_custkey")
 
 
 SQL_STATEMENTS = """
@@ -314,7 +314,7 @@ TRANSFER_BODY = f"""concat('{{"transfers":[', CASE o_orderstatus
 
 def transfer_rows(d: Data) -> DataFrame:
     return normalize(
-        bank.wire_rows(pages(d.spread("orders"), TRANSFER_BODY, "NULL"), "transfer"), "transfer"
+        bank.wire_rows(pages(d.orders, TRANSFER_BODY, "NULL"), "transfer"), "transfer"
     )
 
 
@@ -372,7 +372,7 @@ FROM orders
 """)
 def voucher_flatten(d: Data):
     rows = normalize(
-        bank.wire_rows(pages(d.spread("orders"), VOUCHER_BODY, "NULL"), "voucher"), "voucher"
+        bank.wire_rows(pages(d.orders, VOUCHER_BODY, "NULL"), "voucher"), "voucher"
     )
     return rows.select(
         "transfer_id", "total_amount", "debit_account_taxpayer_cuit", "debit_account_voucher_number",
@@ -419,7 +419,7 @@ FROM lineitem
 """)
 def normalize_movements(d: Data):
     """Two spellings of the same movement give the same row and the same key."""
-    landed = pages(d.spread("lineitem"), MOVEMENT_BODY, "l_suppkey", "'anteriores'")
+    landed = pages(d.lineitem, MOVEMENT_BODY, "l_suppkey", "'anteriores'")
     rows = normalize(bank.wire_rows(landed, "movement"), "movement", "anteriores")
     return rows.select(
         "movement_hash", "source_account", "voucher_number", "correlative_number", "amount",
@@ -438,7 +438,7 @@ SELECT sha256({SQL_HASH_PARTS}) AS movement_hash,
 FROM lineitem
 """)
 def natural_key_hash(d: Data):
-    rows = d.spread("lineitem").selectExpr(
+    rows = d.lineitem.selectExpr(
         "l_suppkey AS source_account", "l_orderkey AS voucher_number", "l_shipdate AS process_date",
         "CAST(l_extendedprice AS STRING) AS amount", "l_returnflag AS debit_credit_type",
         "l_partkey AS operation_code_ib", "CAST(NULL AS STRING) AS branch_office_activity",
@@ -470,7 +470,7 @@ FROM m
 """)
 def provisional_key(d: Data):
     """Same-day movements without numbers of their own: twins are told apart by arrival."""
-    rows = d.spread("lineitem").selectExpr(
+    rows = d.lineitem.selectExpr(
         "CAST(l_suppkey AS STRING) AS source_account",
         "CAST(CAST(date_trunc('YEAR', l_shipdate) AS TIMESTAMP_NTZ) AS STRING) AS process_date",
         "CAST(l_quantity AS STRING) AS amount", "l_returnflag AS debit_credit_type",
@@ -496,7 +496,7 @@ def same_day_rows(d: Data):
     """The same-day feed: no movement date, so process date or now stands in."""
     body = """concat('[', to_json(named_struct('amount', CAST(l_extendedprice AS DECIMAL(18,2)),
         'process_date', if(l_linestatus = 'O', date_format(l_shipdate, 'yyyy-MM-dd'), NULL))), ']')"""
-    rows = bank.wire_rows(pages(d.spread("lineitem"), body, "l_suppkey", "'dia'"), "movement")
+    rows = bank.wire_rows(pages(d.lineitem, body, "l_suppkey", "'dia'"), "movement")
     rows = normalize(rows, "movement", "dia", S.lit_ts(AS_OF), ["ordinal"], bank.arrival_block())
     return rows.select("source_account", "movement_source", "movement_date", "amount")
 
@@ -734,27 +734,6 @@ def table_counts(d: Data):
     )
 
 
-@query("""
-SELECT 'ib_movements' AS table_name, CAST(0 AS BIGINT) AS rows
-UNION ALL SELECT 'mp_payments', CAST(0 AS BIGINT)
-UNION ALL SELECT process_name, CAST(count(last_successful_sync) AS BIGINT)
-FROM (SELECT DISTINCT event_type AS process_name, CAST(NULL AS TIMESTAMP) AS last_successful_sync FROM events)
-GROUP BY 1
-""")
-def reset_tables(d: Data):
-    """Data tables end up empty; control rows stay but have never succeeded."""
-    control = d.events.select(F.col("event_type").alias("process_name")).distinct()
-    control = control.withColumns(
-        {"source_system": F.lit("IB"), "last_successful_sync": S.lit_ts(AS_OF), "updated_at": S.lit_ts(AS_OF)}
-    )
-    tables = {"ib_movements": S.movements(d.lineitem), "mp_payments": S.payments(d.orders)}
-    empty, cleared = mutate.reset_tables(tables, control, S.lit_ts(AS_OF))
-    done = cleared.groupBy(F.col("process_name").alias("table_name")).agg(
-        F.count("last_successful_sync").alias("rows")
-    )
-    return audit.table_counts(empty).unionByName(done)
-
-
 @query("""
 WITH pay AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P'),
      tr AS (SELECT o_orderkey AS id, o_custkey || '-' || o_orderpriority AS num FROM orders WHERE o_orderstatus <> 'F'),

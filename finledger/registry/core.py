@@ -23,21 +23,12 @@ class Data:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """The table over all cores when its file holds fewer row groups than there are
-        cores; a table of many files is left as it is."""
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def stream(self, name: str) -> DataFrame:
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        stream = (
-            self.spark.readStream.schema(df.schema).option("pathGlobFilter", f"{name}.parquet")
+        schema = getattr(self, name).schema
+        return (
+            self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
             .parquet(self.path)
         )
-        return stream.repartition(cores) if df.rdd.getNumPartitions() < cores else stream
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -199,7 +199,9 @@ def cap_cycle(d: Data):
 WITH c AS (SELECT o_orderdate AS ts, count(*) AS n FROM orders GROUP BY 1),
      r AS (SELECT ts, n, sum(n) OVER (ORDER BY ts) - n AS before FROM c)
 SELECT CAST(max(ts) FILTER (WHERE before < 10000) AS TIMESTAMP) AS carry_over_from,
-       CAST(greatest(sum(n) - 10000, 0) AS BIGINT) AS left_over FROM r
+       (SELECT max(o_orderkey) FROM (SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10000)
+        WHERE o_orderdate = (SELECT max(ts) FILTER (WHERE before < 10000) FROM r)) AS carry_over_key,
+       CAST(greatest(sum(n) - 10000, 0) AS BIGINT) AS left_over, CAST(0 AS BIGINT) AS skipped FROM r
 """)
 def cap_carry_over(d: Data):
     rows = S.payments(d.orders).select("payment_id", "date_last_updated")
@@ -346,6 +348,31 @@ def alert_absence(d: Data):
     return alerts.absence_alert(d.events, "event_type", "ts")
 
 
+@query("""
+WITH a AS (SELECT max(ts) + INTERVAL 1 HOUR AS as_of FROM events),
+     s AS (SELECT event_type, ts, lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS next_ts FROM events),
+     g AS (SELECT event_type, ts, coalesce(next_ts, as_of) AS next_ts FROM s, a)
+SELECT event_type, ts AS gap_start, next_ts AS gap_end, date_sub('second', ts, next_ts) AS gap_seconds
+FROM g WHERE next_ts > ts + INTERVAL 30 MINUTE
+UNION ALL SELECT 'nightly', NULL, as_of, NULL FROM a
+""")
+def alert_silent_now(d: Data):
+    """Gaps up to an hour after the last event, with a process that is expected and never ran."""
+    as_of = F.lit(d.events.agg(F.max("ts")).first()[0]) + F.expr("INTERVAL 1 HOUR")
+    types = d.events.select("event_type").distinct()
+    expected = types.unionByName(d.spark.createDataFrame([("nightly",)], "event_type STRING"))
+    return alerts.absence_alert(
+        d.events, "event_type", "ts", as_of=as_of.cast("timestamp_ntz"), expected=expected
+    )
+
+
+@query(_sliding_sql("event_type = 'purchase'", "sum(k)", 200, 15, 5))
+def alert_sum(d: Data):
+    """Threshold on a sum."""
+    rule = alerts.Threshold("15 minutes", "5 minutes", "sum", 200)
+    return alerts.threshold_alert(d.events.where("event_type = 'purchase'"), "ts", rule, S.k())
+
+
 # -- signed notifications ------------------------------------------------------------------
 SECRET = "local-check-secret"
 RECEIVED_MS = "CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS BIGINT)"
@@ -355,7 +382,7 @@ def notifications(d: Data):
     """Events as notifications of every kind: fine, stale, early, malformed, foreign."""
     stamp = f"""CASE {_kind()} WHEN 0 THEN {RECEIVED_MS} - 301000 WHEN 1 THEN {RECEIVED_MS} + 301000
         ELSE {RECEIVED_MS} - 1000 END"""
-    return d.spread("events").selectExpr(
+    return d.events.selectExpr(
         "event_id",
         """CASE WHEN event_type = 'signup' THEN concat('{"topic":"payment","id":', event_id, '}')
              WHEN event_type = 'error' THEN concat('{"type":"payment",', event_id)
@@ -413,7 +440,19 @@ def signature_manifest(d: Data):
     )
 
 
-@query()
+@query(f"""
+WITH e AS (SELECT *, {S.SQL_K} // 10 AS g,
+             CASE WHEN event_type = 'click' THEN '' ELSE CAST(event_id AS VARCHAR) END AS data_id,
+             CASE WHEN event_type = 'purchase' THEN 'invoice' ELSE 'payment' END AS kind FROM events),
+c AS (SELECT *, CASE WHEN g = 6 THEN 'missing_x_request_id' WHEN data_id = '' THEN 'missing_data_id'
+        WHEN event_id % 2 = 1 THEN 'hmac_mismatch' ELSE 'ok' END AS age FROM e)
+SELECT event_id, CASE WHEN event_type = 'error' THEN '' ELSE data_id END AS data_id,
+       CASE WHEN event_type = 'error' THEN '' ELSE kind END AS event_type,
+       CASE WHEN event_type = 'error' THEN 400 WHEN age <> 'ok' THEN 401 WHEN kind <> 'payment' THEN 200 ELSE 202 END AS status_code,
+       CASE WHEN event_type = 'error' THEN 'invalid_json' WHEN age <> 'ok' THEN age
+            WHEN kind <> 'payment' THEN 'ignored' ELSE 'accepted' END AS reason
+FROM c
+""")
 def triage_events(d: Data):
     """All notifications signed: genuine ones pass, forged ones do not."""
     rows = notifications(d).drop("x_signature")

@@ -23,7 +23,7 @@ CUT = "2000-01-01"
 
 
 def docs(d: Data):
-    return S.documents(d.spread("orders"))
+    return S.documents(d.orders)
 
 
 @query("""
@@ -35,7 +35,7 @@ def payments_per_day(d: Data):
     """Deliveries deduplicated, parsed, merged into the stored table, counted per day."""
     stored = S.payments(d.orders.where(F.col("o_orderdate") < CUT))
     stored = conform(stored, SPECS["mp_payments"].schema)
-    merged = plan.merged_payments(S.two_deliveries(d.spread("orders")), stored, ["seq"], S.lit_ts(AS_OF))
+    merged = plan.merged_payments(S.two_deliveries(d.orders), stored, ["seq"], S.lit_ts(AS_OF))
     return reports.payments_per_day(merged, AS_OF)
 
 
@@ -107,7 +107,7 @@ WHERE status = 'approved' AND date_created BETWEEN TIMESTAMP '1998-01-01' AND TI
 """)
 def payments_search(d: Data):
     """Search pages whose windows overlap: each payment comes back twice."""
-    pages = d.spread("orders").select(
+    pages = d.orders.select(
         F.lit(1).alias("page"),
         F.concat(F.lit('{"paging":{"total":2},"results":['), S.payment_doc(), F.lit(","),
                  S.payment_doc(), F.lit("]}")).alias("body"),
@@ -233,7 +233,7 @@ def replace_children(d: Data):
         F.concat(F.lit("line-"), F.col("l_linenumber")).alias("charge_id"),
         S.money("l_extendedprice").alias("amount_original"),
     )
-    touched = d.spread("orders").where(F.col("o_orderdate") >= CUT)
+    touched = d.orders.where(F.col("o_orderdate") >= CUT)
     new = payment_charges(S.documents(touched))
     parents = touched.select(F.col("o_orderkey").alias("payment_id"))
     return mutate.replace_children(old, parents, new, "payment_id")

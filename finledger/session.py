@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,14 +30,24 @@ def build_session(master: str | None = None, app: str = "finledger", **conf: str
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name under the folder shared by all executors.
-
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    master, where driver and executors are one machine, may fall back to /tmp.
-    """
+    """A fresh folder name under the folder shared by driver and executors, which the session
+    names in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="finledger-")
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _filesystem(spark, path)
+    return fs.exists(where)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _filesystem(spark, path)
+    fs.delete(where, True)

@@ -33,9 +33,15 @@ def stream_pages(
     spark: SparkSession, path: str, schema: str | T.StructType = PAGE_SCHEMA,
     fmt: str = "json", **options: str,
 ) -> DataFrame:
-    """The same rows as a stream; a message bus is a matter of format and options."""
+    """The same rows as a stream, from files or from the values of a message bus."""
     reader = spark.readStream.format(fmt).options(**options)
-    return reader.schema(schema).load(path) if fmt != "kafka" else reader.load()
+    return reader.schema(schema).load(path) if fmt != "kafka" else parse_messages(reader.load(), schema)
+
+
+def parse_messages(messages: DataFrame, schema: str | T.StructType = PAGE_SCHEMA) -> DataFrame:
+    """Rows of a message bus (binary ``value`` holding JSON) as landed pages."""
+    row = F.from_json(F.col("value").cast("string"), schema)
+    return messages.select(row.alias("m")).select("m.*")
 
 
 def with_records(

@@ -1,35 +1,44 @@
-"""Ledger tables on plain Parquet, written with public writers only.
+"""Ledger tables on plain Parquet: batches are appended, nothing stored is ever changed.
 
-Layout: ``[partition column/]key_bucket=n``. The bucket hashes the natural key (children:
-the parent's key), so an update reads and rewrites the buckets its batch touches and
-nothing else, and a child bucket holds whole families. Every stored row carries the
-``batch_id`` that wrote it. Batches are written to the shared scratch folder once and read
-back, so each is computed once and a lost executor does not reach back into its sources.
+Layout of a table's folder::
+
+    rows/batch_folder=n-x/[partition column=v/]key_bucket=b/   the rows of one batch
+    commits/seq=n/                                             one row that makes it count
+    errors/batch=id/                                           rows that cannot be stored
+
+A batch writes the new state of the rows it touches (deleted ones as markers) into a folder of
+its own, and then its commit. Readers take committed folders only, so a writer that dies leaves no
+trace, and what is being read is never replaced. The current row of a key is the one with the
+highest commit; the children of a parent are those of the last batch that replaced them. A batch
+costs what it holds plus the stored buckets of its keys; ``compact_table`` now and then writes the
+current state as one folder, from which readers start.
+
+The bucket hashes the natural key (children: the parent's key). The commit carries the highest
+surrogate id ever given, so ids are counted on without a look at the table and never come back. A
+table has one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finledger.operators.dedup import keep_last
-from finledger.operators.mutate import (
-    PROVISIONAL,
-    assign_surrogate,
-    merge_upsert,
-    reconcile_provisional,
-    replace_children,
-)
+from finledger.operators.mutate import PROVISIONAL, assign_surrogate, merge_upsert
 from finledger.schemas import TableSpec
-from finledger.session import scratch_path
+from finledger.session import folder_exists, remove_folder, scratch_path
 from finledger.sources.conform import conform
 
 BUCKET = "key_bucket"
 BATCH = "batch_id"
-NO_LABEL = "__HIVE_DEFAULT_PARTITION__"  # the folder Spark gives to NULL partition values
+SEQ = "batch_seq"
+GONE = "row_gone"
+COMMIT = "seq BIGINT, folder STRING, batch_id STRING, whole BOOLEAN, high_id BIGINT, rows BIGINT"
+BLOCKS = 1024  # ranges of the key's hash whose new ids are counted side by side
 
 
 def bucket_keys(spec: TableSpec) -> tuple[str, ...]:
@@ -41,48 +50,132 @@ def bucket_of(spec: TableSpec) -> Column:
 
 
 def stored_schema(spec: TableSpec) -> T.StructType:
-    return spec.schema.add(BATCH, T.StringType()).add(BUCKET, T.IntegerType())
-
-
-def _folders(spec: TableSpec) -> list[str]:
-    return [*([spec.partition_by] if spec.partition_by else []), BUCKET]
+    extra = ((BATCH, T.StringType()), (SEQ, T.LongType()), (GONE, T.BooleanType()),
+             (BUCKET, T.IntegerType()))
+    return T.StructType([*spec.schema.fields, *[T.StructField(n, t) for n, t in extra]])
 
 
-def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
-    """The same rows from a written copy in the shared scratch folder."""
+def stage(df: DataFrame, purpose: str = "stage") -> tuple[DataFrame, str]:
+    """The same rows from a written copy in the shared scratch folder, and that folder, which
+    the caller removes when the batch is done."""
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def create_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """An empty table unless there is one."""
-    empty = spark.createDataFrame([], stored_schema(spec))
-    empty.write.mode("ignore").partitionBy(*_folders(spec)).parquet(path)
+# -- commits --------------------------------------------------------------------------------
+def commits(spark: SparkSession, path: str) -> list[Row]:
+    """The committed batches in order; there are as many as since the last compaction was
+    vacuumed."""
+    log = f"{path}/commits"
+    if not folder_exists(spark, log):
+        return []
+    rows = spark.read.schema(COMMIT).option("recursiveFileLookup", "true").parquet(log)
+    return sorted(rows.collect(), key=lambda r: r["seq"])
 
 
-def read_table(spark: SparkSession, path: str, spec: TableSpec, stored: bool = False) -> DataFrame:
-    """The table's rows. ``stored`` adds batch and bucket."""
-    schema = stored_schema(spec)
-    df = spark.read.schema(schema).parquet(path).select(*schema.names)
-    return df if stored else df.drop(BATCH, BUCKET)
+def _live(log: Sequence[Row]) -> list[Row]:
+    """Commits from the last one that holds the whole state."""
+    first = max((i for i, c in enumerate(log) if c["whole"]), default=0)
+    return list(log[first:])
+
+
+def _high_id(log: Sequence[Row]) -> int:
+    return max((c["high_id"] or 0 for c in log), default=0)
 
 
-def _write(df: DataFrame, path: str, folders: Sequence[str]) -> None:
+def _append(
+    spark: SparkSession, path: str, spec: TableSpec, rows: DataFrame, batch_id: str | None,
+    whole: bool = False,
+) -> int:
+    """Writes a batch and commits it; returns how many rows it holds, markers not counted.
+
+    ``rows`` has the table's columns and ``GONE``. A folder's name is never used twice.
+    """
+    log = commits(spark, path)
+    seq = log[-1]["seq"] + 1 if log else 1
+    folder = f"batch_folder={seq}-{uuid.uuid4().hex}"
+    stamps = {BATCH: F.lit(batch_id).cast("string"), SEQ: F.lit(seq).cast("bigint"),
+              BUCKET: bucket_of(spec)}
+    schema = stored_schema(spec)
+    if BATCH in rows.columns:
+        stamps.pop(BATCH)
+    folders = [*([spec.partition_by] if spec.partition_by else []), BUCKET]
     # rebalance: about one file per bucket, large buckets split, small ones merged
     (
-        df.hint("rebalance", *folders)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders)
-        .parquet(path)
+        conform(rows.withColumns(stamps), schema).hint("rebalance", *folders)
+        .write.partitionBy(*folders).parquet(f"{path}/rows/{folder}")
     )
+    written = _read(spark, path, spec, [folder])
+    top = F.max(spec.surrogate) if spec.surrogate else F.lit(None).cast("bigint")
+    found = written.agg(
+        top.alias("top"), F.coalesce(F.count_if(~F.col(GONE)), F.lit(0)).alias("rows")
+    ).first()
+    high = max(_high_id(log), found["top"] or 0)
+    row = (seq, folder, batch_id, whole, high, found["rows"])
+    spark.createDataFrame([row], COMMIT).coalesce(1).write.parquet(f"{path}/commits/seq={seq}")
+    return found["rows"]
+
+
+def _read(spark: SparkSession, path: str, spec: TableSpec, folders: Sequence[str]) -> DataFrame:
+    schema = stored_schema(spec)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return (
+        spark.read.schema(schema).option("basePath", f"{path}/rows")
+        .parquet(*[f"{path}/rows/{f}" for f in folders]).select(*schema.names)
+    )
+
 
+# -- state ----------------------------------------------------------------------------------
+def current_rows(
+    spark: SparkSession, path: str, spec: TableSpec, buckets: Sequence[int] | None = None,
+    partition: str | None = None,
+) -> DataFrame:
+    """The table's rows with batch, commit and bucket. Buckets and partition prune the scan.
 
-def write_table(df: DataFrame, path: str, spec: TableSpec, batch_id: str | None = None) -> None:
-    """Whole rows into the table, replacing the buckets they fall into."""
-    df = conform(df, spec.schema).withColumns({BATCH: F.lit(batch_id).cast("string"), BUCKET: bucket_of(spec)})
-    _write(df, path, _folders(spec))
+    Keys are reduced to their highest commit first; whole rows meet that short list.
+    """
+    log = _live(commits(spark, path))
+    rows = _read(spark, path, spec, [c["folder"] for c in log])
+    if buckets is not None:
+        rows = rows.where(F.col(BUCKET).isin(list(buckets)))
+    if partition is not None:
+        rows = rows.where(F.col(spec.partition_by) == partition)
+    if len(log) > 1:  # within one batch a key has one state
+        unit = list(bucket_keys(spec))
+        newest = rows.groupBy(*unit).agg(F.max(SEQ).alias(SEQ))
+        rows = rows.join(newest, [*unit, SEQ], "left_semi")
+    return rows.where(~F.col(GONE)).select(*stored_schema(spec).names)
+
+
+def read_table(
+    spark: SparkSession, path: str, spec: TableSpec, stored: bool = False,
+    buckets: Sequence[int] | None = None,
+) -> DataFrame:
+    """The table's rows; a table that was never written is empty. ``stored`` adds batch and
+    bucket."""
+    rows = current_rows(spark, path, spec, buckets).drop(SEQ, GONE)
+    return rows if stored else rows.drop(BATCH, BUCKET)
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all batches that could not be stored, with the reason and their batch."""
+    return spark.read.option("basePath", f"{path}/errors").parquet(f"{path}/errors")
+
+
+def _no_key(spec: TableSpec) -> Column:
+    return F.array_contains(F.array(*[F.col(k).isNull() for k in bucket_keys(spec)]), True)
+
+
+def _set_aside(bad: DataFrame, path: str, batch_id: str) -> int:
+    """Rows without a key cannot be found again, so each run would add them anew: they go to the
+    errors of their batch, which a repeated batch replaces. Returns how many."""
+    folder = f"{path}/errors/batch={batch_id}"
+    spark, count = bad.sparkSession, bad.count()
+    if count or folder_exists(spark, folder):
+        bad.withColumn("error", F.lit("missing_key")).write.mode("overwrite").parquet(folder)
+    return count
 
 
 def _touched(df: DataFrame) -> list[int]:
@@ -90,128 +183,143 @@ def _touched(df: DataFrame) -> list[int]:
     return [r[0] for r in df.select(BUCKET).distinct().collect()]
 
 
-def id_block(spec: TableSpec, width: int = 1_000_000) -> Column:
-    """Ranges of the natural key that are numbered side by side: a prefix of a hash key
-    (even by nature), or an integer key cut by ``width``."""
-    key = spec.keys[0] if spec.keys else bucket_keys(spec)[0]
-    if isinstance(spec.schema[key].dataType, T.StringType):
-        return F.substring(key, 1, 4)
-    return F.floor(F.col(key) / width)
+def id_block(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BLOCKS))
+
+
+def _numbered(fresh: DataFrame, spec: TableSpec, key: str, high: int) -> DataFrame:
+    return assign_surrogate(None, fresh, spec.surrogate, key, id_block(key), high)
+
+
+# -- writing --------------------------------------------------------------------------------
+def write_table(df: DataFrame, path: str, spec: TableSpec, batch_id: str | None = None) -> int:
+    """Whole rows into the table; they take the place of those with their key (children: of all
+    those of their parent). Returns how many."""
+    rows = conform(df, spec.schema).where(~_no_key(spec)).withColumn(GONE, F.lit(False))
+    return _append(df.sparkSession, path, spec, rows, batch_id)
 
 
 def upsert_table(
     spark: SparkSession, path: str, spec: TableSpec, batch: DataFrame, as_of: Column,
     batch_id: str, ordinal: Sequence[str] = (),
-) -> None:
-    """Merge a batch into the table (stage, load, merge)."""
-    if ordinal:
-        batch = keep_last(batch, spec.keys, ordinal).drop(*ordinal)
-    batch = stage(
-        batch.select(*spec.keys, *spec.update_cols)
-        .withColumns({BATCH: F.lit(batch_id), BUCKET: bucket_of(spec)}), spec.name,
-    )
-    touched = _touched(batch)
-    if not touched:
-        return
-    create_table(spark, path, spec)
-    whole = read_table(spark, path, spec, stored=True)
-    target = whole.where(F.col(BUCKET).isin(touched))
-    if spec.partition_by:
-        # a key never moves between partitions; rows not yet labelled are looked at as well
-        values = [r[0] for r in batch.select(spec.partition_by).distinct().collect()]
-        target = target.where(
-            F.col(spec.partition_by).isin(values) | F.col(spec.partition_by).isNull()
-        )
-    insert_only = [BUCKET]
-    if spec.surrogate:
-        fresh = batch.join(target.select(*spec.keys), list(spec.keys), "left_anti")
-        ids = assign_surrogate(whole, fresh.select(*spec.keys), spec.surrogate, spec.keys[0],
-                               id_block(spec))
-        batch = batch.join(ids, list(spec.keys), "left")
-        insert_only.append(spec.surrogate)
-    merged = merge_upsert(
-        target, batch, spec.keys, [*spec.update_cols, BATCH], as_of, spec.touch,
-        [spec.created, *([spec.touch] if spec.touch else [])], spec.name, insert_only=insert_only,
+) -> dict[str, int]:
+    """Merge a batch into the table. Returns the rows read, upserted, repeated and in error.
+
+    With an ordinal the last row of a key counts. Rows without a key are set aside.
+    """
+    staged, folder = stage(
+        batch.select(*spec.keys, *spec.update_cols, *ordinal).withColumn(BUCKET, bucket_of(spec)),
+        spec.name,
     )
-    unlabelled = set(_touched(target.where(F.col(spec.partition_by).isNull()))) if spec.partition_by else set()
-    if unlabelled:  # rows that get their label now leave the folder of the unlabelled
-        merged = stage(merged, spec.name)
-        unlabelled -= set(_touched(merged.where(F.col(spec.partition_by).isNull())))
-    _write(merged, path, _folders(spec))
-    _blank(spark, path, spec, unlabelled, f"{spec.partition_by}={NO_LABEL}/")
-
-
-def _blank(spark: SparkSession, path: str, spec: TableSpec, buckets: set[int], under: str = "") -> None:
-    """Empty buckets no row falls into any more; a dynamic overwrite leaves them as they were."""
-    schema = T.StructType([f for f in stored_schema(spec) if f.name not in _folders(spec)])
-    none = spark.createDataFrame([], schema)
-    for bucket in sorted(buckets):
-        none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{path}/{under}{BUCKET}={bucket}"
+    good, read = staged.where(~_no_key(spec)), staged.count()
+    errors = _set_aside(staged.where(_no_key(spec)).drop(BUCKET, *ordinal), path, batch_id)
+    if ordinal:
+        good = keep_last(good, spec.keys, ordinal).drop(*ordinal)
+    touched = _touched(good)
+    upserted = 0
+    if touched:
+        keys = good.select(*spec.keys)
+        target = current_rows(spark, path, spec, touched).join(keys, list(spec.keys), "left_semi")
+        insert_only = []
+        if spec.surrogate:
+            fresh = keys.join(target.select(*spec.keys), list(spec.keys), "left_anti")
+            ids = _numbered(fresh, spec, spec.keys[0], _high_id(commits(spark, path)))
+            good = good.join(ids, list(spec.keys), "left")
+            insert_only.append(spec.surrogate)
+        merged = merge_upsert(
+            target.drop(BATCH, SEQ, GONE, BUCKET), good, spec.keys, spec.update_cols, as_of, spec.touch,
+            [spec.created, *([spec.touch] if spec.touch else [])], spec.name, insert_only=insert_only,
         )
+        upserted = _append(spark, path, spec, merged.withColumn(GONE, F.lit(False)), batch_id)
+    remove_folder(spark, folder)
+    return {"read": read, "upserted": upserted, "repeated": read - errors - upserted, "errors": errors}
 
 
 def replace_children_table(
     spark: SparkSession, path: str, spec: TableSpec, parents: DataFrame, new: DataFrame,
     as_of: Column, batch_id: str,
 ) -> int:
-    """Children of the given parents replaced by the new ones; returns how many were written."""
-    parent_key = spec.parent[0]
-    parents = parents.select(parent_key).distinct().withColumn(BUCKET, bucket_of(spec))
-    touched = _touched(parents)
-    if not touched:
-        return 0
-    create_table(spark, path, spec)
-    whole = read_table(spark, path, spec, stored=True)
-    old = whole.where(F.col(BUCKET).isin(touched))
-    new = stage(
-        new.withColumns({
-            spec.created: as_of, BATCH: F.lit(batch_id), BUCKET: bucket_of(spec),
-            "__row": F.monotonically_increasing_id(),
-        }), spec.name,
+    """Children of the given parents replaced by the new ones; returns how many were written.
+
+    A parent without new children is written as a marker, so its old ones no longer count. The
+    stored table is not read.
+    """
+    parent = spec.parent[0]
+    parents = parents.select(parent).where(F.col(parent).isNotNull()).distinct()
+    staged, folder = stage(
+        new.where(F.col(parent).isNotNull())
+        .withColumns({spec.created: as_of, "__row": F.monotonically_increasing_id()}), spec.name,
     )
-    count = new.count()
+    children = staged.join(parents, parent, "left_semi")
     if spec.surrogate:
         # numbered by written position in stretches of a million rows: even when one parent
         # owns much of the batch, or when rows are copies of each other
-        new = assign_surrogate(whole, new, spec.surrogate, "__row", F.shiftright("__row", 20))
-    new = new.drop("__row")
-    emptied = set(touched) - set(_touched(new))
-    if emptied:
-        doubtful = old.where(F.col(BUCKET).isin(sorted(emptied)))
-        emptied -= set(_touched(doubtful.join(parents.drop(BUCKET), parent_key, "left_anti")))
-    _write(replace_children(old, parents, new, parent_key), path, [BUCKET])
-    _blank(spark, path, spec, emptied)
-    return count
+        children = assign_surrogate(
+            None, children, spec.surrogate, "__row", F.shiftright("__row", 20),
+            _high_id(commits(spark, path)),
+        )
+    rows = conform(children.drop("__row"), spec.schema).withColumn(GONE, F.lit(False))
+    childless = parents.join(staged.select(parent), parent, "left_anti")
+    markers = conform(childless, spec.schema).withColumn(GONE, F.lit(True))
+    written = _append(spark, path, spec, rows.unionByName(markers), batch_id)
+    remove_folder(spark, folder)
+    return written
 
 
 def reconcile_table(
     spark: SparkSession, path: str, spec: TableSpec, current: DataFrame, as_of: Column,
-    batch_id: str, scope: DataFrame | None = None,
-) -> None:
-    """Rewrite the same-day partition of the movements table from the current feed.
+    batch_id: str, scope: DataFrame | None = None, scope_key: str = "source_account",
+) -> dict[str, int]:
+    """Same-day rows made equal to the current feed; settled partitions are not read.
 
-    Settled partitions are neither read nor written.
+    Rows in the feed are updated or inserted; same-day rows of the accounts in ``scope`` (all,
+    without one) that are not in the feed any more get a marker.
     """
-    create_table(spark, path, spec)
-    whole = read_table(spark, path, spec, stored=True)
-    target = whole.where(F.col(spec.partition_by) == PROVISIONAL)
-    batch = stage(
-        current.select(*spec.keys, *spec.update_cols)
-        .withColumns({BATCH: F.lit(batch_id), BUCKET: bucket_of(spec)}), spec.name,
-    )
-    fresh = batch.join(target.select(*spec.keys), list(spec.keys), "left_anti")
-    ids = assign_surrogate(whole, fresh.select(*spec.keys), spec.surrogate, spec.keys[0],
-                           id_block(spec))
-    batch = batch.join(ids, list(spec.keys), "left")
-    merged = reconcile_provisional(
-        target, batch, spec.keys, [*spec.update_cols, BATCH, BUCKET], as_of, [spec.created], scope,
+    staged, folder = stage(current.select(*spec.keys, *spec.update_cols), spec.name)
+    good, read = staged.where(~_no_key(spec)), staged.count()
+    errors = _set_aside(staged.where(_no_key(spec)), path, batch_id)
+    target = current_rows(spark, path, spec, partition=PROVISIONAL).drop(BATCH, SEQ, GONE, BUCKET)
+    keys = good.select(*spec.keys)
+    fresh = keys.join(target.select(*spec.keys), list(spec.keys), "left_anti")
+    ids = _numbered(fresh, spec, spec.keys[0], _high_id(commits(spark, path)))
+    merged = merge_upsert(
+        target.join(keys, list(spec.keys), "left_semi"), good.join(ids, list(spec.keys), "left"),
+        spec.keys, spec.update_cols, as_of, None, [spec.created], spec.name,
         insert_only=[spec.surrogate],
-    )
-    written = stage(merged, spec.name)
-    emptied = set(_touched(target)) - set(_touched(written))
-    _write(written, path, _folders(spec))
-    _blank(spark, path, spec, emptied, f"{spec.partition_by}={PROVISIONAL}/")
+    ).withColumn(GONE, F.lit(False))
+    lost = target.join(keys, list(spec.keys), "left_anti")
+    if scope is not None:
+        lost = lost.join(scope.select(scope_key).distinct(), scope_key, "left_semi")
+    lost = conform(lost.drop(spec.surrogate), spec.schema).withColumn(GONE, F.lit(True))
+    rows, marked = stage(merged.unionByName(lost), spec.name)
+    deleted = rows.where(GONE).count()
+    upserted = _append(spark, path, spec, rows, batch_id)
+    for f in (folder, marked):
+        remove_folder(spark, f)
+    return {"read": read, "upserted": upserted, "deleted": deleted, "errors": errors}
+
+
+def reset_table(spark: SparkSession, path: str, spec: TableSpec, batch_id: str) -> None:
+    """Empties the table. Ids given so far are not given again."""
+    none = spark.createDataFrame([], spec.schema).withColumn(GONE, F.lit(False))
+    _append(spark, path, spec, none, batch_id, whole=True)
+
+
+def compact_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """The current state as one new folder, from which reading starts. Rows keep their batch."""
+    rows = current_rows(spark, path, spec).drop(SEQ, BUCKET)
+    _append(spark, path, spec, rows, "compacted", whole=True)
+
+
+def vacuum_table(spark: SparkSession, path: str) -> int:
+    """Removes what no reader starts from any more: folders and commits before the last whole
+    one. Returns how many batches went. Readers that began earlier must have ended."""
+    log = commits(spark, path)
+    old = log[:len(log) - len(_live(log))]
+    for commit in old:  # the commit first: what is left half removed does not count
+        remove_folder(spark, f"{path}/commits/seq={commit['seq']}")
+        remove_folder(spark, f"{path}/rows/{commit['folder']}")
+    return len(old)
 
 
 def merge_into(batch: DataFrame, table: str, spec: TableSpec, as_of: Column) -> None:
@@ -233,17 +341,24 @@ def merge_into(batch: DataFrame, table: str, spec: TableSpec, as_of: Column) ->
 
 
 def export_tables(
-    tables: Mapping[str, DataFrame], out: str, keys: Mapping[str, Sequence[str]],
-    limits: Mapping[str, int], fmt: str = "csv",
-) -> dict[str, str]:
-    """One folder per table. Tables with a limit keep their first rows in key order, the
-    others are exported whole."""
-    written = {}
+    tables: Mapping[str, DataFrame], out: str, keys: Mapping[str, Sequence[str]] = {},
+    limits: Mapping[str, int] = {}, fmt: str = "csv",
+) -> tuple[dict[str, str], dict[str, int], dict[str, str]]:
+    """One folder per table: (folders, rows left out, failures).
+
+    Tables are exported whole; one with a limit keeps its first rows in key order, and how many
+    were left out is returned. A table that fails does not stop the others.
+    """
+    written, left, failed = {}, {}, {}
     for name, df in tables.items():
-        if name in limits:
-            df = df.orderBy(*keys[name]).limit(limits[name])
         path = f"{out}/{name}"
-        writer = df.write.mode("overwrite")
-        (writer.option("header", "true").csv if fmt == "csv" else writer.parquet)(path)
-        written[name] = path
-    return written
+        try:
+            if name in limits:
+                left[name] = max(0, df.count() - limits[name])
+                df = df.orderBy(*keys[name]).limit(limits[name])
+            writer = df.write.mode("overwrite")
+            (writer.option("header", "true").csv if fmt == "csv" else writer.parquet)(path)
+            written[name] = path
+        except Exception as e:  # any failure of one table: the others are exported
+            failed[name] = str(e).splitlines()[0]
+    return written, left, failed

@@ -38,13 +38,15 @@ def test_payment_batches(spark, now, tmp_path):
         return payments.apply_payments(spark, root, landed(spark, *docs), ["seq"], now, batch)
 
     first = apply("b1", doc(1), doc(2), doc(2, status="refunded"), doc(3))
-    assert first == {"processed": 3, "skipped": 0, "charges": 6, "items": 6}
+    assert first == {"processed": 3, "skipped": 0, "charges": 6, "items": 6, "errors": 0}
     assert table(spark, root, "mp_payments").where("payment_id = 2").first()["status"] == "refunded"
-    again = apply("b2", doc(1), doc(2), doc(3))
-    assert again == {"processed": 3, "skipped": 3, "charges": 0, "items": 0}
+    again = apply("b2", doc(1), doc(2), doc(3), "{broken", json.dumps({"id": "12.0x"}))
+    assert again == {"processed": 3, "skipped": 3, "charges": 0, "items": 0, "errors": 2}
+    dead = spark.read.parquet(f"{root}/dead_letters").collect()
+    assert sorted(r["error"] for r in dead) == ["invalid_json", "missing_id"]
     before = {r["payment_id"]: r["charge_row_id"] for r in table(spark, root, "mp_payment_charges").where("payment_id <> 1").collect()}
     third = apply("b3", doc(1, "2026-05-20T00:00:00", charges=0), doc(2))
-    assert third == {"processed": 2, "skipped": 1, "charges": 0, "items": 0}
+    assert third == {"processed": 2, "skipped": 1, "charges": 0, "items": 0, "errors": 0}
     charges = table(spark, root, "mp_payment_charges")
     assert {r[0] for r in charges.select("payment_id").collect()} == {2, 3}
     assert {r["payment_id"]: r["charge_row_id"] for r in charges.collect()} == before
@@ -161,10 +163,59 @@ def test_write_and_export(spark, tmp_path):
     df = spark.range(10).selectExpr("CAST(id AS STRING) AS account_cbu")
     write_table(df, f"{tmp_path}/t", spec)
     assert read_table(spark, f"{tmp_path}/t", spec).count() == 10
-    paths = export_tables({"a": df, "b": df}, f"{tmp_path}/out", {"b": ["account_cbu"]}, {"b": 3})
+    broken = df.select(F.raise_error(F.lit("no access")).alias("x"))
+    paths, left, failed = export_tables(
+        {"a": df, "c": broken, "b": df}, f"{tmp_path}/out", {"b": ["account_cbu"]}, {"b": 3}
+    )
+    assert left == {"b": 7} and list(failed) == ["c"]
     assert spark.read.option("header", True).csv(paths["a"]).count() == 10
     assert [r[0] for r in spark.read.option("header", True).csv(paths["b"]).orderBy("account_cbu").collect()] == ["0", "1", "2"]
 
 
+def test_a_writer_that_dies_leaves_every_old_row(spark, now, tmp_path, monkeypatch):
+    """The write breaks off after the batch's files and before its commit, or while they are
+    written: readers see the state before, and the batch can run again."""
+    from finledger.sources import tables
+
+    spec, path = SPECS["ib_accounts"], f"{tmp_path}/t"
+    old = spark.range(50).selectExpr("CAST(id AS STRING) AS account_cbu", "'old' AS account_label")
+    new = spark.range(25).selectExpr("CAST(id AS STRING) AS account_cbu", "'new' AS account_label")
+    write_table(old, path, spec, "1")
+
+    def state():
+        return rows(read_table(spark, path, spec).select("account_cbu", "account_label"))
+
+    before = state()
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_read", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            write_table(new, path, spec, "2")
+    assert state() == before
+    with pytest.raises(Exception, match="half way"):
+        write_table(new.withColumn("account_label", F.when(F.col("account_cbu") == "24", F.raise_error(F.lit("half way")))
+                                   .otherwise("new")), path, spec, "2")
+    assert state() == before
+    write_table(new, path, spec, "2")
+    assert sum(label == "new" for _, label in state()) == 25 and len(state()) == 50
+
+
+def test_compaction_keeps_state_children_and_ids(spark, now, tmp_path):
+    root = str(tmp_path)
+    payments.apply_payments(spark, root, landed(spark, doc(1), doc(2)), ["seq"], now, "b1")
+    payments.apply_payments(spark, root, landed(spark, doc(1, "2026-06-02", 0), doc(3)), ["seq"], now, "b2")
+    from finledger.sources.tables import commits, compact_table, vacuum_table
+
+    for name in ("mp_payments", "mp_payment_charges"):
+        before = rows(table(spark, root, name))
+        compact_table(spark, f"{root}/{name}", SPECS[name])
+        assert vacuum_table(spark, f"{root}/{name}") == 2
+        assert rows(table(spark, root, name)) == before
+        assert len(commits(spark, f"{root}/{name}")) == 1
+    assert payments.partial_batches(spark, root).count() == 0
+    payments.apply_payments(spark, root, landed(spark, doc(4)), ["seq"], now, "b3")
+    ids = [r[0] for r in table(spark, root, "mp_payment_charges").select("charge_row_id").collect()]
+    assert len(set(ids)) == len(ids) == 6 and max(ids) == 8
+
+
 def test_seven_control_rows():
     assert len(CONTROL_SEED) == 7 and len({p for p, _ in CONTROL_SEED}) == 7
