@@ -32,22 +32,32 @@ TABLE_OF = {
 
 # Text columns that hold identifiers and may arrive as numbers.
 ID_COLUMNS = {
-    "account": "account_number",
-    "balance": "account_number",
-    "movement": """voucher_number branch_office_activity source_account associated_voucher
-        correlative_number grouping_code_standard operation_code_standard""",
-    "transfer": """transaction_number reference_number lot_number payment_number
-        credit_account_account_number debit_account_account_number addenda_operation_numer
-        addenda_payment_receipt addenda_seller_tax_id addenda_voucher_type addenda_community_code
-        addenda_seller_code addenda_sale_point addenda_voucher_number""",
-    "voucher": """network_number afip_control_code afip_nro_formulario afip_fee_number
-        afip_concept_code afip_tax_code afip_vep_number afip_fiscal_period afip_provider_code
-        debit_account_voucher_number billing_company_billing_company_cuit
-        billing_company_billing_account_id paying_customer_voucher_number
-        paying_customer_linkage_code paying_customer_account_cuit paying_customer_account_cbu
-        paying_customer_customer_cuit""",
-    "extract": """statement_number voucher_number grouping_code_ib branch_office_activity
-        correlative_number source_account""",
+    "account": ("account_number",),
+    "balance": ("account_number",),
+    "movement": (
+        "voucher_number", "branch_office_activity", "source_account", "associated_voucher",
+        "correlative_number", "grouping_code_standard", "operation_code_standard",
+    ),
+    "transfer": (
+        "transaction_number", "reference_number", "lot_number", "payment_number",
+        "credit_account_account_number", "debit_account_account_number",
+        "addenda_operation_numer", "addenda_payment_receipt", "addenda_seller_tax_id",
+        "addenda_voucher_type", "addenda_community_code", "addenda_seller_code",
+        "addenda_sale_point", "addenda_voucher_number",
+    ),
+    "voucher": (
+        "network_number", "afip_control_code", "afip_nro_formulario", "afip_fee_number",
+        "afip_concept_code", "afip_tax_code", "afip_vep_number", "afip_fiscal_period",
+        "afip_provider_code", "debit_account_voucher_number",
+        "billing_company_billing_company_cuit", "billing_company_billing_account_id",
+        "paying_customer_voucher_number", "paying_customer_linkage_code",
+        "paying_customer_account_cuit", "paying_customer_account_cbu",
+        "paying_customer_customer_cuit",
+    ),
+    "extract": (
+        "statement_number", "voucher_number", "grouping_code_ib", "branch_office_activity",
+        "correlative_number", "source_account",
+    ),
 }
 
 
@@ -76,7 +86,7 @@ def normalize(
     """
     spec = SPECS[TABLE_OF[dataset]]
     schema = spec.schema
-    ids = set(ID_COLUMNS[dataset].split())
+    ids = set(ID_COLUMNS[dataset])
     payload = [c for c in spec.update_cols if c not in ("raw_json", "movement_source")]
     natural = [k for k in spec.keys if not k.endswith("_hash")]
     extra = [c for c in keep if c not in payload and c not in natural]

@@ -1,7 +1,6 @@
 """Names under which each bank field may arrive, and the wire schemas built from them.
 
-A field arrives under its own name, its camelCase spelling, or one of the listed
-local-language names. The camelCase spelling follows from the name by rule.
+A field arrives under its own name or one of those listed here.
 """
 
 from __future__ import annotations
@@ -16,153 +15,153 @@ from finledger.schemas import TABLE_DDL
 AMOUNT = T.DecimalType(38, 10)
 
 # ---------------------------------------------------------------------------
-# Local-language names per field, several separated by blanks.
+# The other names of each field, in order of precedence.
 # ---------------------------------------------------------------------------
 ACCOUNT = {
-    "account_cbu": "cbu",
-    "bank_number": "numeroBanco",
-    "account_cuit": "cuit",
-    "account_label": "alias descripcion label",
-    "currency": "moneda",
-    "bank_name": "nombreBanco",
-    "account_number": "numeroCuenta",
-    "account_type": "tipoCuenta",
+    "account_cbu": ("cbu",),
+    "bank_number": ("bankNumber", "numeroBanco"),
+    "account_cuit": ("cuit",),
+    "account_label": ("alias", "descripcion", "label"),
+    "currency": ("moneda",),
+    "bank_name": ("bankName", "nombreBanco"),
+    "account_number": ("accountNumber", "numeroCuenta"),
+    "account_type": ("accountType", "tipoCuenta"),
 }
 
 BALANCE = {
-    "bank_number": "numeroBanco",
-    "account_number": "numeroCuenta",
-    "account_type": "tipoCuenta",
-    "currency": "moneda",
-    "account_label": "alias label",
-    "account_name": "nombreCuenta",
-    "row_date": "fecha date",
-    "message": "mensaje",
-    "countable_balance": "saldoContable",
-    "initial_operating_balance": "saldoOperativoInicial",
-    "current_operating_balance": "saldoOperativoActual",
-    "projected_balance_24hs": "saldoProyectado24",
-    "projected_balance_48hs": "saldoProyectado48",
-    "operation_date": "fechaOperacion",
-    "day_balance": "saldoDia",
-    "total_debits": "totalDebitos",
-    "total_credits": "totalCreditos",
-    "is_historical": "esHistorico historico",
+    "bank_number": ("bankNumber", "numeroBanco"),
+    "account_number": ("accountNumber", "numeroCuenta"),
+    "account_type": ("accountType", "tipoCuenta"),
+    "currency": ("moneda",),
+    "account_label": ("alias", "label"),
+    "account_name": ("accountName", "nombreCuenta"),
+    "row_date": ("rowDate", "fecha", "date"),
+    "message": ("mensaje",),
+    "countable_balance": ("countableBalance", "saldoContable"),
+    "initial_operating_balance": ("initialOperatingBalance", "saldoOperativoInicial"),
+    "current_operating_balance": ("currentOperatingBalance", "saldoOperativoActual"),
+    "projected_balance_24hs": ("projectedBalance24hs", "saldoProyectado24"),
+    "projected_balance_48hs": ("projectedBalance48hs", "saldoProyectado48"),
+    "operation_date": ("operationDate", "fechaOperacion"),
+    "day_balance": ("dayBalance", "saldoDia"),
+    "total_debits": ("totalDebits", "totalDebitos"),
+    "total_credits": ("totalCredits", "totalCreditos"),
+    "is_historical": ("isHistorical", "esHistorico", "historico"),
 }
 
 MOVEMENT = {
-    "account_cbu": "cbu",
-    "depositor_code": "codigoDepositante",
-    "operation_code_ib": "codigoOperacionIB",
-    "operation_code_bank": "codigoOperacionBanco",
-    "code_description_ib": "descripcionIB",
-    "customer_cuit": "cuitCliente",
-    "depositor_description": "descripcionDepositante",
-    "code_description_bank": "descripcionBanco",
-    "amount": "importe",
-    "voucher_number": "nroComprobante",
-    "grouping_code_ib": "codigoAgrupamiento",
-    "branch_office_activity": "sucursal",
-    "process_date": "fechaProceso",
-    "debit_credit_type": "tipoMovimiento",
-    "movement_type": "tipMovimiento",
-    "source_account": "cuentaOrigen",
-    "associated_voucher": "comprobanteAsociado",
-    "real_date_activity": "fechaReal",
-    "movement_date": "fechaMovimiento",
-    "value_date": "fechaValor",
-    "correlative_number": "correlativo",
+    "account_cbu": ("cbu",),
+    "depositor_code": ("depositorCode", "codigoDepositante"),
+    "operation_code_ib": ("operationCodeIb", "codigoOperacionIB"),
+    "operation_code_bank": ("operationCodeBank", "codigoOperacionBanco"),
+    "code_description_ib": ("codeDescriptionIb", "descripcionIB"),
+    "customer_cuit": ("customerCuit", "cuitCliente"),
+    "depositor_description": ("depositorDescription", "descripcionDepositante"),
+    "code_description_bank": ("codeDescriptionBank", "descripcionBanco"),
+    "amount": ("importe",),
+    "voucher_number": ("voucherNumber", "nroComprobante"),
+    "grouping_code_ib": ("groupingCodeIb", "codigoAgrupamiento"),
+    "branch_office_activity": ("branchOfficeActivity", "sucursal"),
+    "process_date": ("processDate", "fechaProceso"),
+    "debit_credit_type": ("debitCreditType", "tipoMovimiento"),
+    "movement_type": ("movementType", "tipMovimiento"),
+    "source_account": ("sourceAccount", "cuentaOrigen"),
+    "associated_voucher": ("associatedVoucher", "comprobanteAsociado"),
+    "real_date_activity": ("realDateActivity", "fechaReal"),
+    "movement_date": ("movementDate", "fechaMovimiento"),
+    "value_date": ("valueDate", "fechaValor"),
+    "correlative_number": ("correlativeNumber", "correlativo"),
 }
 
 TRANSFER = {
-    "transfer_id": "id",
-    "transaction_number": "nroTransaccion",
-    "request_date": "fechaSolicitud",
-    "transfer_type_code": "codigoTipo",
-    "transfer_type_description": "descripcionTipo",
-    "account_label": "alias",
-    "amount": "importe",
-    "currency": "moneda",
-    "reference_number": "nroReferencia",
-    "lot_number": "nroLote",
-    "payment_number": "nroPago",
-    "status": "estado",
-    "client": "cliente",
-    "statement_consolidated": "resumenConsolidado",
-    "unified_send": "envioUnificado",
-    "direct_import": "importacionDirecta",
-    "same_owner": "mismoTitular",
-    "internal_client_id": "idClienteInterno",
-    "transfer_comments": "comentarios",
+    "transfer_id": ("transferId", "id"),
+    "transaction_number": ("transactionNumber", "nroTransaccion"),
+    "request_date": ("requestDate", "fechaSolicitud"),
+    "transfer_type_code": ("transferTypeCode", "codigoTipo"),
+    "transfer_type_description": ("transferTypeDescription", "descripcionTipo"),
+    "account_label": ("alias",),
+    "amount": ("importe",),
+    "currency": ("moneda",),
+    "reference_number": ("referenceNumber", "nroReferencia"),
+    "lot_number": ("lotNumber", "nroLote"),
+    "payment_number": ("paymentNumber", "nroPago"),
+    "status": ("estado",),
+    "client": ("cliente",),
+    "statement_consolidated": ("statementConsolidated", "resumenConsolidado"),
+    "unified_send": ("unifiedSend", "envioUnificado"),
+    "direct_import": ("directImport", "importacionDirecta"),
+    "same_owner": ("sameOwner", "mismoTitular"),
+    "internal_client_id": ("internalClientId", "idClienteInterno"),
+    "transfer_comments": ("transferComments", "comentarios"),
 }
 
 EXTRACT = {
-    "statement_number": "nroExtracto",
-    "operation_date": "fechaOperacion",
-    "total_movements": "totalMovimientos",
-    "opening_balance": "saldoApertura",
-    "ending_balance": "saldoCierre",
-    "operation_code_ib": "codigoOperacionIB",
-    "operation_code_bank": "codigoOperacionBanco",
-    "code_description_ib": "descripcionIB",
-    "customer_cuit": "cuitCliente",
-    "depositor_description": "descripcionDepositante",
-    "code_description_bank": "descripcionBanco",
-    "movement_date": "fechaMovimiento",
-    "real_date_activity": "fechaReal",
-    "amount": "importe",
-    "voucher_number": "nroComprobante",
-    "branch_office_activity": "sucursal",
-    "process_date": "fechaProceso",
-    "value_date": "fechaValor",
-    "debit_credit_type": "tipoMovimiento",
-    "correlative_number": "correlativo",
-    "source_account": "cuentaOrigen",
-    "code_description_standard": "descripcionEstandar",
-    "operation_code_bank_standard": "codigoBancoEstandar",
+    "statement_number": ("statementNumber", "nroExtracto"),
+    "operation_date": ("operationDate", "fechaOperacion"),
+    "total_movements": ("totalMovements", "totalMovimientos"),
+    "opening_balance": ("openingBalance", "saldoApertura"),
+    "ending_balance": ("endingBalance", "saldoCierre"),
+    "operation_code_ib": ("operationCodeIb", "codigoOperacionIB"),
+    "operation_code_bank": ("operationCodeBank", "codigoOperacionBanco"),
+    "code_description_ib": ("codeDescriptionIb", "descripcionIB"),
+    "customer_cuit": ("customerCuit", "cuitCliente"),
+    "depositor_description": ("depositorDescription", "descripcionDepositante"),
+    "code_description_bank": ("codeDescriptionBank", "descripcionBanco"),
+    "movement_date": ("movementDate", "fechaMovimiento"),
+    "real_date_activity": ("realDateActivity", "fechaReal"),
+    "amount": ("importe",),
+    "voucher_number": ("voucherNumber", "nroComprobante"),
+    "branch_office_activity": ("branchOfficeActivity", "sucursal"),
+    "process_date": ("processDate", "fechaProceso"),
+    "value_date": ("valueDate", "fechaValor"),
+    "debit_credit_type": ("debitCreditType", "tipoMovimiento"),
+    "correlative_number": ("correlativeNumber", "correlativo"),
+    "source_account": ("sourceAccount", "cuentaOrigen"),
+    "code_description_standard": ("codeDescriptionStandard", "descripcionEstandar"),
+    "operation_code_bank_standard": ("operationCodeBankStandard", "codigoBancoEstandar"),
 }
 
 VOUCHER = {
-    "transfer_id": "id",
-    "request_date": "fechaSolicitud",
-    "transfer_type_description": "descripcionTipo",
-    "transfer_type_code": "codigoTipo",
-    "network_number": "nroRed",
-    "amount": "importe",
-    "currency": "moneda",
-    "validation_code": "codigoValidacion",
-    "total_amount": "importeTotal",
-    "comments": "comentarios",
+    "transfer_id": ("transferId", "id"),
+    "request_date": ("requestDate", "fechaSolicitud"),
+    "transfer_type_description": ("transferTypeDescription", "descripcionTipo"),
+    "transfer_type_code": ("transferTypeCode", "codigoTipo"),
+    "network_number": ("networkNumber", "nroRed"),
+    "amount": ("importe",),
+    "currency": ("moneda",),
+    "validation_code": ("validationCode", "codigoValidacion"),
+    "total_amount": ("totalAmount", "importeTotal"),
+    "comments": ("comentarios",),
 }
 
 # Members of a nested credit or debit account.
 NESTED_ACCOUNT = {
-    "customer_cuit": "cuit",
-    "taxpayer_cuit": "cuitContribuyente",
-    "account_cbu": "cbu",
-    "account_number": "numeroCuenta",
-    "currency": "moneda",
-    "account_type": "tipoCuenta",
-    "bank_number": "numeroBanco",
-    "bank_name": "nombreBanco",
-    "account_label": "alias label",
-    "voucher_number": "",
+    "customer_cuit": ("customerCuit", "cuit"),
+    "taxpayer_cuit": ("cuitContribuyente",),
+    "account_cbu": ("accountCbu", "cbu"),
+    "account_number": ("accountNumber", "numeroCuenta"),
+    "currency": ("moneda",),
+    "account_type": ("accountType", "tipoCuenta"),
+    "bank_number": ("bankNumber", "numeroBanco"),
+    "bank_name": ("bankName", "nombreBanco"),
+    "account_label": ("alias", "label"),
+    "voucher_number": (),
 }
 
 # Members of the tax block of a voucher.
 TAX_BLOCK = {
-    "concept_description": "descripcionConcepto",
-    "control_code": "codigoControl",
-    "nro_formulario": "nroFormulario",
-    "tax_description": "descripcionImpuesto",
-    "fee_number": "nroCuota",
-    "pago_desc": "pagDesc",
-    "provider_name": "nombreProveedor",
-    "concept_code": "codigoConcepto",
-    "tax_code": "codigoImpuesto",
-    "vep_number": "nroVep",
-    "fiscal_period": "periodoFiscal",
-    "provider_code": "codigoProveedor",
+    "concept_description": ("descripcionConcepto",),
+    "control_code": ("codigoControl",),
+    "nro_formulario": ("nroFormulario",),
+    "tax_description": ("descripcionImpuesto",),
+    "fee_number": ("nroCuota",),
+    "pago_desc": ("pagDesc",),
+    "provider_name": ("nombreProveedor",),
+    "concept_code": ("codigoConcepto",),
+    "tax_code": ("codigoImpuesto",),
+    "vep_number": ("nroVep",),
+    "fiscal_period": ("periodoFiscal",),
+    "provider_code": ("codigoProveedor",),
 }
 
 # Members of the objects that are flattened and kept as JSON text as well.
@@ -188,17 +187,7 @@ BILLING_NAMES = ("billing_company", "billingCompany", "empresaFacturadora")
 PAYING_NAMES = ("paying_customer", "payingCustomer", "clientePagador")
 TAX_NAMES = ("afip", "datosAfip")
 
-# Fields that never arrive in camelCase.
-NO_CAMEL = {
-    "account": {"account_cbu", "account_cuit", "account_label"},
-    "balance": {"account_label"},
-    "movement": {"account_cbu"},
-    "transfer": {"account_label"},
-    "nested_account": {"account_label", "taxpayer_cuit", "voucher_number"},
-    "tax_block": set(TAX_BLOCK),
-}
-
-_LOCAL = {
+_NAMES = {
     "account": ACCOUNT,
     "balance": BALANCE,
     "movement": MOVEMENT,
@@ -216,18 +205,9 @@ OWN_NAME_ONLY = {
 }
 
 
-def camel(name: str) -> str:
-    head, *rest = name.split("_")
-    return head + "".join(part.capitalize() for part in rest)
-
-
 def alias_map(dataset: str) -> dict[str, list[str]]:
     """Field name to its other names, in order of precedence."""
-    out = {}
-    for name, local in _LOCAL[dataset].items():
-        english = [] if name in NO_CAMEL.get(dataset, ()) else [camel(name)]
-        out[name] = [a for a in english + local.split() if a != name]
-    return out
+    return {name: list(others) for name, others in _NAMES[dataset].items()}
 
 
 def _amounts() -> set[str]:
