@@ -19,7 +19,7 @@ def search_payments(
     descending: bool = True, limit: int | None = None, offset: int = 0, key: str = "payment_id",
 ) -> DataFrame:
     """Payments in the closed range, optionally of one status, sorted and paged."""
-    out = df.where(F.col(field).between(begin, end))
+    out = df.where((F.col(field) >= begin) & up_to(field, end))
     if status:
         out = out.where(F.col("status") == status)
     if limit is None and not offset:

@@ -129,6 +129,14 @@ def movements_by_date(movements: DataFrame, begin, end) -> DataFrame:
     return movements.where(_days("process_date", begin, end))
 
 
+def transfer_list(transfers: DataFrame, begin, end, n: int | None = None) -> DataFrame:
+    """Transfers of a closed range in order of request, or the first ``n`` of them."""
+    rows = transfers.where(_days("request_date", begin, end)).select(
+        "transfer_id", "request_date", "amount", "currency", "status"
+    )
+    return rows if n is None else head_in_order(rows, ["request_date", "transfer_id"], n)
+
+
 def extracts_by_account(extracts: DataFrame, account: str, begin, end) -> DataFrame:
     return extracts.where(
         (F.col("source_account") == account) & _days("operation_date", begin, end)
