@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,11 +31,15 @@ def build_session(master: str | None = None, app: str = "finledger", **conf: str
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name under the folder shared by driver and executors, which the session
-    names in ``spark.checkpoint.dir``."""
+    """A fresh folder name under the folder shared by driver and executors.
+
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, as in tests on
+    one machine, a folder is made and set for the rest of the session.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="finledger-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -5,8 +5,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from finledger.operators import audit, control, dedup, mutate, ranking, slices
-from finledger.plans import alerts
+from finledger.operators import audit, control, dedup, filters, mutate, ranking, slices
+from finledger.plans import alerts, reports
 
 DAY = dt.datetime(2026, 1, 1)
 
@@ -246,3 +246,47 @@ def test_absence_and_threshold(spark):
         (DAY + dt.timedelta(minutes=10), 31 * 60), (DAY + dt.timedelta(minutes=41), 30 * 60 + 30)]
     fired = alerts.threshold_alert(at(*[0.1 * i for i in range(6)]), "ts", alerts.SERVER_ERRORS)
     assert fired.count() == 5 and {r["value"] for r in fired.collect()} == {6}
+
+
+def test_cycles_take_every_row_once(spark):
+    df = spark.range(57).selectExpr(
+        "id AS k", "timestamp_ntz'2026-01-01' + make_dt_interval(0, CAST(id % 7 AS INT)) AS ts"
+    )
+    odd = df.limit(2).selectExpr("CAST(NULL AS BIGINT) AS k", "ts").unionByName(
+        df.limit(1).selectExpr("k", "CAST(NULL AS TIMESTAMP_NTZ) AS ts")
+    )
+    got = [r for taken in slices.cycles(df.unionByName(odd), "ts", "k", 10) for r in taken.collect()]
+    assert sorted(r["k"] for r in got) == list(range(57))
+    assert [(r["ts"], r["k"]) for r in got] == sorted((r["ts"], r["k"]) for r in got)
+    whole, carry = slices.cap_cycle(df.unionByName(odd), "ts", "k")
+    assert whole.count() == 57 and carry.first()["left_over"] == 0 and carry.first()["skipped"] == 3
+
+
+def test_slices_hold_every_row_within_the_cap(spark):
+    df = spark.range(500).selectExpr(
+        "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, CAST(id * id % 83 AS INT)) AS ts"
+    ).unionByName(spark.range(3).selectExpr("CAST(NULL AS TIMESTAMP_NTZ) AS ts"))
+    rows = slices.plan_slices(df, "ts", 40).collect()
+    dated = sorted((r for r in rows if r["begin_ts"]), key=lambda r: r["begin_ts"])
+    assert [r["rows"] for r in rows if r["begin_ts"] is None] == [3]
+    assert all(r["rows"] <= 40 for r in dated) and sum(r["rows"] for r in dated) == 500
+    assert all(a["end_ts"] < b["begin_ts"] for a, b in zip(dated, dated[1:]))
+
+
+def test_a_silent_source_is_reported(spark):
+    at = [dt.datetime(2026, 1, 1, 0, m) for m in (0, 10)] + [dt.datetime(2026, 1, 1, 2, 0)]
+    df = spark.createDataFrame([("a", t) for t in at[:2]] + [("b", t) for t in at], "p string, ts timestamp_ntz")
+    expected = spark.createDataFrame([("a",), ("b",), ("c",)], "p string")
+    now = F.lit(dt.datetime(2026, 1, 1, 2, 10)).cast("timestamp_ntz")
+    got = alerts.absence_alert(df, "p", "ts", 30, as_of=now, expected=expected).collect()
+    assert sorted((r["p"], r["gap_seconds"] or 0) for r in got) == [("a", 7200), ("b", 6600), ("c", 0)]
+    with pytest.raises(ValueError):
+        alerts.absence_alert(df, "p", "ts", 5, bin_minutes=10)
+
+
+def test_a_closed_range_ends_with_its_last_day(spark):
+    at = [dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2, 10), dt.datetime(2026, 1, 3)]
+    df = spark.createDataFrame([("a", t) for t in at], "source_account string, process_date timestamp_ntz")
+    assert reports.movements_by_account(df, "a", "2026-01-01", "2026-01-02").count() == 2
+    assert reports.movements_by_date(df, dt.date(2026, 1, 2), dt.date(2026, 1, 2)).count() == 1
+    assert df.where(filters.up_to("process_date", dt.datetime(2026, 1, 2))).count() == 1

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from finledger.functions import messages, redact
+from finledger.functions import messages, redact, signed
 from finledger.functions import scalars as X
 
 
@@ -134,3 +134,10 @@ def test_messages(spark):
     reject = [tuple(r[0]) for r in df.select(messages.parse_reject_message(F.col("m"))).collect()]
     assert sync == [("job_x", 3, 2, 15), (None,) * 4, (None,) * 4]
     assert reject == [(None, None), ("ts_too_old(301s)", "payment"), (None, None)]
+
+
+def test_published_hmac_vector(spark):
+    """RFC 4231, test case 2."""
+    df = spark.createDataFrame([("what do ya want for nothing?",)], "t string")
+    got = df.select(signed.sign_with("Jefe")(F.col("t"))).first()[0]
+    assert got == "5bdcc146bf60754e6a042426089575c75a003f089d2739839dec58b964ec3843"
