@@ -1,6 +1,6 @@
 """Repeated passages found by recompression (Jez, 2013), and their words removed.
 
-Words are named by a hash; then rounds name runs and pairs: a run of one name becomes the name of
+Words are named by a hash of their bytes; then rounds name runs and pairs: a run of one name becomes the name of
 (name, length), and in each pair round the names are split into left and right ones by a bit, and
 every left one followed by a right one becomes the name of the two. A name is computed from the
 names it stands for, so all tasks agree on it without a common dictionary. Which symbols a text gets depends on
@@ -22,7 +22,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,63 +29,79 @@ from finledger.llm.common import batches, mix, texts_of
 
 WINDOW = 20
 ROUNDS = 4
-WORDS_AT_ONCE = 1 << 19  # words of neighbouring documents named together
-MEMORY = 500_000  # words whose names a worker keeps
+BYTES_AT_ONCE = 1 << 20  # texts of neighbouring documents named together
 HOT = 10_000  # documents under a key beyond which its windows are gathered one by one
 NULL_KEY = -(1 << 63)  # null ids count as one id before all others
 BASE = np.uint64(0x9E6C63D0876A9A47)
 LEVELS = np.uint64(0xC2B2AE3D27D4EB4F)
+NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+BLANK = np.array([b in b"\x20\x09\x0a\x0b\x0c\x0d" for b in range(256)])
+OCTETS = mix(np.arange(1, 257, dtype=np.uint64) * LEVELS)  # what each byte counts for
 
 
-class Names(dict):
-    """Word to a position in ``hash``, the names of words."""
+class Powers:
+    """Powers of BASE and of its inverse modulo 2^64, as far as they were needed."""
 
-    def __init__(self):
-        super().__init__()
-        self.hash = np.zeros(1 << 12, dtype=np.uint64)
+    up = down = np.ones(1, dtype=np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self)
-        if at >= len(self.hash):
-            self.hash = np.concatenate([self.hash, np.zeros_like(self.hash)])
-        self.hash[at] = xxhash.xxh64_intdigest(word)
-        return at
+    @classmethod
+    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n >= len(cls.up):
+            size = max(n + 1, 1 << 16)
+            inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+            cls.up, cls.down = (np.ones(size, dtype=np.uint64) for _ in range(2))
+            np.cumprod(np.full(size - 1, BASE), out=cls.up[1:])
+            np.cumprod(np.full(size - 1, inverse), out=cls.down[1:])
+        return cls.up[:n + 1], cls.down[:n + 1]
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMORY:
-            self.clear()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.hash[at]
 
+def prefix_names(values: np.ndarray) -> np.ndarray:
+    """P[i] has the values before i as the digits of a number: P[i + 1] = P[i] * BASE + value.
 
-NAMES = Names()
-
-
-def powers(n: int) -> np.ndarray:
-    out = np.ones(n + 1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumprod(np.full(n, BASE), out=out[1:])
-    return out
+    BASE is odd, so it has an inverse, and P[i] / BASE^i is a plain running sum.
+    """
+    up, down = Powers.to(len(values))
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * down[1:], out=sums[1:])
+    return sums * up
+
+
+def names_between(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Names of the stretches from begin to end, from their values and their length."""
+    size = end - begin
+    up, _ = Powers.to(int(size.max()) if len(size) else 0)
+    return mix(prefix[end] - prefix[begin] * up[size] + size.astype(np.uint64))
+
+
+def name_words(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, name) of the words among these bytes, the last of which is blank."""
+    blank = BLANK[octets]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    begins = edge if blank[0] else np.concatenate([[0], edge])
+    begin, end = begins[:len(begins) // 2 * 2:2], begins[1::2]
+    names = np.zeros(len(begin), dtype=np.uint64)
+    first = 0
+    while first < len(begin):  # about a megabyte at a time, or a longer word
+        last = max(first + 1, int(np.searchsorted(end, begin[first] + (1 << 20))))
+        at = begin[first]
+        prefix = prefix_names(OCTETS[octets[at:end[last - 1]]])
+        names[first:last] = names_between(prefix, begin[first:last] - at, end[first:last] - at)
+        first = last
+    return begin, names
 
 
 class Stretch:
-    """The words of some documents side by side; ``ends`` has where each document ends."""
-
-    def __init__(self, words: list[list[bytes]]):
-        self.sizes = np.array([len(w) for w in words], dtype=np.int64)
+    """The words of some texts side by side; ``begins`` and ``ends`` tell where a text's are."""
+
+    def __init__(self, texts: list[bytes]):
+        octets = np.frombuffer(b"\n".join([*texts, b""]) or b"\n", dtype=np.uint8)
+        at, self.names = name_words(octets)
+        text_ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
+        self.owner = np.searchsorted(text_ends, at, side="right")
+        self.sizes = np.bincount(self.owner, minlength=len(texts))
         self.ends = np.cumsum(self.sizes)
         self.begins = self.ends - self.sizes
-        self.names = np.concatenate([NAMES.of(w) for w in words]) if words else np.zeros(0, np.uint64)
-        self.owner = np.repeat(np.arange(len(words)), self.sizes)
-        # P[i] has the names before word i as the digits of a number, so the name of any stretch
-        # is a difference; sums go block by block, as each needs the power at its place
-        self.prefix, self.power = _prefix(self.names)
-
-    def name(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Names of the words from begin to end (at most ``WINDOW`` of them)."""
-        with np.errstate(over="ignore"):
-            return mix(self.prefix[end] - self.prefix[begin] * self.power[end - begin]
-                       + (end - begin).astype(np.uint64))
+        self.prefix = prefix_names(self.names)
 
     def windows(self) -> np.ndarray:
         """Where windows begin: as many words of the document follow."""
@@ -96,7 +111,8 @@ class Stretch:
     def symbols(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(begin, end) of the symbols' reach, level by level, the highest first.
 
-        A reach that includes a document's edge leaves the document, so no window holds it.
+        A reach that includes a document's edge leaves the document, so no window holds it. Both
+        begins and ends rise from symbol to symbol.
         """
         at = np.arange(len(self.names))
         levels = [(at, at + 1)]
@@ -104,55 +120,49 @@ class Stretch:
             name, low, high, owner = _runs(self.names, self.owner)
             levels.append((low, high))
             for level in range(ROUNDS):
-                name, low, high, owner = _pairs(name, low, high, owner, level)
+                name, low, high, owner = _pairs(
+                    name, low, high, owner, self.begins[owner], self.ends[owner], level
+                )
                 levels.append((low, high))
         yield from reversed(levels)
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """(begins of windows, their keys)."""
+        """(begins of windows, their keys): of the symbols of the highest level whose reach lies in
+        the window, the smallest name."""
         at = self.windows()
-        none = np.uint64(0xFFFFFFFFFFFFFFFF)
-        best = np.full(len(self.names), none)
-        open_ = np.zeros(len(self.names), dtype=bool)
-        open_[at] = True
+        best = np.full(len(at), NONE)
+        left = np.arange(len(at))
         for low, high in self.symbols():
-            if not open_.any():
+            if not len(left):
                 break
-            own = self.owner[np.clip(low, 0, len(self.names) - 1)]
-            fits = (high - low <= WINDOW) & (low >= self.begins[own]) & (high <= self.ends[own])
-            low, high = low[fits], high[fits]
-            name = self.name(low, high)
-            name[name == none] = 0
-            found = np.full(len(self.names), none)
-            for back in range(WINDOW):
-                begin = low - back
-                inside = (begin >= 0) & (begin + WINDOW >= high)
-                begin, named = begin[inside], name[inside]
-                fine = open_[begin]
-                np.minimum.at(found, begin[fine], named[fine])
-            new = open_ & (found != none)
-            best[new] = found[new]
-            open_ &= ~new
-        return at, best[at]
+            near = np.maximum(low, 0)
+            name = names_between(
+                self.prefix, near, np.clip(high, near, np.minimum(near + WINDOW, len(self.names)))
+            )
+            first = np.searchsorted(low, at[left])
+            last = np.searchsorted(high, at[left] + WINDOW, side="right")
+            some = last > first
+            best[left[some]] = _range_least(name, first[some], last[some])
+            left = left[~some]
+        return at, best
 
     def window_names(self, at: np.ndarray) -> np.ndarray:
-        return self.name(at, at + WINDOW)
-
-
-def _prefix(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums P[i + 1] = P[i] * BASE + names[i] modulo 2^64, and the powers of BASE.
-
-    BASE is odd, so it has an inverse, and P[i] / BASE^i is a plain running sum.
-    """
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    n = len(names)
-    power = powers(n)
-    down = np.ones(n + 1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumprod(np.full(n, inverse), out=down[1:])
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(names * down[1:], out=sums[1:])
-        return sums * power, power[:max(n, WINDOW) + 1]
+        return names_between(self.prefix, at, at + WINDOW)
+
+
+def _range_least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The least value of each range (not empty), from those of ranges of powers of two."""
+    if not len(first):
+        return values[:0]
+    size = last - first
+    power = np.frexp(size)[1] - 1
+    out = np.empty(len(first), dtype=values.dtype)
+    for k in range(int(power.max()) + 1):
+        here = power == k
+        out[here] = np.minimum(values[first[here]], values[last[here] - (1 << k)])
+        if (1 << k) < len(values):
+            values = np.minimum(values, np.append(values[1 << k:], np.full(1 << k, NONE)))
+    return out
 
 
 def _runs(names, owner):
@@ -161,68 +171,65 @@ def _runs(names, owner):
     begin = np.flatnonzero(first)
     end = np.append(begin[1:], len(names))
     name = names[begin]
-    with np.errstate(over="ignore"):
-        long = mix(name + mix((end - begin).astype(np.uint64) * LEVELS))
+    long = mix(name + mix((end - begin).astype(np.uint64) * LEVELS))
     return np.where(end - begin > 1, long, name), begin - 1, end + 1, owner[begin]
 
 
-def _pairs(name, low, high, owner, level):
+def _pairs(name, low, high, owner, begins, ends, level):
     """One pair round. A pair looks at its two symbols; a left symbol that stays alone has looked at
-    the one behind it, a right one at the one in front."""
-    with np.errstate(over="ignore"):
-        left = mix(name + np.uint64(level + 1) * LEVELS) >> np.uint64(63) == 0
-    n = len(name)
+    the one behind it, a right one at the one in front, and at a text's edge both look over it."""
+    round_ = np.uint64((level + 1) * int(LEVELS) % (1 << 64))
+    left = mix(name + round_) >> np.uint64(63) == 0
     same = np.concatenate([owner[1:] == owner[:-1], [False]])
     pair = left & same
     pair[:-1] &= ~left[1:]
     second = np.concatenate([[False], pair[:-1]])
-    new_low, new_high = low.copy(), high.copy()
-    behind, front = np.minimum(np.arange(n) + 1, n - 1), np.maximum(np.arange(n) - 1, 0)
-    # over a document's edge the look leaves the document: one word further than its last
-    at_end, at_begin = ~same, ~np.concatenate([[False], same[:-1]])
-    looks_on = left  # the pair's own second symbol, or the one that did not join
-    new_high[looks_on] = np.maximum(high, np.where(at_end, high + 1, high[behind]))[looks_on]
-    new_low[looks_on] = np.minimum(low, np.where(at_end, low, low[behind]))[looks_on]
-    looks_back = ~left & ~second
-    new_low[looks_back] = np.minimum(low, np.where(at_begin, low - 1, low[front]))[looks_back]
-    new_high[looks_back] = np.maximum(high, np.where(at_begin, high, high[front]))[looks_back]
-    with np.errstate(over="ignore"):
-        joined = mix(mix(name + LEVELS) * BASE + name[behind])
+    after = np.where(same, np.append(high[1:], 0), ends + 1)
+    before = np.where(np.concatenate([[False], same[:-1]]), np.concatenate([[0], low[:-1]]), begins - 1)
+    new_high = np.where(left, np.maximum(high, after), high)
+    new_low = np.where(left | second, low, np.minimum(low, before))
+    joined = mix(mix(name + LEVELS) * BASE + np.append(name[1:], np.uint64(0)))
     keep = ~second
     return np.where(pair, joined, name)[keep], new_low[keep], new_high[keep], owner[keep]
 
 
-def stretches(rows: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[list, list[list[bytes]]]]:
-    """(rows' other columns, words) of neighbouring rows, ``WORDS_AT_ONCE`` words at a time."""
-    others, words, total = [], [], 0
+def stretches(rows: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[list, list[bytes]]]:
+    """(rows' other columns, texts) of neighbouring rows, ``BYTES_AT_ONCE`` at a time."""
+    others, texts, total = [], [], 0
     for batch in rows:
         own = texts_of(batch, batch.schema.names[text])
         rest = [c.to_pylist() for i, c in enumerate(batch.columns) if i != text]
         for i, t in enumerate(own):
-            w = t.split()
-            if words and total + len(w) > WORDS_AT_ONCE:
-                yield others, words
-                others, words, total = [], [], 0
+            if texts and total + len(t) > BYTES_AT_ONCE:
+                yield others, texts
+                others, texts, total = [], [], 0
             others.append([c[i] for c in rest])
-            words.append(w)
-            total += len(w)
-    if words:
-        yield others, words
+            texts.append(t)
+            total += len(t)
+    if texts:
+        yield others, texts
 
 
 def first_here(names: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Marks the first of equal names of one owner, in order."""
-    order = np.lexsort((np.arange(len(names)), names, owner))
-    ranked, own = names[order], owner[order]
-    first = np.ones(len(names), dtype=bool)
-    first[order[1:]] = (ranked[1:] != ranked[:-1]) | (own[1:] != own[:-1])
+    _, at = np.unique(mix(names + mix(owner.astype(np.uint64) * LEVELS)), return_index=True)
+    first = np.zeros(len(names), dtype=bool)
+    first[at] = True
     return first
 
 
+def run_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where neighbouring rows begin to differ."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 KEYS = pa.schema([("key", pa.int64()), ("doc", pa.int64())])
 FILED = pa.schema([
-    ("key", pa.int64()), ("hot", pa.bool_()), ("doc", pa.int64()), ("start", pa.int64()),
-    ("names", pa.list_(pa.int64())),
+    ("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("names", pa.list_(pa.int64())),
 ])
 EARLIER = pa.schema([("doc", pa.int64()), ("starts", pa.list_(pa.int64()))])
 
@@ -233,43 +240,41 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def _keys(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's keys, once each. Input: doc, text."""
-    for others, words in stretches(rows, 1):
-        stretch = Stretch(words)
+    for others, texts in stretches(rows, 1):
+        stretch = Stretch(texts)
         at, keys = stretch.keys()
         owner = stretch.owner[at]
+        new = run_starts(keys, owner)
+        keys, owner = keys[new], owner[new]
         once = first_here(keys, owner)
         docs = np.array([o[0] for o in others], dtype=np.int64)
         yield from batches([{"key": _signed(keys[once]), "doc": docs[owner[once]]}], KEYS)
 
 
 def _file(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows under shared keys: for each run of neighbouring ones under one key the first
+    """The windows under the given keys: for each run of neighbouring ones under one key the first
     start and the names. Only the first of a document's equal windows is filed; the others start
-    earlier in the document itself. Input: id, doc, text, shared, hot."""
-    for others, words in stretches(rows, 2):
-        stretch = Stretch(words)
+    earlier in the document itself. Input: doc, text, given."""
+    for others, texts in stretches(rows, 1):
+        stretch = Stretch(texts)
         at, keys = stretch.keys()
         owner = stretch.owner[at]
         signed = _signed(keys)
-        filed, hot = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
-        cuts = np.searchsorted(owner, np.arange(len(words) + 1))
-        for i, (_, _, shared, crowded) in enumerate(others):
+        filed = np.zeros(len(at), dtype=bool)
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        for i, (_, given) in enumerate(others):
             a, b = cuts[i], cuts[i + 1]
-            filed[a:b] = np.isin(signed[a:b], np.array(shared or [], dtype=np.int64))
-            if crowded:
-                hot[a:b] = np.isin(signed[a:b], np.array(crowded, dtype=np.int64))
-        at, signed, owner, hot = at[filed], signed[filed], owner[filed], hot[filed]
+            filed[a:b] = np.isin(signed[a:b], np.array(given, dtype=np.int64))
+        at, signed, owner = at[filed], signed[filed], owner[filed]
         names = stretch.window_names(at)
         first = first_here(names, owner)
-        at, signed, owner, hot, names = at[first], signed[first], owner[first], hot[first], names[first]
+        at, signed, owner, names = at[first], signed[first], owner[first], names[first]
         if not len(at):
             continue
-        new = np.concatenate([[True], (signed[1:] != signed[:-1]) | (at[1:] != at[:-1] + 1)
-                              | (owner[1:] != owner[:-1])])
-        begin = np.flatnonzero(new)
-        docs = np.array([o[1] for o in others], dtype=np.int64)
+        begin = run_starts(signed, at - np.arange(len(at)), owner)
+        docs = np.array([o[0] for o in others], dtype=np.int64)
         yield pa.RecordBatch.from_arrays([
-            pa.array(signed[begin]), pa.array(hot[begin]), pa.array(docs[owner[begin]]),
+            pa.array(signed[begin]), pa.array(docs[owner[begin]]),
             pa.array(at[begin] - stretch.begins[owner[begin]]),
             pa.ListArray.from_arrays(
                 np.append(begin, len(at)).astype(np.int32), pa.array(_signed(names))
@@ -340,27 +345,28 @@ def _covered(size: int, starts: np.ndarray) -> np.ndarray:
     return np.cumsum(edge)[:size] > 0
 
 
-def _removed(others: list, words: list[list[bytes]], lists: int) -> Iterator[np.ndarray]:
-    """Per document which words go: those of windows that start earlier elsewhere (handed in) or in
-    the document itself."""
-    stretch = Stretch(words)
+def _removed(texts: list[bytes], handed: list[list | None]) -> Iterator[np.ndarray]:
+    """Per text which words go: those of windows that start earlier elsewhere (handed in) or in
+    the text itself."""
+    stretch = Stretch(texts)
     at = stretch.windows()
     owner = stretch.owner[at]
     again = ~first_here(stretch.window_names(at), owner)
     again_at, again_owner = at[again], owner[again]
-    cuts = np.searchsorted(again_owner, np.arange(len(words) + 1))
-    for i, w in enumerate(words):
+    cuts = np.searchsorted(again_owner, np.arange(len(texts) + 1))
+    for i, lists in enumerate(handed):
+        size = int(stretch.sizes[i])
         starts = again_at[cuts[i]:cuts[i + 1]] - stretch.begins[i]
-        handed = [s for part in others[i][lists] or [] for s in part]
-        given = np.array(handed, dtype=np.int64)
-        given = given[given + WINDOW <= len(w)]  # of another row with the same id
-        yield _covered(len(w), np.concatenate([starts, given]))
+        given = np.array([s for part in lists or [] for s in part], dtype=np.int64)
+        given = given[given + WINDOW <= size]  # else of another row with the same id
+        yield _covered(size, np.concatenate([starts, given]))
 
 
 def _finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Input: id, doc, text, starts."""
-    for others, words in stretches(rows, 2):
-        gone = list(_removed(others, words, 2))
+    for others, texts in stretches(rows, 2):
+        gone = list(_removed(texts, [o[2] for o in others]))
+        words = [t.split() for t in texts]
         kept = [b" ".join([x for x, out in zip(w, g.tolist(), strict=True) if not out])
                 if g.any() else b" ".join(w) for w, g in zip(words, gone, strict=True)]
         yield from batches([{
@@ -405,20 +411,21 @@ def earlier_windows(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """
     keys = rows.select("doc", "text").mapInArrow(_keys, "key long, doc long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
+    crowded = F.col("docs") > hot
     handed = keys.join(shared, "key").groupBy("doc").agg(
-        F.collect_list("key").alias("shared"),
-        F.collect_list(F.when(F.col("docs") > hot, F.col("key"))).alias("crowded"),
-    )
-    filed = rows.join(handed, "doc").select("id", "doc", "text", "shared", "crowded").mapInArrow(
-        _file, "key long, hot boolean, doc long, start long, names array<long>"
+        F.collect_list(F.when(~crowded, F.col("key"))).alias("few"),
+        F.collect_list(F.when(crowded, F.col("key"))).alias("many"),
     )
+    filed = [
+        rows.join(handed, "doc").where(F.size(given) > 0).select("doc", "text", given)
+        .mapInArrow(_file, "key long, doc long, start long, names array<long>")
+        for given in ("few", "many")
+    ]
     cold = (
-        filed.where("NOT hot").select("key", "doc", "start", "names")
-        .repartition("key").sortWithinPartitions("key")
+        filed[0].repartition("key").sortWithinPartitions("key")
         .mapInArrow(_verify, "doc long, starts array<long>")
     )
-    single = filed.where("hot").select("key", "doc", F.posexplode("names").alias("step", "name"),
-                                       "start")
+    single = filed[1].select("key", "doc", F.posexplode("names").alias("step", "name"), "start")
     single = single.select("key", "name", "doc", (F.col("start") + F.col("step")).alias("start"))
     first = single.groupBy("key", "name").agg(
         F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")
@@ -464,9 +471,7 @@ def cut_documents(
     @F.pandas_udf("string")
     def cut(texts: pd.Series, lists: pd.Series) -> pd.Series:
         whole = [(t or "").encode() for t in texts]
-        words = [t.split() for t in whole]
-        others = [[None if s is None else list(s)] for s in lists]
-        gone = _removed(others, words, 0)
+        gone = _removed(whole, [None if s is None else list(s) for s in lists])
         return pd.Series([
             None if old is None else cut_text(new, g).decode()
             for old, new, g in zip(texts, whole, gone, strict=True)

@@ -43,7 +43,7 @@ def test_equal_windows_share_key_and_name(alphabet):
     shared = [some(rng.randrange(15, 70)) for _ in range(10)]
     docs = [some(rng.randrange(30)) + rng.choice(shared) + some(rng.randrange(30)) for _ in range(150)]
     docs += [[], some(19), some(20)]
-    stretch = rc.Stretch(docs)
+    stretch = rc.Stretch([b" ".join(d) for d in docs])
     at, keys = stretch.keys()
     names = stretch.window_names(at)
     flat = [w for d in docs for w in d]
@@ -54,8 +54,18 @@ def test_equal_windows_share_key_and_name(alphabet):
     assert len({name for _, name in seen.values()}) == len(seen)
 
 
+def test_words_are_cut_and_named_by_their_bytes():
+    texts = [b"", b"  a bb\n\na", b"\xc3\xa9 a", b" \t\r", b"bb", b"x" * 3_000_000 + b" a " + b"y" * 5]
+    stretch = rc.Stretch(texts)
+    words = [w for t in texts for w in t.split()]
+    assert stretch.sizes.tolist() == [len(t.split()) for t in texts]
+    names = stretch.names.tolist()
+    assert all((names[i] == names[j]) == (words[i] == words[j])
+               for i in range(len(words)) for j in range(len(words)))
+
+
 def test_few_keys_per_word():
-    stretch = rc.Stretch([prose(1, 5000).encode().split()])
+    stretch = rc.Stretch([prose(1, 5000).encode()])
     _, keys = stretch.keys()
     assert len(np.unique(keys)) < 0.25 * 5000
 
