@@ -170,21 +170,21 @@ def _midpoints(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def link_fingerprints(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     """(a, b) links that connect fingerprints (column fp, no repeats) within four bits."""
     index = distinct.select(F.explode(variants(F.col("fp"))).alias("bucket"), "fp")
-    sizes = index.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(index.join(sizes, "bucket"), "simhash-members")
+    crowded = index.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > hot)
+    crowded = stored(crowded.select("bucket"), "simhash-crowded")
     small = (
-        members.where(F.col("size") <= hot).groupBy("bucket")
-        .agg(F.sort_array(F.collect_list("fp")).alias("fps"))
+        index.join(crowded, "bucket", "left_anti").groupBy("bucket")
+        .agg(F.sort_array(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
         .mapInArrow(_compare, "a long, b long")
     )
-    crowd = members.where(F.col("size") > hot).select("fp").distinct()
+    crowd = index.join(crowded, "bucket", "left_semi").select("fp").distinct()
     points = crowd.mapInArrow(_midpoints, "a long, b long")
     least = points.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("n"))
-    crowded = (
+    joined = (
         points.join(least.where("n > 1"), "a").where("b <> least")
         .select(F.col("b").alias("a"), F.col("least").alias("b"))
     )
-    return small.union(crowded)
+    return small.union(joined)
 
 
 def near_duplicates(
