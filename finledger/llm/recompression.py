@@ -254,15 +254,15 @@ def _keys(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _file(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows under the given keys: for each run of neighbouring ones under one key the first
     start and the names. Only the first of a document's equal windows is filed; the others start
-    earlier in the document itself. Input: doc, text, given."""
-    for others, texts in stretches(rows, 1):
+    earlier in the document itself. Input: id, doc, text, given."""
+    for others, texts in stretches(rows, 2):
         stretch = Stretch(texts)
         at, keys = stretch.keys()
         owner = stretch.owner[at]
         signed = _signed(keys)
         filed = np.zeros(len(at), dtype=bool)
         cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        for i, (_, given) in enumerate(others):
+        for i, (_, _, given) in enumerate(others):
             a, b = cuts[i], cuts[i + 1]
             filed[a:b] = np.isin(signed[a:b], np.array(given, dtype=np.int64))
         at, signed, owner = at[filed], signed[filed], owner[filed]
@@ -272,7 +272,7 @@ def _file(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(at):
             continue
         begin = run_starts(signed, at - np.arange(len(at)), owner)
-        docs = np.array([o[0] for o in others], dtype=np.int64)
+        docs = np.array([o[1] for o in others], dtype=np.int64)
         yield pa.RecordBatch.from_arrays([
             pa.array(signed[begin]), pa.array(docs[owner[begin]]),
             pa.array(at[begin] - stretch.begins[owner[begin]]),
@@ -416,8 +416,9 @@ def earlier_windows(rows: DataFrame, hot: int = HOT) -> DataFrame:
         F.collect_list(F.when(~crowded, F.col("key"))).alias("few"),
         F.collect_list(F.when(crowded, F.col("key"))).alias("many"),
     )
+    # all columns of the rows, so that the joins share one exchange of the documents
     filed = [
-        rows.join(handed, "doc").where(F.size(given) > 0).select("doc", "text", given)
+        rows.join(handed, "doc").where(F.size(given) > 0).select("id", "doc", "text", given)
         .mapInArrow(_file, "key long, doc long, start long, names array<long>")
         for given in ("few", "many")
     ]
