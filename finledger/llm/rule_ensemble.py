@@ -8,9 +8,12 @@ score of a row needs no Python.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,27 +117,29 @@ def lasso_logistic(
     ``penalty`` is a share of the smallest one at which all weights are zero.
     """
     n, k = r.shape
+    r, y = np.asarray(r, np.float32), np.asarray(y, np.float32)  # one type: no copies of the rules
     rate = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
-    base, w = np.log(rate / (1 - rate)), np.zeros(k)
+    base, w = float(np.log(rate / (1 - rate))), np.zeros(k, np.float32)
     if k == 0:
-        return float(base), w
-    strength = penalty * np.abs(r.T @ (y - rate)).max() / n
-    v = np.ones(k)
+        return base, w
+    strength = np.float32(penalty * np.abs((y - np.float32(rate)) @ r).max() / n)
+    v = np.ones(k, np.float32)
     for _ in range(20):  # largest curvature, by power iteration
-        v = r.T @ (r @ v)
-        v /= max(np.linalg.norm(v), 1e-12)
-    size = 1 / (0.25 * (float(np.linalg.norm(r @ v)) ** 2 / n + 1) + 1e-9)
+        v = (r @ v) @ r
+        v /= max(float(np.linalg.norm(v)), 1e-12)
+    size = np.float32(1 / (0.25 * (float(np.linalg.norm(r @ v)) ** 2 / n + 1) + 1e-9))
     ahead_w, ahead_b, t = w, base, 1.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(r @ ahead_w + ahead_b, -30, 30)))
-        new_w = ahead_w - size * (r.T @ (p - y)) / n
+        error = 1 / (1 + np.exp(-np.clip(r @ ahead_w + np.float32(ahead_b), -30, 30))) - y
+        new_w = ahead_w - size * (error @ r) / np.float32(n)
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - size * strength, 0)
-        new_b = ahead_b - size * float((p - y).mean())
+        new_b = ahead_b - float(size) * float(error.mean())
         new_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead_w = new_w + (t - 1) / new_t * (new_w - w)
-        ahead_b = new_b + (t - 1) / new_t * (new_b - base)
+        momentum = (t - 1) / new_t
+        ahead_w = new_w + np.float32(momentum) * (new_w - w)
+        ahead_b = new_b + momentum * (new_b - base)
         w, base, t = new_w, new_b, new_t
-    return float(base), w
+    return base, w
 
 
 def fit(x: np.ndarray, y: np.ndarray, settings: Settings = Settings()) -> Ensemble:
@@ -151,7 +156,9 @@ def fit(x: np.ndarray, y: np.ndarray, settings: Settings = Settings()) -> Ensemb
             if 0 < met.sum() < len(x):  # rules that hold for the same rows are one rule
                 found.setdefault(np.packbits(met).tobytes(), rule)
     rules = list(found.values())
-    r = np.array([holds(rule, x) for rule in rules], dtype=np.float32).T
+    r = np.empty((len(x), len(rules)), dtype=np.float32)
+    for i, rule in enumerate(rules):
+        r[:, i] = holds(rule, x)
     base, weights = lasso_logistic(r, y.astype(np.float32), settings.penalty, settings.steps)
     kept = tuple((rule, float(w)) for rule, w in zip(rules, weights, strict=True) if w != 0)
     return Ensemble(base, kept)
@@ -189,10 +196,26 @@ def train(
     order = [F.xxhash64("key"), "key", "label", *FEATURES]
     sample = (
         features(mine, "key", "text").join(known, "key").orderBy(*order).limit(settings.sample)
-        .select("label", *FEATURES).toPandas()
+        .select("label", *FEATURES)
     )
-    x = sample[list(FEATURES)].to_numpy(dtype=np.float64).reshape(-1, len(FEATURES))
-    return fit(x, sample["label"].to_numpy(dtype=np.float64), settings)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.array([c.to_numpy(zero_copy_only=False) for c in b.columns], np.float64) for b in rows]
+        table = np.concatenate(parts, axis=1).T if parts else np.zeros((0, 1 + len(FEATURES)))
+        model = fit(table[:, 1:], table[:, 0], settings)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([json.dumps([model.base, model.rules])])], names=["model"]
+        )
+
+    # the sample is one partition of bounded size: it is fitted in a task, the driver gets the rules
+    found = sample.mapInArrow(run, "model string").first()
+    if found is None:
+        return fit(np.zeros((0, len(FEATURES))), np.zeros(0), settings)
+    base, rules = json.loads(found["model"])
+    return Ensemble(base, tuple(
+        (tuple((int(f), bool(above), float(bound)) for f, above, bound in rule), float(w))
+        for rule, w in rules
+    ))
 
 
 def score_documents(
