@@ -143,12 +143,12 @@ class Library:
             return [ids_array(p) for p in self.memory.packed(lists)]
         except TypeError:  # a chunk ends in white space: cut that text at runs of white space
             pass
-        out = []
+        get, out = self.memory.__getitem__, []  # all chunks are known; nothing below learns any
         for text, chunks in zip(texts, lists, strict=True):
-            if any(self.memory.get(c, b"") is None for c in chunks):
-                out.append(ids_array(b"".join(self._one(c) for c in run_chunks(text))))
-            else:
-                out.append(ids_array(self.memory.packed([chunks])[0]))
+            ids = list(map(get, chunks))
+            if None in ids:
+                ids = [self._one(c) for c in run_chunks(text)]
+            out.append(ids_array(b"".join(ids)))
         return out
 
 

@@ -164,12 +164,12 @@ class PrefixEncoder:
             return self.memory.packed(lists)
         except TypeError:  # a chunk ends in white space: cut that text at runs of white space
             pass
-        out = []
+        get, out = self.memory.__getitem__, []  # all chunks are known; nothing below learns any
         for text, chunks in zip(texts, lists, strict=True):
-            if any(self.memory.get(c, b"") is None for c in chunks):
-                out.append(b"".join(self.encode_runs(c) for c in run_chunks(text)))
-            else:
-                out += self.memory.packed([chunks])
+            ids = list(map(get, chunks))
+            if None in ids:
+                ids = [self.encode_runs(c) for c in run_chunks(text)]
+            out.append(b"".join(ids))
         return out
 
     def decode(self, packed: bytes) -> bytes:

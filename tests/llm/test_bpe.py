@@ -116,3 +116,19 @@ def test_memory_is_bounded_and_gives_the_same():
         assert memory.packed([one]) == [b"".join(c * 2 for c in one)]
         assert len(memory) <= 3 + 4
     assert len(asked) < 160
+
+
+def test_texts_of_both_kinds_with_a_full_memory(own, reference):
+    library = Library(public_tokenizers.path("byte_bpe_50k.json"))
+    limited = bpe.PrefixEncoder(own.ranks, PATTERN)
+    limited.memory = Memory(limited._encode_chunks, limit=3)
+    library.memory = Memory(library._spaced, limit=3)
+    texts = ["one two three four five", "ends in a line\n", "six seven", "two  blanks", "eight \nnine",
+             "one two", "ends in a line\n"]
+    for _ in range(3):
+        want = [reference.encode_ordinary(t) for t in texts]
+        given = [t.encode() for t in texts]
+        assert [ids_array(p).tolist() for p in limited.encode(given)] == want
+        whole = [library.ids(t) for t in texts]
+        assert [i.tolist() for i in library.encode(given)] == whole
+        texts = texts[::-1] + ["more words than before", "and a tail\n"]
