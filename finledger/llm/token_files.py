@@ -73,11 +73,14 @@ class FrameWriter:
         self.keys.append(key)
         self.counts.append(len(ids) // 4)
         self.frames.append(len(self.entries))
+        spread = len(ids) > LONGEST
         while len(ids) > LONGEST:
             self._frame(ids[:LONGEST])
             ids = ids[LONGEST:]
         self.waiting.append(ids)
         self.size += len(ids)
+        if spread:  # the next document begins a frame: a reader counts from a frame's first one
+            self._flush()
 
     def close(self) -> tuple[int, int]:
         self._flush()

@@ -45,6 +45,20 @@ def test_frames_are_independent_and_checked(monkeypatch):
         tf.FrameReader(io.BytesIO(bytes(broken[:-1])))
 
 
+def test_documents_behind_one_of_several_frames(monkeypatch):
+    monkeypatch.setattr(tf, "FRAME_BYTES", 400)
+    monkeypatch.setattr(tf, "LONGEST", 1000)
+    rng = random.Random(4)
+    docs = [rng.randbytes(n) for n in (0, 2100, 40, 0, 80, 1004, 1000, 12, 2000, 20)]
+    out = io.BytesIO()
+    writer = tf.FrameWriter(out)
+    for key, ids in enumerate(docs):
+        writer.add(key, ids)
+    writer.close()
+    reader = tf.FrameReader(io.BytesIO(out.getvalue()))
+    assert [reader.document(i) for i in range(len(docs))] == docs
+
+
 def test_only_asked_frames_are_decompressed(monkeypatch):
     monkeypatch.setattr(tf, "FRAME_BYTES", 40)
     out = io.BytesIO()
