@@ -227,11 +227,13 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-KEYS = pa.schema([("key", pa.int64()), ("doc", pa.int64())])
+KEYS = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("sum", pa.int64())])
 FILED = pa.schema([
-    ("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("names", pa.list_(pa.int64())),
+    ("key", pa.int64()), ("doc", pa.int64()), ("sum", pa.int64()), ("start", pa.int64()),
+    ("names", pa.list_(pa.int64())),
 ])
-EARLIER = pa.schema([("doc", pa.int64()), ("starts", pa.list_(pa.int64()))])
+EARLIER = pa.schema([("doc", pa.int64()), ("sum", pa.int64()), ("starts", pa.list_(pa.int64()))])
+ROW = ["doc", "sum"]  # what tells rows apart: copies of one text under one id are alike
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -239,30 +241,33 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _keys(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each document's keys, once each. Input: doc, text."""
-    for others, texts in stretches(rows, 1):
+    """Each row's keys, once each. Input: doc, sum, text."""
+    for others, texts in stretches(rows, 2):
         stretch = Stretch(texts)
         at, keys = stretch.keys()
         owner = stretch.owner[at]
         new = run_starts(keys, owner)
         keys, owner = keys[new], owner[new]
         once = first_here(keys, owner)
-        docs = np.array([o[0] for o in others], dtype=np.int64)
-        yield from batches([{"key": _signed(keys[once]), "doc": docs[owner[once]]}], KEYS)
+        docs, sums = (np.array([o[i] for o in others], dtype=np.int64) for i in range(2))
+        owner = owner[once]
+        yield from batches(
+            [{"key": _signed(keys[once]), "doc": docs[owner], "sum": sums[owner]}], KEYS
+        )
 
 
 def _file(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows under the given keys: for each run of neighbouring ones under one key the first
-    start and the names. Only the first of a document's equal windows is filed; the others start
-    earlier in the document itself. Input: id, doc, text, given."""
-    for others, texts in stretches(rows, 2):
+    start and the names. Only the first of a row's equal windows is filed; the others start
+    earlier in the row itself. Input: id, doc, sum, text, given."""
+    for others, texts in stretches(rows, 3):
         stretch = Stretch(texts)
         at, keys = stretch.keys()
         owner = stretch.owner[at]
         signed = _signed(keys)
         filed = np.zeros(len(at), dtype=bool)
         cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        for i, (_, _, given) in enumerate(others):
+        for i, (_, _, _, given) in enumerate(others):
             a, b = cuts[i], cuts[i + 1]
             filed[a:b] = np.isin(signed[a:b], np.array(given, dtype=np.int64))
         at, signed, owner = at[filed], signed[filed], owner[filed]
@@ -272,9 +277,9 @@ def _file(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(at):
             continue
         begin = run_starts(signed, at - np.arange(len(at)), owner)
-        docs = np.array([o[1] for o in others], dtype=np.int64)
+        docs, sums = (np.array([o[i] for o in others], dtype=np.int64) for i in (1, 2))
         yield pa.RecordBatch.from_arrays([
-            pa.array(signed[begin]), pa.array(docs[owner[begin]]),
+            pa.array(signed[begin]), pa.array(docs[owner[begin]]), pa.array(sums[owner[begin]]),
             pa.array(at[begin] - stretch.begins[owner[begin]]),
             pa.ListArray.from_arrays(
                 np.append(begin, len(at)).astype(np.int32), pa.array(_signed(names))
@@ -313,7 +318,8 @@ def _verify(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = counts > 0
         ends = np.concatenate([[0], np.cumsum(counts[some])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[some]), pa.ListArray.from_arrays(ends, pa.array(start[later]))],
+            [pa.array(doc[some]), pa.array(table["sum"].to_numpy()[some]),
+             pa.ListArray.from_arrays(ends, pa.array(start[later]))],
             schema=EARLIER,
         )
 
@@ -358,14 +364,13 @@ def _removed(texts: list[bytes], handed: list[list | None]) -> Iterator[np.ndarr
         size = int(stretch.sizes[i])
         starts = again_at[cuts[i]:cuts[i + 1]] - stretch.begins[i]
         given = np.array([s for part in lists or [] for s in part], dtype=np.int64)
-        given = given[given + WINDOW <= size]  # else of another row with the same id
         yield _covered(size, np.concatenate([starts, given]))
 
 
 def _finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input: id, doc, text, starts."""
-    for others, texts in stretches(rows, 2):
-        gone = list(_removed(texts, [o[2] for o in others]))
+    """Input: id, doc, sum, text, starts."""
+    for others, texts in stretches(rows, 3):
+        gone = list(_removed(texts, [o[3] for o in others]))
         words = [t.split() for t in texts]
         kept = [b" ".join([x for x, out in zip(w, g.tolist(), strict=True) if not out])
                 if g.any() else b" ".join(w) for w, g in zip(words, gone, strict=True)]
@@ -394,48 +399,50 @@ def cut_text(text: bytes, gone: np.ndarray) -> bytes:
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id, doc (the id without nulls) and text."""
+    """id, doc (the id without nulls), sum (a checksum of the text) and text."""
     return docs.selectExpr(
         f"CAST(`{key}` AS BIGINT) AS id",
         f"coalesce(CAST(`{key}` AS BIGINT), CAST('{NULL_KEY}' AS BIGINT)) AS doc",
+        f"xxhash64(`{text}`) AS sum",
         f"`{text}` AS text",
     )
 
 
 def earlier_windows(rows: DataFrame, hot: int = HOT) -> DataFrame:
-    """(doc, starts): windows of documents that start earlier in another document.
+    """(doc, sum, starts): per row the windows that start earlier in another row.
 
-    ``rows`` has id, doc and text. Keys of more than ``hot`` documents are not gathered in one
+    ``rows`` has id, doc, sum and text. Keys of more than ``hot`` rows are not gathered in one
     task: their windows are grouped by name, first starts are combined before the shuffle, and
-    the join with them is one that Spark splits where it is skewed.
+    the join with them is one that Spark splits where it is skewed. Lists are sets, so that
+    copies of a text under one id count once.
     """
-    keys = rows.select("doc", "text").mapInArrow(_keys, "key long, doc long")
+    keys = rows.select(*ROW, "text").mapInArrow(_keys, "key long, doc long, sum long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     crowded = F.col("docs") > hot
-    handed = keys.join(shared, "key").groupBy("doc").agg(
-        F.collect_list(F.when(~crowded, F.col("key"))).alias("few"),
-        F.collect_list(F.when(crowded, F.col("key"))).alias("many"),
+    handed = keys.join(shared, "key").groupBy(*ROW).agg(
+        F.collect_set(F.when(~crowded, F.col("key"))).alias("few"),
+        F.collect_set(F.when(crowded, F.col("key"))).alias("many"),
     )
     # all columns of the rows, so that the joins share one exchange of the documents
     filed = [
-        rows.join(handed, "doc").where(F.size(given) > 0).select("id", "doc", "text", given)
-        .mapInArrow(_file, "key long, doc long, start long, names array<long>")
+        rows.join(handed, ROW).where(F.size(given) > 0).select("id", *ROW, "text", given)
+        .mapInArrow(_file, "key long, doc long, sum long, start long, names array<long>")
         for given in ("few", "many")
     ]
     cold = (
         filed[0].repartition("key").sortWithinPartitions("key")
-        .mapInArrow(_verify, "doc long, starts array<long>")
+        .mapInArrow(_verify, "doc long, sum long, starts array<long>")
     )
-    single = filed[1].select("key", "doc", F.posexplode("names").alias("step", "name"), "start")
-    single = single.select("key", "name", "doc", (F.col("start") + F.col("step")).alias("start"))
+    single = filed[1].select("key", *ROW, F.posexplode("names").alias("step", "name"), "start")
+    single = single.select("key", "name", *ROW, (F.col("start") + F.col("step")).alias("start"))
     first = single.groupBy("key", "name").agg(
         F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")
     ).where("n > 1")
     crowded = (
         single.join(first, ["key", "name"]).where(F.struct("doc", "start") > F.col("first"))
-        .select("doc", F.array("start").alias("starts"))
+        .select(*ROW, F.array("start").alias("starts"))
     )
-    return cold.union(crowded)
+    return cold.union(crowded).groupBy(*ROW).agg(F.collect_set("starts").alias("starts"))
 
 
 def remove_repeats(
@@ -447,13 +454,13 @@ def remove_repeats(
     word goes if a window of 20 words that covers it starts earlier, too: in a document of smaller key
     or before in the same one; windows are those of the input. A null or empty text has no words; null
     keys are one key before all others; rows that share a key are one document id: equal starts in
-    two of them are no repeat of each other; an empty table gives no rows; other columns
-    are not read.
+    two of them are no repeat of each other, and each row loses the words of its own windows only
+    (rows are told apart by the key and a checksum of the text); an empty table gives no rows; other
+    columns are not read.
     """
     rows = _rows(docs, key, text)
-    starts = earlier_windows(rows, hot).groupBy("doc").agg(F.collect_list("starts").alias("starts"))
     return (
-        rows.join(starts, "doc", "left").select("id", "doc", "text", "starts")
+        rows.join(earlier_windows(rows, hot), ROW, "left").select("id", *ROW, "text", "starts")
         .mapInArrow(_finish, "id long, n_words long, n_removed long, kept_sha256 string")
         .withColumnRenamed("id", key)
     )
@@ -466,8 +473,7 @@ def cut_documents(
 
     Untouched texts stay as they are, a null text stays null, and a text may become empty.
     """
-    rows = _rows(docs, key, text)
-    starts = earlier_windows(rows, hot).groupBy("doc").agg(F.collect_list("starts").alias("starts"))
+    starts = earlier_windows(_rows(docs, key, text), hot)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, lists: pd.Series) -> pd.Series:
@@ -479,7 +485,7 @@ def cut_documents(
         ], dtype=object)
 
     doc = F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_KEY))
-    joined = docs.withColumn("__doc", doc).join(
-        starts.select(F.col("doc").alias("__doc"), F.col("starts").alias("__starts")), "__doc", "left"
+    joined = docs.withColumns({"__doc": doc, "__sum": F.xxhash64(text)}).join(
+        starts.toDF("__doc", "__sum", "__starts"), ["__doc", "__sum"], "left"
     )
     return joined.withColumn(text, cut(F.col(text), F.col("__starts"))).select(*docs.columns)

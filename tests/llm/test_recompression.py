@@ -83,6 +83,35 @@ def test_against_brute_force(spark, hot):
     assert collected(got, *COLUMNS) == brute(rows)
 
 
+def one_id_many_texts():
+    """Rows of one id, null ids among them, with different long texts, and copies under one id."""
+    shared = [prose(500 + i, 45) for i in range(4)]
+    rows = [(3, shared[0]), (4, f"{prose(510, 9)} {shared[1]} {prose(511, 30)}")]
+    for key in (7, 8, None):
+        rows += [(key, prose(520 + (key or 0), 200)), (key, f"{shared[0]} {prose(530 + (key or 0), 60)}"),
+                 (key, f"{prose(540 + (key or 0), 60)} {shared[1]} {shared[0]}"), (key, shared[2]),
+                 (key, f"{prose(550, 12)} {shared[2]} {shared[3]}")]
+    return rows + [(9, shared[0])] * 5 + [(None, f"{shared[3]} end")] * 4
+
+
+@pytest.mark.parametrize("hot", [10_000, 1])
+def test_rows_of_one_id_lose_their_own_words_only(spark, hot):
+    rows = one_id_many_texts()
+    docs = documents(spark, rows)
+    want = brute(rows)
+    assert collected(rc.remove_repeats(docs, hot=hot), *COLUMNS) == want
+    kept = sorted((r.doc_id is None, r.doc_id or 0, hashlib.sha256(b" ".join(r.text.encode().split())).hexdigest())
+                  for r in rc.cut_documents(docs, hot=hot).collect())
+    assert kept == sorted((k is None, k or 0, digest) for k, _, _, digest in want)
+
+
+def test_copies_under_one_id_count_once(spark):
+    rows = one_id_many_texts()
+    found = rc.earlier_windows(rc._rows(documents(spark, rows), "doc_id", "text"))
+    parts = {(r.doc, r["sum"]): r.starts for r in found.collect()}
+    assert all(len({tuple(p) for p in lists}) == len(lists) for lists in parts.values())
+
+
 def test_empty_table(spark):
     assert rc.remove_repeats(documents(spark, [])).collect() == []
 
