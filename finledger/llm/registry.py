@@ -7,8 +7,10 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from finledger.llm import (
+    hard_negatives,
     hnsw,
     packing,
     pii,
@@ -100,3 +102,34 @@ def op9_simhash_variants(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(spark, read_table(spark, folder, "documents"), BYTE_TOKENIZER)
+
+
+@query
+def op13_l2ap_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+SQL["op13_l2ap_negatives"] = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_inner_product(a.vec, b.vec) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor, other, score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+  n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON p.anchor = n.anchor AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
