@@ -20,6 +20,7 @@ from finledger.llm import (
     rule_ensemble,
     sharding,
     simhash,
+    spelling,
     token_files,
 )
 from finledger.llm.common import read_table
@@ -104,6 +105,11 @@ def op10_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(spark, read_table(spark, folder, "documents"), BYTE_TOKENIZER)
 
 
+@query
+def op12_dense_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, folder, "documents"), altered_every=31)
+
+
 @query
 def op13_l2ap_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = read_table(spark, folder, "embeddings")
