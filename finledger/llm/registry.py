@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from finledger.llm import (
     hard_negatives,
     hnsw,
+    language,
     packing,
     pii,
     prefix_bpe,
@@ -105,6 +106,11 @@ def op10_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(spark, read_table(spark, folder, "documents"), BYTE_TOKENIZER)
 
 
+@query
+def op11_ppm_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_languages(read_table(spark, folder, "documents"))
+
+
 @query
 def op12_dense_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(read_table(spark, folder, "documents"), altered_every=31)
