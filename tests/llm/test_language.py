@@ -50,8 +50,8 @@ def plain(rows):
     texts = defaultdict(set)
     for key, text, lang in rows:
         if text and lang is not None and not held_out(key):
-            texts[lang].add(text.lower().encode())
-    trees = {lang: PlainTree(sorted(own)) for lang, own in sorted(texts.items())}
+            texts[lang].add(text)
+    trees = {lang: PlainTree(t.lower().encode() for t in own) for lang, own in sorted(texts.items())}
     out = []
     for key, text, _ in rows:
         if not trees or not any(c.isalpha() for c in text or ""):
