@@ -24,7 +24,7 @@ FETCHED = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 
 def pages(df: DataFrame, body: str, account: str, kind: str = "NULL") -> DataFrame:
     """One landed page per row, with the given body."""
-    return df.selectExpr(
+    return S.dealt(df).selectExpr(
         f"CAST({account} AS STRING) AS account_number", "'7' AS bank_number",
         f"CAST({kind} AS STRING) AS movement_type", "0 AS page", "100 AS page_size",
         f"{FETCHED} AS fetched_at", f"{body} AS body",
@@ -46,7 +46,7 @@ def extract_records(d: Data):
         WHEN 'purchase' THEN concat('{{"data":5,"movimientos":', {rows}, '}}')
         WHEN 'signup' THEN concat('{{"other":[],"results":', {rows}, '}}')
         ELSE concat('{{"oops":', {rows}) END"""
-    df = d.events.selectExpr("event_id", f"{body} AS body", "0 AS page", f"{FETCHED} AS fetched_at")
+    df = S.dealt(d.events).selectExpr("event_id", f"{body} AS body", "0 AS page", f"{FETCHED} AS fetched_at")
     out = landing.extract_records(df)
     return out.select(
         "event_id", F.col("ordinal.pos").alias("pos"),
@@ -60,7 +60,7 @@ FROM events
 """)
 def stitch_pages(d: Data):
     """Every page landed twice; the later landing counts."""
-    both = d.events.selectExpr(
+    both = S.dealt(d.events).selectExpr(
         "CAST(user_id AS STRING) AS request_id", "CAST(event_id AS INT) AS page",
         """explode(array(
             named_struct('fetched_at', ts, 'body', concat('{"data":[{"kind":"', event_type, '"}]}')),
@@ -101,7 +101,7 @@ def page_completeness(d: Data):
         WHEN 'MACHINERY' THEN concat('{{"last":', i = {last}, ',"data":', {rows}, '}}')
         WHEN 'FURNITURE' THEN concat('{{"totalElements":', {total}, ',"data":', {rows}, '}}')
         ELSE {rows} END"""
-    df = d.customer.selectExpr("*", f"explode(sequence(0, CAST({last} AS INT))) AS i").where(
+    df = S.dealt(d.customer).selectExpr("*", f"explode(sequence(0, CAST({last} AS INT))) AS i").where(
         f"NOT (c_mktsegment = 'MACHINERY' AND i = 1) "
         f"AND NOT (c_mktsegment = 'FURNITURE' AND i = {last} AND i > 0)"
     )
@@ -438,7 +438,7 @@ SELECT sha256({SQL_HASH_PARTS}) AS movement_hash,
 FROM lineitem
 """)
 def natural_key_hash(d: Data):
-    rows = d.lineitem.selectExpr(
+    rows = S.dealt(d.lineitem).selectExpr(
         "l_suppkey AS source_account", "l_orderkey AS voucher_number", "l_shipdate AS process_date",
         "CAST(l_extendedprice AS STRING) AS amount", "l_returnflag AS debit_credit_type",
         "l_partkey AS operation_code_ib", "CAST(NULL AS STRING) AS branch_office_activity",
@@ -470,7 +470,7 @@ FROM m
 """)
 def provisional_key(d: Data):
     """Same-day movements without numbers of their own: twins are told apart by arrival."""
-    rows = d.lineitem.selectExpr(
+    rows = S.dealt(d.lineitem).selectExpr(
         "CAST(l_suppkey AS STRING) AS source_account",
         "CAST(CAST(date_trunc('YEAR', l_shipdate) AS TIMESTAMP_NTZ) AS STRING) AS process_date",
         "CAST(l_quantity AS STRING) AS amount", "l_returnflag AS debit_credit_type",

@@ -107,7 +107,7 @@ WHERE status = 'approved' AND date_created BETWEEN TIMESTAMP '1998-01-01' AND TI
 """)
 def payments_search(d: Data):
     """Search pages whose windows overlap: each payment comes back twice."""
-    pages = d.orders.select(
+    pages = S.dealt(d.orders).select(
         F.lit(1).alias("page"),
         F.concat(F.lit('{"paging":{"total":2},"results":['), S.payment_doc(), F.lit(","),
                  S.payment_doc(), F.lit("]}")).alias("body"),

@@ -20,6 +20,12 @@ def money(c: str) -> Column:
     return F.col(c).cast(MONEY)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt out by their key before documents are made of them: a landed zone is many files,
+    whatever number of files and row groups the table that stands for it has."""
+    return df.repartition(F.col(df.columns[0]))
+
+
 STATUS = "CASE o_orderstatus WHEN 'O' THEN 'approved' WHEN 'F' THEN 'refunded' ELSE 'pending' END"
 PRIORITY = "CAST(substring(o_orderpriority, 1, 1) AS INT)"
 
@@ -89,7 +95,7 @@ def payment_doc(status: str = STATUS, updated: str = "o_orderdate") -> Column:
 def documents(orders: DataFrame) -> DataFrame:
     """Orders as payment documents. The explode stands for a file boundary: without it,
     filters on parsed fields would have the documents built again."""
-    return orders.select(F.explode(F.array(payment_doc())).alias("body"))
+    return dealt(orders).select(F.explode(F.array(payment_doc())).alias("body"))
 
 
 def two_deliveries(orders: DataFrame) -> DataFrame:
@@ -97,7 +103,7 @@ def two_deliveries(orders: DataFrame) -> DataFrame:
     first = payment_doc("'pending'", "o_orderdate - INTERVAL 1 DAY")
     docs = F.array(F.struct(F.lit(1).alias("seq"), first.alias("body")),
                    F.struct(F.lit(2).alias("seq"), payment_doc().alias("body")))
-    return orders.select(F.explode(docs).alias("d")).select("d.seq", "d.body")
+    return dealt(orders).select(F.explode(docs).alias("d")).select("d.seq", "d.body")
 
 
 def payments(orders: DataFrame) -> DataFrame:

@@ -30,14 +30,23 @@ def build_session(master: str | None = None, app: str = "finledger", **conf: str
     return builder.getOrCreate()
 
 
+def in_one_process(spark: SparkSession) -> bool:
+    """Whether driver and executors are one (``local``, ``local[n]``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name under the folder shared by driver and executors.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, as in tests on
-    one machine, a folder is made and set for the rest of the session.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset and everything runs in
+    one process, as in tests, a folder is made and set for the rest of the session; on a
+    cluster that is an error, as executors would each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not in_one_process(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="finledger-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

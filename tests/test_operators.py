@@ -218,12 +218,6 @@ def test_ledger_and_control(spark):
     assert after["b"] == base.where("process_name = 'b'").first()
 
 
-def test_counted(spark):
-    df, seen = control.counted(spark.range(7), "rows-seen", top=F.max("id"))
-    df.write.format("noop").mode("overwrite").save()
-    assert seen.get == {"rows": 7, "top": 6}
-
-
 def test_audit(spark):
     from finledger.schemas import SPECS
 
