@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,11 @@ from finledger.operators.control import (
     start_run,
     window_for,
 )
-from finledger.operators.mutate import insert_missing
+from finledger.operators.mutate import insert_missing, reset_tables
 from finledger.operators.normalize import TABLE_OF, normalize
 from finledger.schemas import CONTROL_SEED, SPECS, TableSpec
 from finledger.session import folder_exists, remove_folder
+from finledger.sources.commits import transact
 from finledger.sources import aliases as A
 from finledger.sources.conform import conform, rename_fields
 from finledger.sources.landing import (
@@ -30,6 +31,8 @@ from finledger.sources.landing import (
     stitch_pages,
 )
 from finledger.sources.tables import (
+    GONE,
+    prepare,
     read_table,
     reconcile_table,
     stage,
@@ -211,3 +214,28 @@ def run_cycle(
     )
     write_table(advance_control(control, ran), f"{root}/sync_control", CONTROL, batch_id)
     return counters
+
+
+def reset(
+    spark: SparkSession, root: str, specs: Sequence[TableSpec], as_of: dt.datetime, batch_id: str
+) -> None:
+    """Empties these tables, in the given order (``RESET_ORDER``: children first), and sets every
+    control row back to "never ran", all in one commit. Ids given so far are not given again."""
+    now = F.lit(as_of).cast("timestamp_ntz")
+    empty, cleared = reset_tables(
+        {s.name: spark.createDataFrame([], s.schema) for s in specs}, read_control(spark, root), now
+    )
+
+    def build(at: int):
+        changes = [
+            prepare(spark, f"{root}/{s.name}", s, empty[s.name].withColumn(GONE, F.lit(False)), batch_id,
+                    at, whole=True)
+            for s in specs
+        ]
+        changes.append(prepare(
+            spark, f"{root}/{CONTROL.name}", CONTROL, cleared.withColumn(GONE, F.lit(False)), batch_id,
+            at, whole=True,
+        ))
+        return changes, None
+
+    transact(spark, root, batch_id, build)

@@ -52,16 +52,17 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system that Spark resolves the path against, and the path."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _filesystem(spark, path)
+    fs, where = filesystem(spark, path)
     return fs.exists(where)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    fs, where = _filesystem(spark, path)
+    fs, where = filesystem(spark, path)
     fs.delete(where, True)

@@ -1,29 +1,32 @@
 """Ledger tables on plain Parquet: batches are appended, nothing stored is ever changed.
 
-Layout of a table's folder::
+Layout of a ledger::
 
-    rows/batch_folder=n-x/[partition column=v/]key_bucket=b/   the rows of one batch
-    commits/seq=n/                                             one row that makes it count
-    errors/batch=id/                                           rows that cannot be stored
+    commits/                                                  the log, see ``commits.py``
+    <table>/rows/batch_folder=x/[partition column=v/]key_bucket=b/    the rows of one batch
+    <table>/errors/batch=id/                                  rows that cannot be stored
 
 A batch writes the new state of the rows it touches (deleted ones as markers) into a folder of
-its own, and then its commit. Readers take committed folders only, so a writer that dies leaves no
-trace, and what is being read is never replaced. The current row of a key is the one with the
-highest commit; the children of a parent are those of the last batch that replaced them. A batch
-costs what it holds plus the stored buckets of its keys; ``compact_table`` now and then writes the
-current state as one folder, from which readers start.
-
-The bucket hashes the natural key (children: the parent's key). The commit carries the highest
-surrogate id ever given, so ids are counted on without a look at the table and never come back. A
-table has one writer at a time.
+its own per table, and then one commit that names all of them. Readers take committed folders
+only, so a writer that dies leaves no trace, and what is being read is never replaced. The current
+row of a key is the one with the highest commit; the children of a parent are those of the last
+batch that replaced them. A batch costs what it holds plus the stored buckets of its keys, of which
+only folders that may hold one of these keys are opened; ``compact_table`` now and then writes
+the current state as one folder, from which readers start.
+
+The bucket hashes the natural key (children: the parent's key). Commits carry the highest
+surrogate id ever given, so ids are counted on without a look at the table and never come back.
+Writers that touch the same keys, or give ids in the same table, at once are told apart by the log;
+the later one starts over.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,13 +34,21 @@ from finledger.operators.dedup import keep_last
 from finledger.operators.mutate import PROVISIONAL, assign_surrogate, merge_upsert
 from finledger.schemas import TableSpec
 from finledger.session import folder_exists, remove_folder, scratch_path
+from finledger.sources.commits import (
+    Change,
+    Commit,
+    bits_meet,
+    key_bits,
+    read_log,
+    transact,
+)
 from finledger.sources.conform import conform
 
 BUCKET = "key_bucket"
 BATCH = "batch_id"
 SEQ = "batch_seq"
 GONE = "row_gone"
-COMMIT = "seq BIGINT, folder STRING, batch_id STRING, whole BOOLEAN, high_id BIGINT, rows BIGINT"
+FOLDER = "batch_folder"
 BLOCKS = 1024  # ranges of the key's hash whose new ids are counted side by side
 
 
@@ -49,9 +60,8 @@ def bucket_of(spec: TableSpec) -> Column:
     return F.pmod(F.xxhash64(*bucket_keys(spec)), F.lit(spec.buckets)).cast("int")
 
 
-def stored_schema(spec: TableSpec) -> T.StructType:
-    extra = ((BATCH, T.StringType()), (SEQ, T.LongType()), (GONE, T.BooleanType()),
-             (BUCKET, T.IntegerType()))
+def written_schema(spec: TableSpec) -> T.StructType:
+    extra = ((BATCH, T.StringType()), (GONE, T.BooleanType()), (BUCKET, T.IntegerType()))
     return T.StructType([*spec.schema.fields, *[T.StructField(n, t) for n, t in extra]])
 
 
@@ -63,99 +73,123 @@ def stage(df: DataFrame, purpose: str = "stage") -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def staged_copies():
+    """A ``stage`` whose copies are gone when the block ends, however it does."""
+    made: list[tuple[SparkSession, str]] = []
+
+    def keep(df: DataFrame, purpose: str = "stage") -> DataFrame:
+        rows, path = stage(df, purpose)
+        made.append((df.sparkSession, path))
+        return rows
+
+    try:
+        yield keep
+    finally:
+        for spark, path in made:
+            remove_folder(spark, path)
+
+
 # -- commits --------------------------------------------------------------------------------
-def commits(spark: SparkSession, path: str) -> list[Row]:
-    """The committed batches in order; there are as many as since the last compaction was
-    vacuumed."""
-    log = f"{path}/commits"
-    if not folder_exists(spark, log):
-        return []
-    rows = spark.read.schema(COMMIT).option("recursiveFileLookup", "true").parquet(log)
-    return sorted(rows.collect(), key=lambda r: r["seq"])
+def ledger_of(path: str) -> tuple[str, str]:
+    """The ledger's root and the table's name in it."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    return root, name
 
 
-def _live(log: Sequence[Row]) -> list[Row]:
-    """Commits from the last one that holds the whole state."""
-    first = max((i for i, c in enumerate(log) if c["whole"]), default=0)
-    return list(log[first:])
+def commits(spark: SparkSession, path: str, at: int | None = None) -> list[Commit]:
+    """The table's commits in order, from the last one that holds the whole state."""
+    root, name = ledger_of(path)
+    log = [c for c in read_log(spark, root, at) if c.table_name == name]
+    first = max((i for i, c in enumerate(log) if c.whole), default=0)
+    return log[first:]
 
 
-def _high_id(log: Sequence[Row]) -> int:
-    return max((c["high_id"] or 0 for c in log), default=0)
+def _high_id(log: Sequence[Commit]) -> int:
+    return max((c.high_id or 0 for c in log), default=0)
 
 
-def _append(
-    spark: SparkSession, path: str, spec: TableSpec, rows: DataFrame, batch_id: str | None,
-    whole: bool = False,
-) -> int:
-    """Writes a batch and commits it; returns how many rows it holds, markers not counted.
+def prepare(
+    spark: SparkSession, path: str, spec: TableSpec, rows: DataFrame, batch_id: str | None, at: int,
+    whole: bool = False, ids_given: bool | None = None,
+) -> Change:
+    """Writes a batch into a folder of its own; it counts once a commit names it.
 
-    ``rows`` has the table's columns and ``GONE``. A folder's name is never used twice.
+    ``rows`` has the table's columns and ``GONE``; ``at`` is the state it was made from.
     """
-    log = commits(spark, path)
-    seq = log[-1]["seq"] + 1 if log else 1
-    folder = f"batch_folder={seq}-{uuid.uuid4().hex}"
-    stamps = {BATCH: F.lit(batch_id).cast("string"), SEQ: F.lit(seq).cast("bigint"),
-              BUCKET: bucket_of(spec)}
-    schema = stored_schema(spec)
-    if BATCH in rows.columns:
-        stamps.pop(BATCH)
+    folder = uuid.uuid4().hex
+    stamps = {BUCKET: bucket_of(spec)}
+    if BATCH not in rows.columns:
+        stamps[BATCH] = F.lit(batch_id).cast("string")
     folders = [*([spec.partition_by] if spec.partition_by else []), BUCKET]
     # rebalance: about one file per bucket, large buckets split, small ones merged
     (
-        conform(rows.withColumns(stamps), schema).hint("rebalance", *folders)
-        .write.partitionBy(*folders).parquet(f"{path}/rows/{folder}")
+        conform(rows.withColumns(stamps), written_schema(spec)).hint("rebalance", *folders)
+        .write.partitionBy(*folders).parquet(f"{path}/rows/{FOLDER}={folder}")
     )
     written = _read(spark, path, spec, [folder])
     top = F.max(spec.surrogate) if spec.surrogate else F.lit(None).cast("bigint")
     found = written.agg(
-        top.alias("top"), F.coalesce(F.count_if(~F.col(GONE)), F.lit(0)).alias("rows")
+        top.alias("top"), F.coalesce(F.count_if(~F.col(GONE)), F.lit(0)).alias("rows"),
+        key_bits(bucket_keys(spec)).alias("bits"),
     ).first()
-    high = max(_high_id(log), found["top"] or 0)
-    row = (seq, folder, batch_id, whole, high, found["rows"])
-    spark.createDataFrame([row], COMMIT).coalesce(1).write.parquet(f"{path}/commits/seq={seq}")
-    return found["rows"]
+    if ids_given is None:
+        ids_given = spec.surrogate is not None
+    return Change(
+        ledger_of(path)[1], f"{FOLDER}={folder}", whole, ids_given,
+        max(_high_id(commits(spark, path, at)), found["top"] or 0), found["rows"],
+        None if whole else found["bits"],
+    )
 
 
 def _read(spark: SparkSession, path: str, spec: TableSpec, folders: Sequence[str]) -> DataFrame:
-    schema = stored_schema(spec)
+    schema = T.StructType([*written_schema(spec).fields, T.StructField(FOLDER, T.StringType())])
     if not folders:
         return spark.createDataFrame([], schema)
     return (
         spark.read.schema(schema).option("basePath", f"{path}/rows")
-        .parquet(*[f"{path}/rows/{f}" for f in folders]).select(*schema.names)
+        .parquet(*[f"{path}/rows/{FOLDER}={f.removeprefix(FOLDER + '=')}" for f in folders])
+        .select(*schema.names)
     )
 
 
 # -- state ----------------------------------------------------------------------------------
 def current_rows(
     spark: SparkSession, path: str, spec: TableSpec, buckets: Sequence[int] | None = None,
-    partition: str | None = None,
+    partition: str | None = None, bits: str | None = None, at: int | None = None,
 ) -> DataFrame:
-    """The table's rows with batch, commit and bucket. Buckets and partition prune the scan.
+    """The table's rows with batch, commit and bucket, as of commit ``at``.
 
-    Keys are reduced to their highest commit first; whole rows meet that short list.
+    Buckets and partition prune the scan; with the bitmap of some keys only folders that may hold one
+    of them are opened, so other keys' rows may be missing or stale. Keys are reduced to their
+    highest commit first; whole rows meet that short list.
     """
-    log = _live(commits(spark, path))
-    rows = _read(spark, path, spec, [c["folder"] for c in log])
+    log = commits(spark, path, at)
+    if bits is not None:
+        log = [c for c in log if bits_meet(c.key_bits, bits)]
+    rows = _read(spark, path, spec, [c.folder for c in log])
     if buckets is not None:
         rows = rows.where(F.col(BUCKET).isin(list(buckets)))
     if partition is not None:
         rows = rows.where(F.col(spec.partition_by) == partition)
+    # a literal relation, whose size Spark knows: as many entries as commits since the last compaction
+    order = ", ".join(f"('{c.folder.removeprefix(f'{FOLDER}=')}', {c.seq}L)" for c in log)
+    order = spark.sql(f"SELECT * FROM VALUES {order or "('', 0L)"} AS t({FOLDER}, {SEQ})")
+    rows = rows.join(order, FOLDER)
     if len(log) > 1:  # within one batch a key has one state
         unit = list(bucket_keys(spec))
         newest = rows.groupBy(*unit).agg(F.max(SEQ).alias(SEQ))
         rows = rows.join(newest, [*unit, SEQ], "left_semi")
-    return rows.where(~F.col(GONE)).select(*stored_schema(spec).names)
+    return rows.where(~F.col(GONE)).select(*spec.schema.names, BATCH, SEQ, GONE, BUCKET)
 
 
 def read_table(
     spark: SparkSession, path: str, spec: TableSpec, stored: bool = False,
-    buckets: Sequence[int] | None = None,
+    buckets: Sequence[int] | None = None, bits: str | None = None, at: int | None = None,
 ) -> DataFrame:
-    """The table's rows; a table that was never written is empty. ``stored`` adds batch and
-    bucket."""
-    rows = current_rows(spark, path, spec, buckets).drop(SEQ, GONE)
+    """The table's rows, as of commit ``at`` if given; a table that was never written is empty.
+    ``stored`` adds batch and bucket."""
+    rows = current_rows(spark, path, spec, buckets, None, bits, at).drop(SEQ, GONE)
     return rows if stored else rows.drop(BATCH, BUCKET)
 
 
@@ -178,9 +212,12 @@ def _set_aside(bad: DataFrame, path: str, batch_id: str) -> int:
     return count
 
 
-def _touched(df: DataFrame) -> list[int]:
-    """Bucket numbers of a batch: at most ``spec.buckets`` integers."""
-    return [r[0] for r in df.select(BUCKET).distinct().collect()]
+def touched(df: DataFrame, spec: TableSpec) -> tuple[list[int], str]:
+    """Bucket numbers of a batch, at most ``spec.buckets`` integers, and the bitmap of its keys."""
+    found = df.agg(
+        F.collect_set(BUCKET).alias("buckets"), key_bits(bucket_keys(spec)).alias("bits")
+    ).first()
+    return sorted(found["buckets"]), found["bits"]
 
 
 def id_block(key: str) -> Column:
@@ -195,8 +232,39 @@ def _numbered(fresh: DataFrame, spec: TableSpec, key: str, high: int) -> DataFra
 def write_table(df: DataFrame, path: str, spec: TableSpec, batch_id: str | None = None) -> int:
     """Whole rows into the table; they take the place of those with their key (children: of all
     those of their parent). Returns how many."""
-    rows = conform(df, spec.schema).where(~_no_key(spec)).withColumn(GONE, F.lit(False))
-    return _append(df.sparkSession, path, spec, rows, batch_id)
+    spark, rows = df.sparkSession, conform(df, spec.schema).where(~_no_key(spec))
+
+    def build(at: int) -> tuple[list[Change], int]:
+        change = prepare(
+            spark, path, spec, rows.withColumn(GONE, F.lit(False)), batch_id, at, ids_given=False
+        )
+        return [change], change.rows
+
+    return transact(spark, ledger_of(path)[0], batch_id, build)
+
+
+def prepare_upsert(
+    spark: SparkSession, path: str, spec: TableSpec, good: DataFrame, as_of: Column, batch_id: str,
+    at: int, place: tuple[list[int], str],
+) -> Change:
+    """Merges rows, one per key and none without, into the state at ``at``. ``place`` is what
+    ``touched`` says of them."""
+    buckets, bits = place
+    keys = good.select(*spec.keys)
+    target = current_rows(spark, path, spec, buckets, bits=bits, at=at).join(
+        keys, list(spec.keys), "left_semi"
+    )
+    insert_only = []
+    if spec.surrogate:
+        fresh = keys.join(target.select(*spec.keys), list(spec.keys), "left_anti")
+        ids = _numbered(fresh, spec, spec.keys[0], _high_id(commits(spark, path, at)))
+        good = good.join(ids, list(spec.keys), "left")
+        insert_only.append(spec.surrogate)
+    merged = merge_upsert(
+        target.drop(BATCH, SEQ, GONE, BUCKET), good, spec.keys, spec.update_cols, as_of, spec.touch,
+        [spec.created, *([spec.touch] if spec.touch else [])], spec.name, insert_only=insert_only,
+    )
+    return prepare(spark, path, spec, merged.withColumn(GONE, F.lit(False)), batch_id, at)
 
 
 def upsert_table(
@@ -207,46 +275,39 @@ def upsert_table(
 
     With an ordinal the last row of a key counts. Rows without a key are set aside.
     """
-    staged, folder = stage(
-        batch.select(*spec.keys, *spec.update_cols, *ordinal).withColumn(BUCKET, bucket_of(spec)),
-        spec.name,
-    )
-    good, read = staged.where(~_no_key(spec)), staged.count()
-    errors = _set_aside(staged.where(_no_key(spec)).drop(BUCKET, *ordinal), path, batch_id)
-    if ordinal:
-        good = keep_last(good, spec.keys, ordinal).drop(*ordinal)
-    touched = _touched(good)
-    upserted = 0
-    if touched:
-        keys = good.select(*spec.keys)
-        target = current_rows(spark, path, spec, touched).join(keys, list(spec.keys), "left_semi")
-        insert_only = []
-        if spec.surrogate:
-            fresh = keys.join(target.select(*spec.keys), list(spec.keys), "left_anti")
-            ids = _numbered(fresh, spec, spec.keys[0], _high_id(commits(spark, path)))
-            good = good.join(ids, list(spec.keys), "left")
-            insert_only.append(spec.surrogate)
-        merged = merge_upsert(
-            target.drop(BATCH, SEQ, GONE, BUCKET), good, spec.keys, spec.update_cols, as_of, spec.touch,
-            [spec.created, *([spec.touch] if spec.touch else [])], spec.name, insert_only=insert_only,
+    with staged_copies() as keep:
+        staged = keep(
+            batch.select(*spec.keys, *spec.update_cols, *ordinal).withColumn(BUCKET, bucket_of(spec)),
+            spec.name,
         )
-        upserted = _append(spark, path, spec, merged.withColumn(GONE, F.lit(False)), batch_id)
-    remove_folder(spark, folder)
+        good, read = staged.where(~_no_key(spec)), staged.count()
+        errors = _set_aside(staged.where(_no_key(spec)).drop(BUCKET, *ordinal), path, batch_id)
+        if ordinal:
+            good = keep_last(good, spec.keys, ordinal).drop(*ordinal)
+        place = touched(good, spec)
+
+        def build(at: int) -> tuple[list[Change], int]:
+            if not place[0]:
+                return [], 0
+            change = prepare_upsert(spark, path, spec, good, as_of, batch_id, at, place)
+            return [change], change.rows
+
+        upserted = transact(spark, ledger_of(path)[0], batch_id, build)
     return {"read": read, "upserted": upserted, "repeated": read - errors - upserted, "errors": errors}
 
 
-def replace_children_table(
+def prepare_children(
     spark: SparkSession, path: str, spec: TableSpec, parents: DataFrame, new: DataFrame,
-    as_of: Column, batch_id: str,
-) -> int:
-    """Children of the given parents replaced by the new ones; returns how many were written.
+    as_of: Column, batch_id: str, at: int, keep: Callable[..., DataFrame],
+) -> Change:
+    """Children of the given parents replaced by the new ones.
 
     A parent without new children is written as a marker, so its old ones no longer count. The
     stored table is not read.
     """
     parent = spec.parent[0]
     parents = parents.select(parent).where(F.col(parent).isNotNull()).distinct()
-    staged, folder = stage(
+    staged = keep(
         new.where(F.col(parent).isNotNull())
         .withColumns({spec.created: as_of, "__row": F.monotonically_increasing_id()}), spec.name,
     )
@@ -256,14 +317,25 @@ def replace_children_table(
         # owns much of the batch, or when rows are copies of each other
         children = assign_surrogate(
             None, children, spec.surrogate, "__row", F.shiftright("__row", 20),
-            _high_id(commits(spark, path)),
+            _high_id(commits(spark, path, at)),
         )
     rows = conform(children.drop("__row"), spec.schema).withColumn(GONE, F.lit(False))
     childless = parents.join(staged.select(parent), parent, "left_anti")
     markers = conform(childless, spec.schema).withColumn(GONE, F.lit(True))
-    written = _append(spark, path, spec, rows.unionByName(markers), batch_id)
-    remove_folder(spark, folder)
-    return written
+    return prepare(spark, path, spec, rows.unionByName(markers), batch_id, at)
+
+
+def replace_children_table(
+    spark: SparkSession, path: str, spec: TableSpec, parents: DataFrame, new: DataFrame,
+    as_of: Column, batch_id: str,
+) -> int:
+    """Children of the given parents replaced by the new ones; returns how many were written."""
+    with staged_copies() as keep:
+        def build(at: int) -> tuple[list[Change], int]:
+            change = prepare_children(spark, path, spec, parents, new, as_of, batch_id, at, keep)
+            return [change], change.rows
+
+        return transact(spark, ledger_of(path)[0], batch_id, build)
 
 
 def reconcile_table(
@@ -275,51 +347,71 @@ def reconcile_table(
     Rows in the feed are updated or inserted; same-day rows of the accounts in ``scope`` (all,
     without one) that are not in the feed any more get a marker.
     """
-    staged, folder = stage(current.select(*spec.keys, *spec.update_cols), spec.name)
-    good, read = staged.where(~_no_key(spec)), staged.count()
-    errors = _set_aside(staged.where(_no_key(spec)), path, batch_id)
-    target = current_rows(spark, path, spec, partition=PROVISIONAL).drop(BATCH, SEQ, GONE, BUCKET)
-    keys = good.select(*spec.keys)
-    fresh = keys.join(target.select(*spec.keys), list(spec.keys), "left_anti")
-    ids = _numbered(fresh, spec, spec.keys[0], _high_id(commits(spark, path)))
-    merged = merge_upsert(
-        target.join(keys, list(spec.keys), "left_semi"), good.join(ids, list(spec.keys), "left"),
-        spec.keys, spec.update_cols, as_of, None, [spec.created], spec.name,
-        insert_only=[spec.surrogate],
-    ).withColumn(GONE, F.lit(False))
-    lost = target.join(keys, list(spec.keys), "left_anti")
-    if scope is not None:
-        lost = lost.join(scope.select(scope_key).distinct(), scope_key, "left_semi")
-    lost = conform(lost.drop(spec.surrogate), spec.schema).withColumn(GONE, F.lit(True))
-    rows, marked = stage(merged.unionByName(lost), spec.name)
-    deleted = rows.where(GONE).count()
-    upserted = _append(spark, path, spec, rows, batch_id)
-    for f in (folder, marked):
-        remove_folder(spark, f)
+    with staged_copies() as keep:
+        staged = keep(current.select(*spec.keys, *spec.update_cols), spec.name)
+        good, read = staged.where(~_no_key(spec)), staged.count()
+        errors = _set_aside(staged.where(_no_key(spec)), path, batch_id)
+        keys = good.select(*spec.keys)
+
+        def build(at: int) -> tuple[list[Change], tuple[int, int]]:
+            target = current_rows(spark, path, spec, partition=PROVISIONAL, at=at).drop(
+                BATCH, SEQ, GONE, BUCKET
+            )
+            fresh = keys.join(target.select(*spec.keys), list(spec.keys), "left_anti")
+            ids = _numbered(fresh, spec, spec.keys[0], _high_id(commits(spark, path, at)))
+            merged = merge_upsert(
+                target.join(keys, list(spec.keys), "left_semi"), good.join(ids, list(spec.keys), "left"),
+                spec.keys, spec.update_cols, as_of, None, [spec.created], spec.name,
+                insert_only=[spec.surrogate],
+            ).withColumn(GONE, F.lit(False))
+            lost = target.join(keys, list(spec.keys), "left_anti")
+            if scope is not None:
+                lost = lost.join(scope.select(scope_key).distinct(), scope_key, "left_semi")
+            lost = conform(lost.drop(spec.surrogate), spec.schema).withColumn(GONE, F.lit(True))
+            rows = keep(merged.unionByName(lost), spec.name)
+            change = prepare(spark, path, spec, rows, batch_id, at)
+            return [change], (change.rows, rows.where(GONE).count())
+
+        upserted, deleted = transact(spark, ledger_of(path)[0], batch_id, build)
     return {"read": read, "upserted": upserted, "deleted": deleted, "errors": errors}
 
 
 def reset_table(spark: SparkSession, path: str, spec: TableSpec, batch_id: str) -> None:
     """Empties the table. Ids given so far are not given again."""
     none = spark.createDataFrame([], spec.schema).withColumn(GONE, F.lit(False))
-    _append(spark, path, spec, none, batch_id, whole=True)
+    transact(spark, ledger_of(path)[0], batch_id,
+             lambda at: ([prepare(spark, path, spec, none, batch_id, at, True)], None))
 
 
 def compact_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
     """The current state as one new folder, from which reading starts. Rows keep their batch."""
-    rows = current_rows(spark, path, spec).drop(SEQ, BUCKET)
-    _append(spark, path, spec, rows, "compacted", whole=True)
+    def build(at: int) -> tuple[list[Change], None]:
+        rows = current_rows(spark, path, spec, at=at).drop(SEQ, BUCKET)
+        return [prepare(spark, path, spec, rows, "compacted", at, whole=True)], None
+
+    transact(spark, ledger_of(path)[0], "compacted", build)
 
 
 def vacuum_table(spark: SparkSession, path: str) -> int:
-    """Removes what no reader starts from any more: folders and commits before the last whole
-    one. Returns how many batches went. Readers that began earlier must have ended."""
-    log = commits(spark, path)
-    old = log[:len(log) - len(_live(log))]
-    for commit in old:  # the commit first: what is left half removed does not count
-        remove_folder(spark, f"{path}/commits/seq={commit['seq']}")
-        remove_folder(spark, f"{path}/rows/{commit['folder']}")
-    return len(old)
+    """Removes the table's folders that no reader starts from any more, those before its last
+    whole one, and commits of which nothing is left. Returns how many folders went. Readers that
+    began earlier must have ended."""
+    root, _ = ledger_of(path)
+    log = read_log(spark, root)
+    live = {
+        (c.table_name, c.folder)
+        for name in {c.table_name for c in log} for c in commits(spark, f"{root}/{name}")
+    }
+    own = [c for c in log if c.table_name == ledger_of(path)[1] and (c.table_name, c.folder) not in live]
+    gone = 0
+    for old in own:
+        if folder_exists(spark, f"{path}/rows/{old.folder}"):
+            remove_folder(spark, f"{path}/rows/{old.folder}")
+            gone += 1
+    for seq in {c.seq for c in log}:
+        if not any((c.table_name, c.folder) in live for c in log if c.seq == seq):
+            remove_folder(spark, f"{root}/commits/{seq:020d}.json")
+    return gone
 
 
 def merge_into(batch: DataFrame, table: str, spec: TableSpec, as_of: Column) -> None:

@@ -9,7 +9,19 @@ from finledger.operators import audit
 from finledger.plans import bank, payments
 from finledger.schemas import CONTROL_SEED, SPECS, scaled_specs, table_schema
 from finledger.sources.landing import PAGE_SCHEMA
-from finledger.sources.tables import export_tables, read_table, upsert_table, write_table
+from finledger.sources.commits import Conflict, commit, read_log, snapshot, transact
+from finledger.sources.conform import conform
+from finledger.sources.tables import (
+    BUCKET,
+    bucket_of,
+    export_tables,
+    prepare,
+    prepare_upsert,
+    read_table,
+    touched,
+    upsert_table,
+    write_table,
+)
 
 AT = dt.datetime(2026, 6, 1)
 
@@ -53,26 +65,111 @@ def test_payment_batches(spark, now, tmp_path):
     assert charges.select("charge_row_id").distinct().count() == 4
     p = table(spark, root, "mp_payments").where("payment_id = 1").first()
     assert p["date_last_updated"] == dt.datetime(2026, 5, 20) and "a@b" not in p["raw_json"]
-    assert payments.partial_batches(spark, root).count() == 0
     tables = {n: table(spark, root, n) for n in ("mp_payments", "mp_payment_charges", "mp_payment_items")}
     assert audit.audit_constraints(tables).agg(F.sum("violations")).first()[0] == 0
 
 
-def test_half_published_batch_is_seen_and_repaired(spark, now, tmp_path, monkeypatch):
-    root = str(tmp_path)
-    payments.apply_payments(spark, root, landed(spark, doc(1)), ["seq"], now, "b1")
+def test_a_batch_that_dies_between_its_tables_is_not_seen(spark, now, tmp_path, monkeypatch):
+    root, names = str(tmp_path), ("mp_payments", "mp_payment_charges", "mp_payment_items")
+    payments.apply_payments(spark, root, landed(spark, doc(1), doc(2)), ["seq"], now, "b1")
+    before = {n: rows(table(spark, root, n)) for n in names}
 
     def dies(*args, **kwargs):
         raise RuntimeError("driver lost")
 
+    batch = landed(spark, doc(1, "2026-06-01", 3))
     with monkeypatch.context() as m:
-        m.setattr(payments, "upsert_table", dies)
+        m.setattr(payments, "prepare_upsert", dies)
         with pytest.raises(RuntimeError):
-            payments.apply_payments(spark, root, landed(spark, doc(1, "2026-06-01", 3)), ["seq"], now, "b2")
-    assert payments.partial_batches(spark, root).count() == 1
-    payments.apply_payments(spark, root, landed(spark, doc(1, "2026-06-01", 3)), ["seq"], now, "b2")
-    assert payments.partial_batches(spark, root).count() == 0
-    assert table(spark, root, "mp_payment_charges").count() == 3
+            payments.apply_payments(spark, root, batch, ["seq"], now, "b2")
+    assert {n: rows(table(spark, root, n)) for n in names} == before
+    at = snapshot(spark, root)
+    payments.apply_payments(spark, root, batch, ["seq"], now, "b2")
+    assert table(spark, root, "mp_payment_charges").count() == 5
+    assert {n: rows(read_table(spark, f"{root}/{n}", SPECS[n], at=at)) for n in names} == before
+    assert snapshot(spark, root) == at + 1
+    log = [c for c in read_log(spark, root) if c.seq == at + 1]
+    assert sorted(c.table_name for c in log) == sorted(names) and {c.batch_id for c in log} == {"b2"}
+
+
+def balances(spark, keys, message):
+    spec = SPECS["ib_balances"]
+    df = spark.createDataFrame([(str(k), message) for k in keys], "balance_hash string, message string")
+    return df.select(*[
+        F.col(c) if c in df.columns else F.lit(None).cast(spec.schema[c].dataType).alias(c)
+        for c in (*spec.keys, *spec.update_cols)
+    ])
+
+
+def test_interleaved_writers(spark, now, tmp_path):
+    """A writer whose commit comes second starts over from the first one's state."""
+    root, spec = str(tmp_path), SPECS["ib_balances"]
+    path, tries = f"{root}/ib_balances", []
+    mine = balances(spark, range(6), "mine").withColumn(BUCKET, bucket_of(spec))
+
+    def build(at):
+        tries.append(at)
+        change = prepare_upsert(spark, path, spec, mine, now, "mine", at, touched(mine, spec))
+        if len(tries) == 1:
+            upsert_table(spark, path, spec, balances(spark, range(4, 9), "theirs"), now, "theirs")
+        return [change], change.rows
+
+    assert transact(spark, root, "mine", build) == 6 and tries == [0, 1]
+    got = read_table(spark, path, spec).collect()
+    assert {r["balance_hash"]: r["message"] for r in got} == {
+        str(k): "mine" if k < 6 else "theirs" for k in range(9)
+    }
+    assert sorted(r["balance_id"] for r in got) == list(range(1, 10))
+    folders = [p.name for p in (tmp_path / "ib_balances" / "rows").iterdir()]
+    assert len(folders) == 2  # what the first try wrote is gone
+
+
+def test_writers_of_other_keys_and_tables_do_not_wait(spark, now, tmp_path):
+    root, spec = str(tmp_path), SPECS["ib_accounts"]
+    path = f"{root}/ib_accounts"
+
+    def accounts(*keys):
+        return spark.createDataFrame([(k, "x") for k in keys], "account_cbu string, account_label string")
+
+    def change(key, at, **more):
+        df = conform(accounts(key), spec.schema).withColumn("row_gone", F.lit(False))
+        return prepare(spark, path, spec, df, key, at, **more)
+
+    first, second, same = change("1", 0), change("2", 0), change("1", 0)
+    assert commit(spark, root, "a", [first], 0) == 1
+    assert commit(spark, root, "b", [second], 0) == 2
+    with pytest.raises(Conflict):
+        commit(spark, root, "c", [same], 0)
+    assert sorted(r[0] for r in read_table(spark, path, spec).select("account_cbu").collect()) == ["1", "2"]
+    assert commit(spark, root, "c", [same], 2) == 3
+
+
+def test_threads_write_at_once(spark, now, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    spec, path = SPECS["ib_balances"], f"{tmp_path}/ib_balances"
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(
+            lambda k: upsert_table(spark, path, spec, balances(spark, range(k, k + 4), "x"), now, f"b{k}"),
+            range(0, 9, 3),
+        ))
+    got = read_table(spark, path, spec).collect()
+    assert sorted(int(r["balance_hash"]) for r in got) == list(range(10))
+    ids = [r["balance_id"] for r in got]
+    assert len(set(ids)) == 10
+    assert [c.seq for c in read_log(spark, str(tmp_path))] == [1, 2, 3]
+
+
+def test_lookups_open_only_folders_that_may_hold_the_key(spark, now, tmp_path):
+    spec, path = SPECS["ib_accounts"], f"{tmp_path}/ib_accounts"
+    for k in range(12):
+        write_table(spark.createDataFrame([(str(k), f"n{k}")], "account_cbu string, account_label string"),
+                    path, spec, str(k))
+    one = spark.createDataFrame([("7",)], "account_cbu string").withColumn(BUCKET, bucket_of(spec))
+    buckets, bits = touched(one, spec)
+    found = read_table(spark, path, spec, buckets=buckets, bits=bits)
+    assert [r["account_label"] for r in found.collect()] == ["n7"]
+    assert len({p.split("batch_folder=")[1].split("/")[0] for p in found.inputFiles()}) == 1
 
 
 def test_backfill_counts_errors(spark, now, tmp_path):
@@ -187,7 +284,7 @@ def test_a_writer_that_dies_leaves_every_old_row(spark, now, tmp_path, monkeypat
 
     before = state()
     with monkeypatch.context() as m:
-        m.setattr(tables, "_read", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        m.setattr(tables, "transact", lambda *a: a[3](0) and (_ for _ in ()).throw(RuntimeError("driver lost")))
         with pytest.raises(RuntimeError):
             write_table(new, path, spec, "2")
     assert state() == before
@@ -211,7 +308,6 @@ def test_compaction_keeps_state_children_and_ids(spark, now, tmp_path):
         assert vacuum_table(spark, f"{root}/{name}") == 2
         assert rows(table(spark, root, name)) == before
         assert len(commits(spark, f"{root}/{name}")) == 1
-    assert payments.partial_batches(spark, root).count() == 0
     payments.apply_payments(spark, root, landed(spark, doc(4)), ["seq"], now, "b3")
     ids = [r[0] for r in table(spark, root, "mp_payment_charges").select("charge_row_id").collect()]
     assert len(set(ids)) == len(ids) == 6 and max(ids) == 8
