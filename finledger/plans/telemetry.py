@@ -46,12 +46,12 @@ def duration_by_process(logs: DataFrame, service: str, as_of, interval: str = "2
 
 
 def latency_percentiles(requests: DataFrame, as_of, interval: str = "24 HOURS",
-                        width: str = "1 hour", block_ms: float = 100.0) -> DataFrame:
+                        width: str = "1 hour") -> DataFrame:
     """p50, p95, p99 and count per time bin, exact at any bin size."""
     rows = requests.where(within("timestamp", as_of, interval)).select(
         bin_start(F.col("timestamp"), width).alias("bin"), "duration"
     )
-    return exact_percentiles(rows, ["bin"], "duration", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, block_ms)
+    return exact_percentiles(rows, ["bin"], "duration", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
 
 
 def status_codes(requests: DataFrame, as_of, interval: str = "24 HOURS", width: str = "1 hour") -> DataFrame:

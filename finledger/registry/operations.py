@@ -221,6 +221,25 @@ def plan_slices(d: Data):
     return slices.plan_slices(rows, "ts", 200, "month")
 
 
+@query("""
+WITH RECURSIVE c AS (SELECT CAST(l_shipdate AS TIMESTAMP) AS ts, count(*) AS n FROM lineitem GROUP BY 1),
+     r AS (SELECT ts, n, sum(n) OVER (ORDER BY ts) - n AS before, sum(n) OVER () AS total,
+                  lead(ts) OVER (ORDER BY ts) AS following, max(ts) OVER () AS final FROM c),
+     s AS (SELECT a.*, b.ts AS cut, a.before + 200 >= a.total AS drained
+           FROM r a ASOF JOIN r b ON a.before + 199 >= b.before),
+     w AS (SELECT min(ts) AS ts FROM r
+           UNION ALL SELECT CASE WHEN s.cut > s.ts THEN s.cut ELSE s.following END
+           FROM w JOIN s ON w.ts = s.ts WHERE NOT s.drained AND (s.cut > s.ts OR s.following IS NOT NULL))
+SELECT s.ts AS begin_ts, CASE WHEN drained THEN final ELSE cut END AS end_ts,
+       CAST(least(200, total - before) AS BIGINT) AS rows, NOT drained AND n > 200 AS overfull
+FROM w JOIN s ON w.ts = s.ts
+""")
+def cursor_slices(d: Data):
+    """The slices that a cursor would take one after the other, found all at once."""
+    rows = d.lineitem.select(F.col("l_shipdate").cast("timestamp_ntz").alias("ts"))
+    return slices.cursor_slices(rows, "ts", 200, "month")
+
+
 # -- logs and requests ---------------------------------------------------------------
 @query(f"""
 SELECT event_id, "timestamp", severity_level, message FROM ({S.SQL_LOGS})

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps the two timestamp rules (drop the offset / shift to UTC) apart;
 # the rest are the defaults a large cluster run wants as well.
@@ -52,6 +52,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows from a written copy in the shared scratch folder: the lineage ends there, so a lost
+    executor costs a read, and nothing is computed twice."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def filesystem(spark: SparkSession, path: str):
     """The Hadoop file system that Spark resolves the path against, and the path."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

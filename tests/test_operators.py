@@ -132,7 +132,7 @@ def test_exact_percentiles(spark):
     rnd = random.Random(2)
     data = [("h" if rnd.random() < 0.7 else "c", round(rnd.gauss(50, 40), 1)) for _ in range(3000)]
     out = ranking.exact_percentiles(
-        spark.createDataFrame(data, "g string, v double"), ["g"], "v", {"p50": 0.5, "p99": 0.99}, 10.0
+        spark.createDataFrame(data, "g string, v double"), ["g"], "v", {"p50": 0.5, "p99": 0.99}
     )
     for r in out.collect():
         values = [v for g, v in data if g == r["g"]]
@@ -141,10 +141,71 @@ def test_exact_percentiles(spark):
         assert r["p99"] == pytest.approx(np.percentile(values, 99))
 
 
+def test_percentiles_of_crowded_and_extreme_values(spark):
+    """99 % of a group within a hair's breadth, the rest anywhere; ends, copies, one row, NULLs."""
+    import numpy as np
+
+    rnd = random.Random(5)
+    data = [("h", 7.0 + rnd.randrange(50) * 2 ** -50) for _ in range(2000)]
+    data += [("h", v) for v in (-1e300, 1e300, -0.0, 0.0, 5e-324, -5e-324, 1e-9) * 3]
+    data += [("one", -3.5), ("two", 1.0), ("two", 1.0), ("two", None), ("none", None)]
+    probs = {"p0": 0.0, "p1": 0.01, "p50": 0.5, "p995": 0.995, "p100": 1.0}
+    out = ranking.exact_percentiles(
+        spark.createDataFrame(data, "g string, v double").repartition(3), ["g"], "v", probs, "n"
+    ).collect()
+    assert sorted(r["g"] for r in out) == ["h", "one", "two"]
+    for r in out:
+        values = [v for g, v in data if g == r["g"] and v is not None]
+        assert r["n"] == len(values)
+        for name, p in probs.items():
+            assert r[name] == pytest.approx(np.percentile(values, 100 * p), rel=1e-15)
+
+
+def walked(counts, cap):
+    """Slices of the sequential cursor: read from it on up to the cap, go on at the last instant read;
+    where that does not move it, the instant is over the cap and the next one follows."""
+    out, cursor = [], 0
+    instants = [i for i, n in enumerate(counts) if n]
+    while instants:
+        rows = [i for i in instants if i >= cursor for _ in range(counts[i])]
+        begin, taken = rows[0], rows[:cap]
+        moved = taken[-1] > begin
+        out.append((begin, taken[-1], len(taken), len(rows) > cap and counts[begin] > cap))
+        if len(rows) <= cap:
+            return out
+        later = [i for i in instants if i > begin]
+        if not moved and not later:
+            return out
+        cursor = taken[-1] if moved else later[0]
+    return out
+
+
+@pytest.mark.parametrize("counts, cap", [
+    ([1] * 50, 7), ([3, 20, 1, 1, 9, 4, 6, 6, 1], 10), ([12], 5), ([5, 5, 5], 5), ([0, 2, 0, 9, 1], 3),
+    ([4, 1, 1, 30, 1, 1, 2, 8, 8, 8, 3, 1, 1], 8), ([1, 2, 3], 100), ([30, 1], 4), ([1, 30], 4),
+])
+def test_cursor_slices_are_the_sequential_loops(spark, counts, cap):
+    got = slices.cursor_slices(seconds(spark, counts), "ts", cap, "minute").collect()
+    got = sorted(
+        ((r["begin_ts"] - DAY).seconds, (r["end_ts"] - DAY).seconds, r["rows"], r["overfull"]) for r in got
+    )
+    assert got == walked(counts, cap)
+
+
+def test_cursor_slices_of_many_instants(spark):
+    rnd = random.Random(8)
+    counts = [rnd.choice([0, 1, 1, 2, 5, 40]) for _ in range(600)]
+    got = slices.cursor_slices(seconds(spark, counts), "ts", 30, "minute").collect()
+    assert sorted(((r["begin_ts"] - DAY).seconds, r["rows"]) for r in got) == [
+        (b, n) for b, _, n, _ in walked(counts, 30)
+    ]
+    assert slices.cursor_slices(seconds(spark, [1]).limit(0), "ts", 30).collect() == []
+
+
 def seconds(spark, counts):
     """``counts[i]`` rows at second i."""
     data = [(i, n) for i, n in enumerate(counts)]
-    df = spark.createDataFrame(data, "i int, n int")
+    df = spark.createDataFrame(data, "i int, n int").where("n > 0")
     ts = F.timestamp_add("SECOND", F.col("i"), F.lit(DAY).cast("timestamp_ntz"))
     return df.select(ts.alias("ts"), F.explode(F.sequence(F.lit(1), F.col("n"))).alias("x"))
 
