@@ -35,12 +35,27 @@ def run_chunks(text: bytes) -> list[bytes]:
     return [c.encode() for c in RUNS.findall(text.decode())]
 
 
+# Last bytes of chunks that end in an ASCII character and not in white space.
+PLAIN_ENDS = frozenset(range(128)) - frozenset(b"\t\n\x0b\x0c\r ")
+
+
 def safe(chunk: bytes) -> bool:
     return not chunk or (chunk != b" " and not ENDS_IN_SPACE.search(chunk[-3:].decode(errors="ignore")))
 
 
+def places_of_none(values: list) -> list[int]:
+    out: list[int] = []
+    at = -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class Memory(dict):
-    """Chunk to packed ids (little-endian, 4 bytes each), filled from ``encode`` in bulk.
+    """Chunk (text or bytes) to packed ids (little-endian, 4 bytes each), filled from ``encode`` in bulk.
 
     When it is full it becomes the old generation, from which chunks that occur again come back.
     """
@@ -49,14 +64,20 @@ class Memory(dict):
         super().__init__()
         self.encode, self.limit, self.old = encode, limit, {}
 
-    def learn(self, lists: list[list[bytes]]) -> None:
-        """Makes sure that all these chunks are known."""
+    def _make_room(self) -> None:
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
+
+    def learn(self, lists: list[list[bytes]]) -> None:
+        """Makes sure that all these chunks are known."""
+        self._make_room()
         missing: set[bytes] = set()
         for chunks in lists:
             missing.update(filterfalse(self.__contains__, chunks))
+        self._add(missing)
+
+    def _add(self, missing: set[bytes]) -> None:
         if missing and self.old:
             known = missing & self.old.keys()
             self.update(zip(known, map(self.old.__getitem__, known), strict=True))
@@ -66,9 +87,17 @@ class Memory(dict):
             self.update(zip(new, self.encode(new), strict=True))
 
     def packed(self, lists: list[list[bytes]]) -> list[bytes]:
-        self.learn(lists)
-        get = self.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in lists]
+        """The ids of each list of chunks; every chunk is looked up once, new ones twice. A chunk
+        that is remembered as None is an error."""
+        self._make_room()
+        found = [list(map(self.get, chunks)) for chunks in lists]
+        gaps = [places_of_none(ids) for ids in found]
+        missing = {chunks[i] for chunks, places in zip(lists, gaps, strict=True) for i in places}
+        self._add({c for c in missing if c not in self})
+        for ids, chunks, places in zip(found, lists, gaps, strict=True):
+            for i in places:
+                ids[i] = self[chunks[i]]
+        return [b"".join(ids) for ids in found]
 
 
 def slices(sizes: Iterable[int], most: int) -> Iterable[tuple[int, int]]:

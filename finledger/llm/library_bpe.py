@@ -14,17 +14,27 @@ import unicodedata
 
 import numpy as np
 
-from finledger.llm.chunks import Memory, ids_array, run_chunks, safe, spaced_chunks
+from finledger.llm.chunks import (
+    PLAIN_ENDS,
+    Memory,
+    ids_array,
+    run_chunks,
+    safe,
+    spaced_chunks,
+)
 
 JOIN = 20_000  # chunks handed over at once
-SEPARATOR = b"\x01"
+SEPARATOR = "\x01"
 # Letters that stay one letter when they are composed and lowered, and marks that are a token of
 # their own behind such a letter (an apostrophe is not, as it may begin a contraction).
 LETTERS = "".join(
     c for c in map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x250)])
     if c.isalpha() and unicodedata.normalize("NFC", c).lower()[-1].isalpha()
 )
-MARKED_WORD = re.compile(f"([{LETTERS}]+)([!\"#$%&()*+,\\-./:;<=>?@\\[\\\\\\]^_`{{|}}~]*)")
+# A line: letters and the marks behind them, or anything else.
+MARKED_WORD = re.compile(
+    f"^([{LETTERS}]+)([!\"#$%&()*+,\\-./:;<=>?@\\[\\\\\\]^_`{{|}}~]*)$|^(.*)$", re.MULTILINE
+)
 
 
 class Library:
@@ -50,19 +60,21 @@ class Library:
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _one(self, chunk: bytes) -> bytes:
-        return np.array(self.ids(chunk.decode()), dtype="<u4").tobytes()
+    def _one(self, chunk: bytes | str) -> bytes:
+        text = chunk if isinstance(chunk, str) else chunk.decode()
+        return np.array(self.ids(text), dtype="<u4").tobytes()
 
     def _spaced(self, chunks: list[bytes]) -> list[bytes | None]:
         """For tokenizers that keep every byte: chunks that begin with a blank are joined."""
         out: list[bytes | None] = [None] * len(chunks)
-        joined = []
-        for i, chunk in enumerate(chunks):
-            if safe(chunk):
-                if chunk[:1] == b" ":
+        plain = [c[:1] == b" " and c[-1] in PLAIN_ENDS for c in chunks]
+        joined = [i for i, ok in enumerate(plain) if ok]
+        for i, ok in enumerate(plain):
+            if not ok and safe(chunks[i]):
+                if chunks[i][:1] == b" ":
                     joined.append(i)
                 else:
-                    out[i] = self._one(chunk)
+                    out[i] = self._one(chunks[i])
         for a in range(0, len(joined), JOIN):
             part = joined[a:a + JOIN]
             ids = np.array(self.ids(b"".join([chunks[i] for i in part]).decode()), dtype="<u4")
@@ -71,9 +83,9 @@ class Library:
             at = np.searchsorted(ends, wanted)
             if not np.array_equal(ends[at], wanted):
                 raise ValueError("a token reaches over a blank: not a tokenizer of this kind")
-            begin = 0
-            for i, end in zip(part, (at + 1).tolist(), strict=True):
-                out[i] = ids[begin:end].tobytes()
+            packed, begin = ids.tobytes(), 0
+            for i, end in zip(part, (4 * (at + 1)).tolist(), strict=True):
+                out[i] = packed[begin:end]
                 begin = end
         return out
 
@@ -81,24 +93,19 @@ class Library:
         """For tokenizers that drop white space and mark the ends of words. A word of letters is
         one word for them, and so are the marks behind it; the parts repeat more than the
         whole."""
-        parts = [MARKED_WORD.fullmatch(c.decode()) for c in chunks]
-        plain = [(b"", b"") if m is None else (m[1].encode(), m[2].encode()) for m in parts]
-        odd = [c for c, m in zip(chunks, parts, strict=True) if m is None]
-        self.letters.learn([[a for a, _ in plain]])
-        self.marks.learn([[b for _, b in plain], odd])
+        parts = MARKED_WORD.findall(b"\n".join(chunks).decode())  # no chunk holds a line break
+        self.letters.learn([[p[0] for p in parts]])
+        self.marks.learn([[p[1] or p[2] for p in parts]])
         letters, marks = self.letters, self.marks
-        return [
-            marks[c] if m is None else letters[p[0]] + marks[p[1]]
-            for c, m, p in zip(chunks, parts, plain, strict=True)
-        ]
+        return [letters[a] + marks[b or odd] for a, b, odd in parts]
 
-    def _letters(self, chunks: list[bytes]) -> list[bytes]:
+    def _letters(self, chunks: list[str]) -> list[bytes]:
         """Words of letters are joined by blanks and cut where a token ends a word."""
         out: list[bytes] = []
         full = [c for c in chunks if c]
         for a in range(0, len(full), JOIN):
             part = full[a:a + JOIN]
-            ids = np.array(self.ids(b" ".join(part).decode()), dtype="<u4")
+            ids = np.array(self.ids(" ".join(part)), dtype="<u4")
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) != len(part) or ends[-1] != len(ids):
                 raise ValueError("a word of letters is not one word for this tokenizer")
@@ -109,10 +116,10 @@ class Library:
         given = iter(out)
         return [next(given) if c else b"" for c in chunks]
 
-    def _separated(self, chunks: list[bytes]) -> list[bytes]:
+    def _separated(self, chunks: list[str]) -> list[bytes]:
         """Anything between white space, joined by a separator word."""
         out: list[bytes] = [b""] * len(chunks)
-        mark = self.ids(SEPARATOR.decode())
+        mark = self.ids(SEPARATOR)
         plain = []
         for i, chunk in enumerate(chunks):
             if not chunk:
@@ -123,14 +130,14 @@ class Library:
                 plain.append(i)
         for a in range(0, len(plain), JOIN):
             part = plain[a:a + JOIN]
-            text = (b" " + SEPARATOR + b" ").join([chunks[i] for i in part]).decode()
+            text = f" {SEPARATOR} ".join([chunks[i] for i in part])
             ids = np.array(self.ids(text), dtype="<u4")
             cuts = np.flatnonzero(ids == mark[0])
             if len(cuts) != len(part) - 1:
                 raise ValueError("the separator is not a word of its own for this tokenizer")
-            begin = 0
+            packed, begin = ids.tobytes(), 0
             for i, end in zip(part, [*cuts.tolist(), len(ids)], strict=True):
-                out[i] = ids[begin:end].tobytes()
+                out[i] = packed[4 * begin:4 * end]
                 begin = end + 1
         return out
 
