@@ -2,8 +2,8 @@
 
 Small trees are grown on statistics of labelled texts. Every path from a root to a node is a rule, a
 conjunction of bounds on statistics. Rules are weighted by a logistic regression with an L1
-penalty, which leaves a few of them, and those are compiled into one Spark column expression: the
-score of a row needs no Python.
+penalty, which leaves a few of them, and those are compiled into one Spark column expression over the
+statistics, which a Python pass over the texts has counted.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finledger.llm.common import stored
-from finledger.llm.textstats import RATIOS, statistics_column, text_statistics
+from finledger.llm.textstats import RATIOS, text_statistics, with_statistics
 
 FEATURES = tuple(RATIOS)
 HELD_OUT = 5  # every fifth document by checksum of its id is kept from the training
@@ -243,10 +243,9 @@ def keep_good(
 ) -> DataFrame:
     """The documents whose score reaches the cutoff, with all their columns: a filter by row."""
     score = train(docs, labels, key, text, settings=settings).column()
-    # the row travels as one column beside its statistics, so no names can clash
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-        statistics_column(F.col(f"`{text}`")).alias("__stats"),
-    ).select("__row", "__stats.*")
-    rows = rows.select("__row", *[F.expr(sql).alias(name) for name, sql in RATIOS.items()])
+    rows = with_statistics(docs, text)
+    # a generator stands between the ratios and the filter: a filter that can be moved below the
+    # projection would have every ratio written out again in every condition of every rule
+    ratios = F.struct(*[F.expr(sql).alias(name) for name, sql in RATIOS.items()])
+    rows = rows.select("__row", F.explode(F.array(ratios)).alias("__ratios")).select("__row", "__ratios.*")
     return rows.where(score >= F.lit(cutoff)).select("__row.*")

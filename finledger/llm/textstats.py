@@ -3,10 +3,11 @@
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finledger.llm.common import batches, texts_of
 
@@ -91,14 +92,24 @@ def text_statistics(
     return rows.mapInArrow(run, ", ".join(kinds))
 
 
-def statistics_column(text: Column) -> Column:
-    """The statistics of a text column as a struct, row by row."""
+def with_statistics(docs: DataFrame, text: str) -> DataFrame:
+    """Every row whole, as the struct ``__row`` (so no names can clash), beside its statistics."""
+    row = T.StructField("__row", T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema]))
+    stats = [T.StructField(n, T.LongType()) for n in NAMES]
+    at = docs.columns.index(text)
 
-    @F.pandas_udf(", ".join(f"{n} long" for n in NAMES))
-    def measure(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([statistics((t or "").encode()) for t in texts], columns=list(NAMES))
-
-    return measure(text)
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            whole = batch.column(0)
+            texts = pc.struct_field(whole, [at]).cast(pa.large_binary()).to_pylist()
+            found = [statistics(t or b"") for t in texts]
+            columns = zip(*found, strict=True) if found else [[]] * len(NAMES)
+            yield pa.RecordBatch.from_arrays(
+                [whole, *[pa.array(c, pa.int64()) for c in columns]], names=["__row", *NAMES]
+            )
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    return rows.mapInArrow(run, T.StructType([row, *stats]))
 
 
 # Shares of the statistics, as SQL over the columns above; empty texts divide by one.
