@@ -15,7 +15,7 @@ exact, with a fixed count of rows per member.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -142,17 +142,49 @@ def linked(variant: np.ndarray, bucket: np.ndarray, fps: np.ndarray) -> tuple[np
     return np.concatenate(a_out or [fps[:0]]), np.concatenate(b_out or [fps[:0]])
 
 
-def _compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in rows:
-        lists = batch.column(1)
-        sizes = np.diff(lists.offsets.to_numpy())
-        fps = lists.flatten().to_numpy().view(np.uint64)
-        bucket = np.repeat(np.arange(batch.num_rows), sizes)
-        variant = np.repeat(batch.column(0).to_numpy() & 63, sizes)
-        a, b = linked(variant, bucket, fps)
+def _compare(hot: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links inside buckets of up to ``hot`` rows, from rows (bucket, fp) sorted by bucket; members of
+    larger ones come back as (fp, null). Of a bucket no more than ``hot`` rows are held."""
+
+    def inside(bucket: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(fps):
+            return
+        new = np.r_[True, bucket[1:] != bucket[:-1]]
+        number = np.cumsum(new) - 1
+        large = (np.bincount(number) > hot)[number]
+        yield from crowded(fps[large])
+        a, b = linked(bucket[~large] & 63, number[~large], fps[~large])
         node, root = forest(a, b)
         yield from batches([{"a": node.view(np.int64), "b": root.view(np.int64)}], LINKS)
 
+    def crowded(fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(fps):
+            yield from batches([{"a": fps.view(np.int64), "b": [None] * len(fps)}], LINKS)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        over = None  # the bucket whose rows are handed on as they come
+        for batch in rows:
+            bucket, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            if over is not None:
+                go_on = int(np.searchsorted(bucket, over, "right"))
+                yield from crowded(fps[:go_on])
+                bucket, fps = bucket[go_on:], fps[go_on:]
+            if not len(fps):
+                continue
+            over = None
+            bucket, fps = (np.concatenate(p) for p in zip(held, (bucket, fps), strict=True))
+            last = int(np.searchsorted(bucket, bucket[-1]))
+            yield from inside(bucket[:last], fps[:last])
+            held = (bucket[last:], fps[last:])
+            if len(held[0]) > hot:
+                over = held[0][0]
+                yield from crowded(held[1])
+                held = (held[0][:0], held[1][:0])
+        yield from inside(*held)
+
+    return run
+
 
 _FLIPS = np.array(
     [0] + [1 << i for i in range(64)] + [1 << i | 1 << j for i in range(64) for j in range(i)],
@@ -168,23 +200,28 @@ def _midpoints(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_fingerprints(distinct: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b) links that connect fingerprints (column fp, no repeats) within four bits."""
-    index = distinct.select(F.explode(variants(F.col("fp"))).alias("bucket"), "fp")
-    crowded = index.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > hot)
-    crowded = stored(crowded.select("bucket"), "simhash-crowded")
-    small = (
-        index.join(crowded, "bucket", "left_anti").groupBy("bucket")
-        .agg(F.sort_array(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
-        .mapInArrow(_compare, "a long, b long")
+    """(a, b) links that connect fingerprints (column fp, no repeats) within four bits.
+
+    Buckets are sorted and streamed through a task, so none is ever gathered.
+    """
+    # few bytes become 64 rows each, so they are dealt out first
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = distinct.repartition(parts, "fp").select(
+        F.explode(variants(F.col("fp"))).alias("bucket"), "fp"
+    )
+    found = stored(
+        index.repartition("bucket").sortWithinPartitions("bucket", "fp")
+        .mapInArrow(_compare(hot), "a long, b long"),
+        "simhash-links",
     )
-    crowd = index.join(crowded, "bucket", "left_semi").select("fp").distinct()
+    crowd = found.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
     points = crowd.mapInArrow(_midpoints, "a long, b long")
     least = points.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("n"))
     joined = (
         points.join(least.where("n > 1"), "a").where("b <> least")
         .select(F.col("b").alias("a"), F.col("least").alias("b"))
     )
-    return small.union(joined)
+    return found.where("b IS NOT NULL").union(joined)
 
 
 def near_duplicates(
@@ -222,4 +259,5 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         found.groupBy(key).agg(F.max(F.col(key) == F.col("component_id")).alias("__first"))
         .where("NOT __first").select(key)
     )
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    gone = gone.select(F.col(key).alias("__gone"))
+    return docs.join(gone, docs[f"`{key}`"] == gone["__gone"], "left_anti")

@@ -102,3 +102,8 @@ def test_components_of_a_long_path_and_odd_links(spark):
     found = {r.node: r.component for r in components(df, "a", "b").collect()}
     assert found == {i: 100 for i in range(100, 161)} | {7: 7, 3: 3, 9: 3}
     assert components(df.limit(0), "a", "b").collect() == []
+
+
+def test_keep_first_keeps_columns_with_dots(spark):
+    df = spark.createDataFrame([(1, "a b c d e", 5), (2, "a b c d e", 6)], "doc_id bigint, text string, `a.b` int")
+    assert [tuple(r) for r in simhash.keep_first(df).collect()] == [(1, "a b c d e", 5)]
