@@ -73,8 +73,25 @@ def names_between(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.
     return mix(prefix[end] - prefix[begin] * up[size] + size.astype(np.uint64))
 
 
+class Weights:
+    """An odd number for each place of a word, as far as they were needed."""
+
+    table = np.zeros(0, dtype=np.uint64)
+
+    @classmethod
+    def to(cls, n: int) -> np.ndarray:
+        if n > len(cls.table):
+            cls.table = mix(np.arange(1, max(n, 1 << 10) + 1, dtype=np.uint64) * LEVELS) | np.uint64(1)
+        return cls.table
+
+
 def name_words(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, name) of the words among these bytes, the last of which is blank."""
+    """(begin, name) of the words among these bytes, the last of which is blank.
+
+    Each place of a word has a weight of its own, and a name is the scrambled sum of bytes times
+    weights. (Powers of a base would not do: modulo 2^64 some long words of two letters then have
+    one name whatever the base.)
+    """
     blank = BLANK[octets]
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     begins = edge if blank[0] else np.concatenate([[0], edge])
@@ -83,9 +100,13 @@ def name_words(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first = 0
     while first < len(begin):  # about a megabyte at a time, or a longer word
         last = max(first + 1, int(np.searchsorted(end, begin[first] + (1 << 20))))
-        at = begin[first]
-        prefix = prefix_names(OCTETS[octets[at:end[last - 1]]])
-        names[first:last] = names_between(prefix, begin[first:last] - at, end[first:last] - at)
+        at, stop = begin[first], end[last - 1]
+        own = begin[first:last] - at
+        place = np.arange(stop - at) - np.repeat(own, np.diff(np.append(own, stop - at)))
+        sums = np.zeros(stop - at + 1, dtype=np.uint64)
+        np.cumsum(OCTETS[octets[at:stop]] * Weights.to(int(place.max()) + 1)[place], out=sums[1:])
+        size = end[first:last] - begin[first:last]
+        names[first:last] = mix(sums[own + size] - sums[own] + size.astype(np.uint64))
         first = last
     return begin, names
 
@@ -488,4 +509,7 @@ def cut_documents(
     joined = docs.withColumns({"__doc": doc, "__sum": F.xxhash64(text)}).join(
         starts.toDF("__doc", "__sum", "__starts"), ["__doc", "__sum"], "left"
     )
-    return joined.withColumn(text, cut(F.col(text), F.col("__starts"))).select(*docs.columns)
+    quoted = {c: F.col(f"`{c}`") for c in docs.columns}
+    return joined.select(*[
+        cut(quoted[c], F.col("__starts")).alias(c) if c == text else quoted[c] for c in docs.columns
+    ])

@@ -130,3 +130,21 @@ def test_cut_documents_keeps_the_rest_of_the_text(spark):
     kept = {r.doc_id: r.kept_sha256 for r in words.collect()}
     assert all(hashlib.sha256(" ".join((t or "").split()).encode()).hexdigest() == kept[k]
                for k, t in texts.items())
+
+
+def test_words_that_powers_of_a_base_confuse(spark):
+    """A Thue-Morse word of two letters and its complement are two words."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{word} {tail}"), (2, f"{other} {tail}"), (3, f"{word} {tail}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in rc.remove_repeats(df).collect()}
+    assert got == {1: 0, 2: 0, 3: 20}
+
+
+def test_cutting_keeps_columns_with_dots(spark):
+    rows = [(1, "x " * 30, 5), (2, "x " * 30, 6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, `a.b` int")
+    assert rc.cut_documents(df).columns == df.columns
+    assert sorted(r["a.b"] for r in rc.cut_documents(df).collect()) == [5, 6]
