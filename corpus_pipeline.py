@@ -14,6 +14,14 @@ from finledger.llm.common import read_table, stored
 from finledger.llm.registry import WORD_TOKENIZER, find_package
 
 
+BATCH_ROWS = 1000  # rows of a batch between Spark and Python: documents are long, ids are not
+
+
+def _ready(spark: SparkSession) -> None:
+    find_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def _measured(docs: DataFrame) -> DataFrame:
     """n_chars as the text is now."""
     return docs.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -21,31 +29,31 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    find_package(spark)
+    _ready(spark)
     return rule_ensemble.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    find_package(spark)
+    _ready(spark)
     return simhash.keep_first(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 20 words and more that stand earlier, too, are cut out of the texts."""
-    find_package(spark)
+    _ready(spark)
     return _measured(recompression.cut_documents(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is masked."""
-    find_package(spark)
+    _ready(spark)
     return _measured(pii.mask_documents(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids, a row per piece of a document."""
-    find_package(spark)
+    _ready(spark)
     return packing.pack_documents(docs, WORD_TOKENIZER)
 
 
