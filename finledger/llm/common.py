@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from finledger.session import in_one_process
+
 # The words of the contracts are runs of anything but these six bytes. ``bytes.split()``
 # without an argument splits at exactly these, so words are cut on UTF-8 bytes.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -22,11 +24,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in tests on
-    one machine, a folder is made and set for the rest of the session.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset and everything runs in one
+    process, as in tests, a folder is made and set for the rest of the session; on a cluster that is
+    an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not in_one_process(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="finledger-llm-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
