@@ -2,10 +2,11 @@
 
 Vectors are dealt to shards of a bounded size; each shard builds its graph in one task, adding
 vectors in batches (the graph on the top layers is a prefix of the vectors, so a layer is an
-array). Blocks of vectors then query every shard. All queries of a block walk in step: each
+array). Then the vectors of every shard query every shard: a task holds the graphs of two shards
+and asks both ways, so a link found from either side counts at both. Queries walk in step: each
 keeps a beam of the best vectors seen, expands its best unexpanded ones, and ends when all in
 the beam are expanded. A query whose beam is full of hits gets a wider one, and an audit against brute force
-on some queries of the block widens all beams until it is passed. Hits are verified in double
+on some queries of the task widens all beams until it is passed. Hits are verified in double
 precision.
 """
 
@@ -24,14 +25,14 @@ from finledger.llm.components import components
 from finledger.llm.simhash import forest
 
 COSINE = 0.9
-SHARD_ROWS = 1 << 16  # vectors of one graph, so a task holds some 20 MB at 64 dimensions
-BLOCK_ROWS = 4096  # vectors that query a shard in one task
+SHARD_ROWS = 1 << 13  # vectors of one graph: a task marks the links of two in 64 MB
 DEGREE = 16  # links of a vector in upper layers, twice as many in the lowest
 BEAM = 64
 RECALL = 0.99  # of the links that the audited queries have
-AUDITED = 64
+AUDITED = 64  # queries with a link that an audit looks for among 16 times as many
 SLACK = 1e-3  # a beam is full of hits while its last is no further than this below the threshold
 _STEP = 4  # vectors that a query expands at once
+_WHOLE = 8  # a widened beam of an eighth of the graph costs more than reading all of it
 _QUERIES = 512  # queries that walk in step; each marks what it has seen in a row of bytes
 
 
@@ -195,14 +196,15 @@ def _descend(unit_, layers, queries, width):
 
 
 def build(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray,
-          degree: int = DEGREE, beam: int = BEAM) -> Graph:
-    """A graph over distinct non-zero vectors. A vector's highest layer comes from its id, so the
-    graph does not depend on the order of rows."""
-    mixed = mix(~ids.astype(np.int64).view(np.uint64))
+          seeds: np.ndarray | None = None, degree: int = DEGREE, beam: int = BEAM) -> Graph:
+    """A graph over distinct non-zero vectors. A vector's highest layer comes from its seed (its
+    id where none is given), so the graph does not depend on the order of rows."""
+    seeds = ids if seeds is None else seeds
+    mixed = mix(~seeds.astype(np.int64).view(np.uint64))
     chance = ((mixed >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53
     most = math.ceil(math.log(len(ids) + 1) / math.log(degree))
     level = np.minimum(np.floor(-np.log(chance) / math.log(degree)), most).astype(np.int64)
-    order = np.lexsort((ids, -level))
+    order = np.lexsort((seeds, -level))
     ids, vectors, copies, level = ids[order], vectors[order], copies[order], level[order]
     unit_ = unit(vectors).astype(np.float32)
     layers: list[np.ndarray] = []  # the lowest so far first
@@ -240,49 +242,85 @@ def build(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray,
 
 
 def hits(graph: Graph, queries: np.ndarray, beam: int, cosine: float) -> list[np.ndarray]:
-    """Positions of the vectors found within the threshold of each query, verified."""
-    size = len(graph.ids)
+    """Positions of the vectors found within the threshold of each query, verified. A beam as wide
+    as the graph, or a widened one that comes near it, reads all of it."""
+    size, first = len(graph.ids), beam
     exact = unit(queries)
     single = exact.astype(np.float32)
     starts = _descend(graph.unit, graph.layers[1:], single, 8)
-    out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(queries)
+    out: list[np.ndarray] = [np.zeros(0, dtype=np.int32)] * len(queries)
     left, whole = np.arange(len(queries)), unit(graph.vectors)
     while len(left):
-        beam = min(beam, size)
-        best, sims = walk(graph.unit, graph.layers[0], single[left], starts[left], beam)
-        full = (best[:, -1] >= 0) & (sims[:, -1] >= cosine - SLACK) & (beam < size)
-        for row in np.flatnonzero(~full):
-            at = best[row][(best[row] >= 0) & (sims[row] >= cosine - SLACK)]
-            near = whole[at] @ exact[left[row]]
-            out[left[row]] = at[near >= cosine]
-        left, beam = left[full], beam * 4
+        wider = []
+        for a in range(0, len(left), _QUERIES):
+            some = left[a:a + _QUERIES]
+            if beam >= size or beam > first and beam * _WHOLE >= size:
+                for row, near in zip(some, exact[some] @ whole.T >= cosine, strict=True):
+                    out[row] = np.flatnonzero(near).astype(np.int32)
+                continue
+            best, sims = walk(graph.unit, graph.layers[0], single[some], starts[some], beam)
+            full = (best[:, -1] >= 0) & (sims[:, -1] >= cosine - SLACK)
+            for row in np.flatnonzero(~full):
+                at = best[row][(best[row] >= 0) & (sims[row] >= cosine - SLACK)]
+                near = whole[at] @ exact[some[row]]
+                out[some[row]] = at[near >= cosine].astype(np.int32)
+            wider.append(some[full])
+        left, beam = np.concatenate([*wider, left[:0]]), beam * 4
     return out
 
 
+def audit(
+    graph: Graph, ids: np.ndarray, queries: np.ndarray, cosine: float, audited: int
+) -> list[tuple[int, np.ndarray]]:
+    """(query, positions of its links) by brute force: queries in an order of chance until
+    ``audited`` of them link with another vector, 16 times as many at most."""
+    whole, exact = unit(graph.vectors), unit(queries)
+    order = np.argsort(mix(np.arange(len(ids), dtype=np.uint64)), kind="stable")[:16 * audited]
+    out = []
+    for a in range(0, len(order), audited or 1):
+        for i, near in zip(order[a:a + audited], exact[order[a:a + audited]] @ whole.T, strict=True):
+            real = np.flatnonzero(near >= cosine)
+            if (graph.ids[real] != ids[i]).any():
+                out.append((int(i), real))
+        if len(out) >= audited:
+            break
+    return out[:audited]
+
+
 def audited_hits(
     graph: Graph, ids: np.ndarray, queries: np.ndarray, cosine: float, beam: int, recall: float,
     audited: int,
 ) -> list[np.ndarray]:
-    """Hits with beams widened until the audit is passed: brute force on ``audited`` queries, half
-    of them such that have hits. A beam as wide as the graph passes by itself."""
-    whole, exact = unit(graph.vectors), unit(queries)
-    order = np.argsort(mix(ids.astype(np.int64).view(np.uint64)), kind="stable")
+    """Hits with beams widened until the audit is passed: ``recall`` is the mean over the audited
+    queries, so a large group does not hide what small ones miss. A beam as wide as the graph
+    passes by itself."""
+    truth = audit(graph, ids, queries, cosine, audited)
     while True:
         found = hits(graph, queries, beam, cosine)
-        if beam >= len(graph.ids):
-            return found
-        some = [i for i in order.tolist() if len(found[i]) > 1][:audited // 2]
-        rest = [i for i in order.tolist() if i not in set(some)][:audited - len(some)]
-        true = got = 0
-        for i in some + rest:
-            real = np.flatnonzero(whole @ exact[i] >= cosine)
-            true += len(real)
-            got += len(np.intersect1d(real, found[i]))
-        if got >= recall * true:
+        shares = [len(np.intersect1d(real, found[i])) / len(real) for i, real in truth]
+        if beam >= len(graph.ids) or not shares or np.mean(shares) >= recall:
             return found
         beam *= 2
 
 
+def marks(found: list[np.ndarray], width: int) -> np.ndarray:
+    """Positions per query as a table of truth values."""
+    out = np.zeros((len(found), width), dtype=bool)
+    for row, at in enumerate(found):
+        out[row, at] = True
+    return out
+
+
+def tied(a: Graph, b: Graph, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Few links (node, node) that connect what the marked pairs connect."""
+    left, right = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    for at in range(0, len(found), _QUERIES):
+        x, y = np.nonzero(found[at:at + _QUERIES])
+        left, right = forest(np.concatenate([left, a.ids[at + x]]),
+                             np.concatenate([right, b.ids[y]]))
+    return left, right
+
+
 RESULT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
 
@@ -294,8 +332,7 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 def near_vectors(
     embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
-    shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, beam: int = BEAM,
-    recall: float = RECALL, audited: int = AUDITED,
+    shard_rows: int = SHARD_ROWS, beam: int = BEAM, recall: float = RECALL, audited: int = AUDITED,
 ) -> DataFrame:
     """Links of cosine ``cosine`` or more, per vector.
 
@@ -303,30 +340,35 @@ def near_vectors(
     reachable over links, itself included), kept (key = component_id). Vectors that are null, empty,
     zero, or hold null or non-finite components link with nothing, nor do rows with a null key
     (component_id null, kept true); vectors of different lengths never link; equal vectors link and
-    are indexed once; rows equal in key and vector are one vector, each row with its result; an
-    empty table gives no rows. Other columns are not read.
+    are indexed once; rows equal in key and vector are one vector, each row with its result; rows of
+    one key with different vectors are different vectors, each with its own links, that link with
+    one another only by cosine; an empty table gives no rows. Other columns are not read.
+
+    Every shard meets every shard, so a graph is copied once per shard: the rows moved grow with the
+    square of the table, divided by ``shard_rows``.
     """
     rows = embeddings.select(F.col(key).cast("bigint").alias("key"), F.col(vector).alias("vector"))
     bad = "vector IS NULL OR key IS NULL OR exists(vector, x -> x IS NULL OR isnan(x) " \
         "OR abs(CAST(x AS DOUBLE)) = CAST('Infinity' AS DOUBLE)) OR NOT exists(vector, x -> x <> 0)"
     fit = rows.where(f"NOT ({bad})")
+    # numbered before they are written, so a number stays with its vector
     classes = stored(
         fit.groupBy("key", "vector").agg(F.lit(1).alias("one"))
-        .groupBy("vector").agg(F.min("key").alias("rep"), F.count("key").alias("copies")),
+        .groupBy("vector").agg(F.min("key").alias("rep"), F.count("key").alias("copies"))
+        .withColumns({"node": F.monotonically_increasing_id(), "seed": F.xxhash64("rep", "vector")}),
         "vector-classes",
     )
-    total = classes.count()
-    shards, blocks = max(1, -(-total // shard_rows)), max(1, -(-total // block_rows))
+    shards = max(1, -(-classes.count() // shard_rows))
     dealt = classes.select(
-        "rep", "copies", "vector", F.size("vector").alias("dim"),
-        F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int").alias("shard"),
-        F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
+        "node", "seed", "copies", "vector", F.size("vector").alias("dim"),
+        F.pmod("seed", F.lit(shards)).cast("int").alias("shard"),
     )
 
     def construct(key_: tuple, table: pa.Table) -> pa.Table:
         dim = key_[0].as_py()
         graph = build(
-            table["rep"].to_numpy(), _matrix(table["vector"], dim), table["copies"].to_numpy()
+            table["node"].to_numpy(), _matrix(table["vector"], dim), table["copies"].to_numpy(),
+            table["seed"].to_numpy(),
         )
         return pa.table({"dim": [dim], "shard": [key_[1].as_py()], "graph": [graph.packed()]},
                         schema=pa.schema([("dim", pa.int32()), ("shard", pa.int32()),
@@ -337,42 +379,54 @@ def near_vectors(
         "vector-graphs",
     )
 
-    def search(key_: tuple, table: pa.Table, at: pa.Table) -> pa.Table:
-        if not table.num_rows or not at.num_rows:
+    def search(key_: tuple, table: pa.Table) -> pa.Table:
+        """The links between two shards, or within one."""
+        one, other = key_[1].as_py(), key_[2].as_py()
+        if table.num_rows < 1 + (one != other):
             return RESULT.empty_table()
-        graph = Graph.unpacked(at["graph"][0].as_py())
-        ids, dim = table["rep"].to_numpy(), key_[0].as_py()
-        found = audited_hits(
-            graph, ids, _matrix(table["vector"], dim), cosine, beam, recall, audited
-        )
-        sizes = np.array([len(f) for f in found])
-        mine, near = np.repeat(ids, sizes), np.concatenate(found)
-        other = graph.ids[near] != mine
-        links = np.zeros(len(ids), dtype=np.int64)
-        np.add.at(links, np.repeat(np.arange(len(ids)), sizes)[other], graph.copies[near[other]])
-        a, b = forest(mine[other], graph.ids[near[other]])
-        none = [None] * len(ids)
+        packed = dict(zip(table["shard"].to_pylist(), table["graph"].to_pylist(), strict=True))
+        a, b = Graph.unpacked(packed[one]), Graph.unpacked(packed[other])
+        found = marks(audited_hits(b, a.ids, a.vectors, cosine, beam, recall, audited), len(b.ids))
+        if one == other:
+            found |= found.T.copy()
+            np.fill_diagonal(found, False)
+        else:
+            back = audited_hits(a, b.ids, b.vectors, cosine, beam, recall, audited)
+            for row, at in enumerate(back):
+                found[at, row] = True
+        links = [(a, np.concatenate([found[i:i + _QUERIES] @ b.copies
+                                     for i in range(0, len(found), _QUERIES)]))]
+        if one != other:
+            links.append((b, np.concatenate([a.copies @ found[:, i:i + _QUERIES]
+                                             for i in range(0, len(b.ids), _QUERIES)])))
+        x, y = tied(a, b, found)
+        counts = [(g.ids[n > 0], n[n > 0]) for g, n in links]
+        nodes = np.concatenate([ids for ids, _ in counts])
         return pa.table({
-            "a": np.concatenate([ids, a]), "b": pa.array([*none, *b.tolist()], pa.int64()),
-            "links": np.concatenate([links, np.zeros(len(a), np.int64)]),
+            "a": np.concatenate([nodes, x]),
+            "b": pa.array([*[None] * len(nodes), *y.tolist()], pa.int64()),
+            "links": np.concatenate([*[n for _, n in counts], np.zeros(len(x), np.int64)]),
         }, schema=RESULT)
 
-    # every block meets every shard: the queries are all vectors, in blocks
-    asking = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    asked = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = graphs.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select(
+        "dim", "shard", "graph", F.least("shard", "with").alias("one"),
+        F.greatest("shard", "with").alias("other"),
+    )
     found = stored(
-        asking.groupBy("dim", "block", "shard")
-        .cogroup(asked.groupBy("dim", "block", "shard"))
-        .applyInArrow(search, "a long, b long, links long"),
+        pairs.groupBy("dim", "one", "other").applyInArrow(search, "a long, b long, links long"),
         "vector-links",
     )
     links = found.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
-    hung = components(found.where("b IS NOT NULL"), "a", "b")
+    hung = stored(
+        components(found.where("b IS NOT NULL"), "a", "b")
+        .join(classes.select("node", "rep"), "node"), "vector-components",
+    )
+    least = hung.groupBy("component").agg(F.min("rep").alias("component_id"))
     known = (
-        classes.join(links, classes["rep"] == links["a"], "left")
-        .join(hung, classes["rep"] == hung["node"], "left")
+        classes.join(links, classes["node"] == links["a"], "left")
+        .join(hung.select("node", "component"), "node", "left").join(least, "component", "left")
         .select("vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("component", "rep").alias("component_id"))
+                F.coalesce("component_id", "rep").alias("component_id"))
     )
     linked = fit.join(known, "vector").select("key", "n_links", "component_id")
     alone = rows.where(bad).select(

@@ -60,7 +60,7 @@ def test_table_against_all_pairs(spark, shard_rows):
     df = spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<float>").selectExpr(
         "*", "1 AS rep", "2 AS block", "3 AS links", "4 AS vector", "5 AS key"
     )
-    got = hnsw.near_vectors(df.repartition(3), shard_rows=shard_rows, block_rows=100).collect()
+    got = hnsw.near_vectors(df.repartition(3), shard_rows=shard_rows).collect()
     assert len(got) == len(rows) + len(odd)
     ids = [r[0] for r in rows[:402]]
     vectors = np.array([r[1] for r in rows[:402]], dtype=np.float32)
@@ -74,6 +74,65 @@ def test_table_against_all_pairs(spark, shard_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_one_key_with_several_vectors(spark):
+    rows = [(3, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [1.0, 0.01]), (4, [1.0, 0.01]), (2, [0.02, 1.0]), (9, [1.0, 0.01])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in hnsw.near_vectors(df).collect())
+    # 3 twice: once beside 4 and 9, once beside 2
+    assert got == [(2, 1, 2), (3, 1, 2), (3, 2, 3), (4, 2, 3), (4, 2, 3), (9, 2, 3)]
+
+
+def test_a_crowded_key_keeps_its_vectors_apart(spark):
+    x = clustered(8, 300)
+    df = spark.createDataFrame(
+        [(7 if i % 3 else i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = hnsw.near_vectors(df, shard_rows=64).collect()
+    want = sorted((7 if i % 3 else i, int(n) - 1) for i, n in enumerate(near(x).sum(axis=1)))
+    assert sorted((r.vec_id, r.n_links) for r in got) == want
+
+
+def test_links_count_at_both_sides(spark):
+    """Without an audit and with the narrowest beam links are missed, but none at one side only."""
+    x = clustered(9, 600)
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: r for r in hnsw.near_vectors(df, shard_rows=150, beam=2, audited=0).collect()}
+    assert sum(r.n_links for r in got.values()) % 2 == 0
+    alone = {k for k, r in got.items() if r.n_links == 0}
+    sizes = {}
+    for r in got.values():
+        sizes[r.component_id] = sizes.get(r.component_id, 0) + 1
+    assert all((sizes[r.component_id] == 1) == (k in alone) for k, r in got.items())
+
+
+def test_an_audit_weighs_queries_not_links():
+    rng = np.random.default_rng(4)
+    crowd = rng.normal(size=(1, 24)) + rng.normal(size=(900, 24)) * 0.02
+    twins = rng.normal(size=(300, 24))
+    x = np.concatenate([crowd, twins, twins + rng.normal(size=twins.shape) * 0.02])
+    graph = hnsw.build(np.arange(len(x)), x, np.ones(len(x), dtype=np.int64))
+    truth = hnsw.audit(graph, np.arange(len(x)), x, 0.9, 64)
+    assert len(truth) == 64 and len({len(real) for _, real in truth}) > 1
+    assert all(set(np.flatnonzero(near(x)[i])) == set(graph.ids[real]) for i, real in truth[:8])
+    found = hnsw.audited_hits(graph, np.arange(len(x)), x, 0.9, 4, 0.99, 64)
+    assert np.mean([len(f) == 2 for f in found[900:]]) >= 0.95
+
+
+def test_planted_links_in_the_given_table(spark):
+    path = "/root/testdata/sf0.001/embeddings.parquet"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(path).collect() if r.embedding]
+    rng = np.random.default_rng(6)
+    near_ones = [(10**6 + k, [float(v) for v in np.array(x) + rng.normal(size=len(x)) * 0.02 * np.std(x)])
+                 for k, x in rows[::3]]
+    df = spark.createDataFrame(rows + near_ones, "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_vectors(df, shard_rows=100).collect()}
+    ids = [k for k, _ in rows + near_ones]
+    adjacent = near(np.array([x for _, x in rows + near_ones], dtype=np.float32))
+    true = adjacent.sum() - len(ids)
+    assert true >= 2 * len(near_ones) > 0
+    assert sum(n for n, _ in got.values()) >= 0.99 * true
+    assert sum(got[k][1] == c for k, c in zip(ids, labels(adjacent, ids), strict=True)) >= 0.99 * len(ids)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert hnsw.near_vectors(df).collect() == []
