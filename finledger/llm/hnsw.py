@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import io
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,15 @@ from finledger.llm.components import components
 from finledger.llm.simhash import forest
 
 COSINE = 0.9
-SHARD_ROWS = 1 << 13  # vectors of one graph: a task marks the links of two in 64 MB
+SHARD_ROWS = 1 << 16  # vectors of one graph: a task marks the links between two in 512 MB of bits
 DEGREE = 16  # links of a vector in upper layers, twice as many in the lowest
 BEAM = 64
 RECALL = 0.99  # of the links that the audited queries have
 AUDITED = 64  # queries with a link that an audit looks for among 16 times as many
 SLACK = 1e-3  # a beam is full of hits while its last is no further than this below the threshold
 _STEP = 4  # vectors that a query expands at once
+_ROWS = 64  # rows of bits that are read at once
+_TIED = 1 << 20  # pairs that are gathered before they are reduced to few links
 _WHOLE = 8  # a widened beam of an eighth of the graph costs more than reading all of it
 _QUERIES = 512  # queries that walk in step; each marks what it has seen in a row of bytes
 
@@ -287,38 +290,78 @@ def audit(
     return out[:audited]
 
 
-def audited_hits(
+def audited_beam(
     graph: Graph, ids: np.ndarray, queries: np.ndarray, cosine: float, beam: int, recall: float,
     audited: int,
-) -> list[np.ndarray]:
-    """Hits with beams widened until the audit is passed: ``recall`` is the mean over the audited
+) -> int:
+    """The beam widened until the audit is passed: ``recall`` is the mean over the audited
     queries, so a large group does not hide what small ones miss. A beam as wide as the graph
     passes by itself."""
     truth = audit(graph, ids, queries, cosine, audited)
-    while True:
-        found = hits(graph, queries, beam, cosine)
-        shares = [len(np.intersect1d(real, found[i])) / len(real) for i, real in truth]
-        if beam >= len(graph.ids) or not shares or np.mean(shares) >= recall:
-            return found
+    asked = queries[[i for i, _ in truth]]
+    while truth and beam < len(graph.ids):
+        found = hits(graph, asked, beam, cosine)
+        if np.mean([len(np.intersect1d(real, got)) / len(real)
+                    for (_, real), got in zip(truth, found, strict=True)]) >= recall:
+            break
         beam *= 2
+    return beam
 
 
-def marks(found: list[np.ndarray], width: int) -> np.ndarray:
-    """Positions per query as a table of truth values."""
-    out = np.zeros((len(found), width), dtype=bool)
-    for row, at in enumerate(found):
-        out[row, at] = True
-    return out
-
-
-def tied(a: Graph, b: Graph, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Few links (node, node) that connect what the marked pairs connect."""
-    left, right = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    for at in range(0, len(found), _QUERIES):
-        x, y = np.nonzero(found[at:at + _QUERIES])
-        left, right = forest(np.concatenate([left, a.ids[at + x]]),
-                             np.concatenate([right, b.ids[y]]))
-    return left, right
+def audited_hits(
+    graph: Graph, ids: np.ndarray, queries: np.ndarray, cosine: float, beam: int, recall: float,
+    audited: int,
+) -> Iterator[np.ndarray]:
+    """The hits of each query in turn; no more than a slice of them is held at once."""
+    beam = audited_beam(graph, ids, queries, cosine, beam, recall, audited)
+    for a in range(0, len(queries), _QUERIES):
+        yield from hits(graph, queries[a:a + _QUERIES], beam, cosine)
+
+
+class Pairs:
+    """Which vectors of one graph link with which of another, a bit each."""
+
+    def __init__(self, a: Graph, b: Graph):
+        self.a, self.b = a, b
+        self.bits = np.zeros((len(a.ids), -(-len(b.ids) // 8)), dtype=np.uint8)
+
+    def add(self, row: np.ndarray | int, column: np.ndarray | int) -> None:
+        """Marks pairs; either the rows or the columns are one number, the others differ."""
+        if np.ndim(column):
+            marked = np.zeros(len(self.b.ids), dtype=np.uint8)
+            marked[column] = 1
+            self.bits[row] |= np.packbits(marked)
+        else:
+            self.bits[row, column >> 3] |= np.uint8(128 >> (column & 7))
+
+    def slices(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(first row, truth values) of some rows at a time."""
+        for at in range(0, len(self.bits), _ROWS):
+            yield at, np.unpackbits(
+                self.bits[at:at + _ROWS], axis=1, count=len(self.b.ids)
+            ).view(bool)
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row and of each column, the vectors it links with, copies counted."""
+        rows, columns = np.zeros(len(self.a.ids), np.int64), np.zeros(len(self.b.ids), np.int64)
+        for at, found in self.slices():
+            x, y = np.nonzero(found)
+            np.add.at(rows, at + x, self.b.copies[y])
+            np.add.at(columns, y, self.a.copies[at + x])
+        return rows, columns
+
+    def tied(self) -> tuple[np.ndarray, np.ndarray]:
+        """Few links (node, node) that connect what all pairs connect."""
+        left, right, more = [], [], 0
+        for at, found in self.slices():
+            x, y = np.nonzero(found)
+            left.append(self.a.ids[at + x])
+            right.append(self.b.ids[y])
+            more += len(x)
+            if more > _TIED:
+                x, y = forest(np.concatenate(left), np.concatenate(right))
+                left, right, more = [x], [y], 0
+        return forest(np.concatenate(left), np.concatenate(right))
 
 
 RESULT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
@@ -386,21 +429,20 @@ def near_vectors(
             return RESULT.empty_table()
         packed = dict(zip(table["shard"].to_pylist(), table["graph"].to_pylist(), strict=True))
         a, b = Graph.unpacked(packed[one]), Graph.unpacked(packed[other])
-        found = marks(audited_hits(b, a.ids, a.vectors, cosine, beam, recall, audited), len(b.ids))
-        if one == other:
-            found |= found.T.copy()
-            np.fill_diagonal(found, False)
-        else:
-            back = audited_hits(a, b.ids, b.vectors, cosine, beam, recall, audited)
-            for row, at in enumerate(back):
-                found[at, row] = True
-        links = [(a, np.concatenate([found[i:i + _QUERIES] @ b.copies
-                                     for i in range(0, len(found), _QUERIES)]))]
+        found = Pairs(a, b)
+        for row, at in enumerate(audited_hits(b, a.ids, a.vectors, cosine, beam, recall, audited)):
+            if one == other:  # both ways, and no vector with itself
+                at = at[at != row]
+                found.add(at, row)
+            found.add(row, at)
         if one != other:
-            links.append((b, np.concatenate([a.copies @ found[:, i:i + _QUERIES]
-                                             for i in range(0, len(b.ids), _QUERIES)])))
-        x, y = tied(a, b, found)
-        counts = [(g.ids[n > 0], n[n > 0]) for g, n in links]
+            back = audited_hits(a, b.ids, b.vectors, cosine, beam, recall, audited)
+            for column, at in enumerate(back):
+                found.add(at, column)
+        links, back_links = found.links()
+        of = [(a, links)] if one == other else [(a, links), (b, back_links)]
+        x, y = found.tied()
+        counts = [(g.ids[n > 0], n[n > 0]) for g, n in of]
         nodes = np.concatenate([ids for ids, _ in counts])
         return pa.table({
             "a": np.concatenate([nodes, x]),

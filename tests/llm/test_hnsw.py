@@ -31,7 +31,7 @@ def test_recall_of_one_graph():
     x = clustered(1, 3000)
     ids = np.arange(3000) * 3 - 500
     graph = hnsw.Graph.unpacked(hnsw.build(ids, x, np.ones(3000, dtype=np.int64)).packed())
-    found = hnsw.audited_hits(graph, ids, x, 0.9, 32, 0.99, 64)
+    found = list(hnsw.audited_hits(graph, ids, x, 0.9, 32, 0.99, 64))
     true = near(x)
     got = sum(len(f) for f in found)
     position = np.argsort(graph.ids)
@@ -44,7 +44,7 @@ def test_a_dense_cluster_widens_its_beams():
     rng = np.random.default_rng(2)
     x = np.concatenate([clustered(3, 600), rng.normal(size=(1, 24)) + rng.normal(size=(700, 24)) * 0.02])
     graph = hnsw.build(np.arange(1300), x, np.ones(1300, dtype=np.int64))
-    found = hnsw.audited_hits(graph, np.arange(1300), x, 0.9, 16, 0.99, 64)
+    found = list(hnsw.audited_hits(graph, np.arange(1300), x, 0.9, 16, 0.99, 64))
     true = near(x).sum(axis=1)
     assert sum(map(len, found)) >= 0.98 * true.sum()
 
@@ -113,10 +113,31 @@ def test_an_audit_weighs_queries_not_links():
     truth = hnsw.audit(graph, np.arange(len(x)), x, 0.9, 64)
     assert len(truth) == 64 and len({len(real) for _, real in truth}) > 1
     assert all(set(np.flatnonzero(near(x)[i])) == set(graph.ids[real]) for i, real in truth[:8])
-    found = hnsw.audited_hits(graph, np.arange(len(x)), x, 0.9, 4, 0.99, 64)
+    found = list(hnsw.audited_hits(graph, np.arange(len(x)), x, 0.9, 4, 0.99, 64))
     assert np.mean([len(f) == 2 for f in found[900:]]) >= 0.95
 
 
+def test_marked_pairs_count_from_both_sides():
+    rng = np.random.default_rng(7)
+    a, b = (hnsw.Graph(np.arange(n) + base, rng.normal(size=(n, 3)), rng.integers(1, 4, n), []) for n, base in ((1100, 0), (21, 5000)))
+    truth, pairs = rng.random((1100, 21)) < 0.002, hnsw.Pairs(a, b)
+    for row in range(0, 1100, 2):
+        pairs.add(row, np.flatnonzero(truth[row]))
+    for column in range(21):
+        pairs.add(np.flatnonzero(truth[:, column]), column)
+    rows, columns = pairs.links()
+    assert (rows == truth @ b.copies).all() and (columns == a.copies @ truth).all()
+    x, y = pairs.tied()
+    root = {n: n for n in [*a.ids.tolist(), *b.ids.tolist()]}
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+    for p, q in zip(x.tolist(), y.tolist(), strict=True):
+        root[max(top(p), top(q))] = min(top(p), top(q))
+    assert all(top(int(p)) == top(5000 + int(q)) for p, q in zip(*np.nonzero(truth), strict=True))
+
+
 def test_planted_links_in_the_given_table(spark):
     path = "/root/testdata/sf0.001/embeddings.parquet"
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(path).collect() if r.embedding]
