@@ -25,6 +25,11 @@ TABLE_DDL: dict[str, str] = {
         last_end_date_used TIMESTAMP_NTZ, last_status STRING, last_error STRING,
         updated_at TIMESTAMP_NTZ
     """,
+    "audit_totals": """
+        table_name STRING, rule STRING, columns STRING, violations BIGINT, audited BIGINT,
+        counted BIGINT
+    """,
+    "audit_values": "rule STRING, value STRING, n BIGINT",
     "mp_payment_items": """
         item_row_id BIGINT, payment_id BIGINT, item_id STRING, category_id STRING,
         title STRING, description STRING, quantity DECIMAL(18,4), unit_price DECIMAL(18,2),
@@ -200,6 +205,11 @@ SPECS: dict[str, TableSpec] = {
     )
 }
 
+# What an audit kept by commits stores beside the tables: violations per rule, and how many rows hold each
+# value of a unique key that the table is not divided by.
+AUDIT_TOTALS = TableSpec("audit_totals", ("table_name", "rule", "columns"), buckets=1)
+AUDIT_VALUES = TableSpec("audit_values", ("rule", "value"))
+
 
 def scaled_specs(buckets: int, specs: dict[str, TableSpec] = SPECS) -> dict[str, TableSpec]:
     """The same tables with another number of buckets: about one gigabyte per bucket is

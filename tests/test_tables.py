@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from conftest import rows
@@ -8,18 +9,22 @@ from pyspark.sql import functions as F
 from finledger.operators import audit
 from finledger.plans import bank, payments
 from finledger.schemas import CONTROL_SEED, SPECS, scaled_specs, table_schema
+from finledger.sources.audits import update_audit
 from finledger.sources.landing import PAGE_SCHEMA
 from finledger.sources.commits import Conflict, commit, read_log, snapshot, transact
 from finledger.sources.conform import conform
 from finledger.sources.tables import (
     BUCKET,
     bucket_of,
+    compact_table,
     export_tables,
     prepare,
     prepare_upsert,
     read_table,
+    reset_table,
     touched,
     upsert_table,
+    vacuum_table,
     write_table,
 )
 
@@ -315,3 +320,51 @@ def test_compaction_keeps_state_children_and_ids(spark, now, tmp_path):
 
 def test_seven_control_rows():
     assert len(CONTROL_SEED) == 7 and len({p for p, _ in CONTROL_SEED}) == 7
+
+
+def test_an_audit_follows_commits(spark, tmp_path):
+    root, names = str(tmp_path), ("ib_transfers", "ib_vouchers")
+    specs = {n: scaled_specs(3)[n] for n in names}
+
+    def put(name, *given):
+        columns = "transfer_id bigint" + (", transaction_number string" if name == names[0] else "")
+        write_table(spark.createDataFrame(list(given), columns), f"{root}/{name}", specs[name], "b")
+
+    def same(expect_counted):
+        kept = update_audit(spark, root, specs).collect()
+        stored = {n: read_table(spark, f"{root}/{n}", specs[n]) for n in names}
+        whole = {tuple(r) for r in audit.audit_constraints(stored, specs).collect()}
+        assert {tuple(r)[:4] for r in kept} == whole
+        assert {r["counted"] < r["audited"] for r in kept} == {not expect_counted}
+        return {(r[0], r[1], r[2]): r[3] for r in kept}
+
+    number, parent = (names[0], "unique", "transaction_number"), (names[1], "foreign_key", "transfer_id")
+    assert same(True)[number] == 0  # no table has been written yet
+    put(names[0], (1, "a"), (2, "a"), (3, None), (4, None))
+    put(names[1], (1,), (1,), (7,), (8,))
+    first = same(False)
+    assert first[number] == 1 and first[parent] == 2 and first[(names[1], "unique", "transfer_id")] == 1
+    put(names[0], (2, "b"), (7, "b"), (4, "a"))  # one clash goes, two come, a parent arrives
+    then = same(False)
+    assert then[number] == 2 and then[parent] == 1
+    seen = snapshot(spark, root)
+    same(False)
+    assert snapshot(spark, root) == seen  # nothing new, nothing written
+    compact_table(spark, f"{root}/{names[0]}", specs[names[0]])
+    vacuum_table(spark, f"{root}/{names[0]}")
+    put(names[0], (2, "a"), (8, "c"))
+    last = same(False)  # a compaction changes nothing
+    assert last[number] == 2 and last[parent] == 0
+    put(names[0], (9, "c"))
+    compact_table(spark, f"{root}/{names[0]}", specs[names[0]])
+    vacuum_table(spark, f"{root}/{names[0]}")
+    assert same(True)[number] == 3  # the batch was vacuumed before it was audited
+    reset_table(spark, f"{root}/{names[0]}", specs[names[0]], "reset")
+    assert same(True)[parent] == 4
+
+
+def test_an_audit_needs_parents_stored_by_what_children_name(spark, tmp_path):
+    specs = dict(scaled_specs(3))
+    specs["ib_vouchers"] = replace(specs["ib_vouchers"], parent=("transfer_id", "ib_accounts", "bank_number"))
+    with pytest.raises(ValueError, match="not stored by"):
+        update_audit(spark, str(tmp_path), specs)
