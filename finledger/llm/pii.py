@@ -5,17 +5,15 @@ The patterns give spans of four kinds. The field is trained on a small labelled
 kinds from their shapes and their neighbours', and adds what reads as a kind without matching its
 pattern: at signs and dots in brackets, parts set apart, phones without a plus, dotted
 cards, long addresses, and secrets (keys and tokens behind a word that announces them). What it
-tags is added only if it can be of that kind: a card passes Luhn, an address has its parts. Its
-chains are the stretches around words with a digit, an at sign or a plus: words of the kinds have
-one of these, and a word farther than ``CONTEXT`` words from any such word has no feature that
-sees it.
+tags is added only if it can be of that kind: a card passes Luhn, an address has its parts. It
+decodes every word of a text, as one chain.
 """
 
 import hashlib
 import io
 import ipaddress
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -173,23 +171,11 @@ class Chain:
 
 
 def chains(text: str) -> Iterator[Chain]:
-    """The stretches of words around marked ones; between two there are more than 2 * CONTEXT
-    words without a mark."""
-    marks = [m.start() for m in MARKED.finditer(text)]
-    if not marks:
-        return
+    """The words of the whole text as one chain: the field decodes every position, marked or not,
+    since its transitions carry a tag past the words that hold a digit, an at sign or a plus."""
     spans = [m.span() for m in WORD.finditer(text)]
-    begins = [b for b, _ in spans]
-    hit = sorted({bisect_right(begins, m) - 1 for m in marks})
-    first = last = None
-    for i in [*hit, None]:
-        if first is not None and (i is None or i - last > 2 * CONTEXT):
-            part = spans[max(0, first - CONTEXT):last + CONTEXT + 1]
-            yield Chain([text[a:b] for a, b in part], part)
-            first = None
-        if first is None:
-            first = i
-        last = i
+    if spans:
+        yield Chain([text[a:b] for a, b in spans], spans)
 
 
 @dataclass(frozen=True)

@@ -223,3 +223,11 @@ def test_documents_and_masks(spark, field):
 
 def test_overlapping_spans_become_one():
     assert pii.masked("abcdefgh", [(1, 4, "ip"), (2, 6, "card"), (6, 7, "phone")]) == "a[IP][PHONE]h"
+
+
+def test_chains_hold_every_word_marked_or_not():
+    text = "stone river house green " * 5 + "pay to a@b.co " + "far away words " * 10 + "call +1 555 0100"
+    words = [m.span() for m in pii.WORD.finditer(text)]
+    assert [s for c in pii.chains(text) for s in c.spans] == words
+    assert [c.words for c in pii.chains("password hunter two")] == [["password", "hunter", "two"]]
+    assert list(pii.chains(" \t \n ")) == []
