@@ -6,7 +6,8 @@ kinds from their shapes and their neighbours', and adds what reads as a kind wit
 pattern: at signs and dots in brackets, parts set apart, phones without a plus, dotted
 cards, long addresses, and secrets (keys and tokens behind a word that announces them). What it
 tags is added only if it can be of that kind: a card passes Luhn, an address has its parts. It
-decodes every word of a text, as one chain.
+decodes every word of a text, as one chain: what a word alone says is kept per distinct word, what
+its neighbours say is added in arrays, and the chain falls apart at words where no other tag can win.
 """
 
 import hashlib
@@ -16,6 +17,8 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain as joined
 
 import numpy as np
 import pandas as pd
@@ -140,27 +143,39 @@ def signs_of(word: str) -> str:
     return " ".join(sign[1:-1] for sign in BRACKETED.findall(word.lower())[:3])
 
 
+def own_features(word: str) -> tuple[list[str], list[str], int]:
+    """Of ``word_features`` those that no neighbour changes: the first ones, the later ones, and its
+    length in eights."""
+    core = word.strip(EDGES)
+    own, digits, _ = parts_of(word)
+    turns = sum(1 for _ in TURN.finditer(core))
+    length = min(len(core) // 8, 6)
+    return [
+        "bias", f"shape={shape(core)}", f"coarse={own}", f"digits={digits}",
+        f"at={core.count('@')}", f"dots={min(core.count('.'), 5)}", f"plus={word[:1] == '+'}",
+        f"paren={word[:1] == '('}{word[-1:] == ')'}",
+    ], [
+        f"signs={signs_of(word)}", f"colons={min(core.count(':'), 8)}", f"long={length}",
+        f"turns={min(turns // 3, 6)}{HEX.fullmatch(core) is not None}",
+    ], length
+
+
 def word_features(words: list[str], at: int) -> list[str]:
     """What the field sees of a word: its own shapes and parts, its neighbours' shapes, and the
     two words before it."""
     word = words[at]
-    core = word.strip(EDGES)
     own, digits, _ = parts_of(word)
     before, digits_before, said = parts_of(words[at - 1]) if at else ("^", "^", "^")
     said_first = parts_of(words[at - 2])[2] if at > 1 else "^"
     after, digits_after, _ = parts_of(words[at + 1]) if at + 1 < len(words) else ("$", "$", "$")
-    turns = sum(1 for _ in TURN.finditer(core))
+    head, (signs, colons, long, turns), length = own_features(word)
     return [
-        "bias", f"shape={shape(core)}", f"coarse={own}", f"digits={digits}",
-        f"at={core.count('@')}", f"dots={min(core.count('.'), 5)}", f"plus={word[:1] == '+'}",
-        f"paren={word[:1] == '('}{word[-1:] == ')'}", f"before={before}", f"after={after}",
+        *head, f"before={before}", f"after={after}",
         f"before+own={before} {own}", f"own+after={own} {after}",
         f"counts={digits_before} {digits} {digits_after}", f"said={said}", f"said first={said_first}",
-        f"signs={signs_of(word)}", f"colons={min(core.count(':'), 8)}",
-        f"signs before={signs_of(words[at - 1]) if at else ''}",
+        signs, colons, f"signs before={signs_of(words[at - 1]) if at else ''}",
         f"signs after={signs_of(words[at + 1]) if at + 1 < len(words) else ''}",
-        f"long={min(len(core) // 8, 6)}", f"turns={min(turns // 3, 6)}{HEX.fullmatch(core) is not None}",
-        f"long after={min(len(core) // 8, 6)} {said} {said_first}",
+        long, turns, f"long after={length} {said} {said_first}",
     ]
 
 
@@ -185,35 +200,250 @@ class Field:
     transition: np.ndarray  # (tags, tags)
     caution: float  # what a path must gain over no tag, for each word
 
+    @cached_property
+    def lexicon(self) -> "Lexicon":
+        return Lexicon(self.names, self.emission)
+
     def tags(self, sequences: list[list[str]]) -> list[np.ndarray]:
-        """The best tags of each sequence of words: Viterbi over a batch at once."""
+        """The best tags of each sequence of words (which hold no blanks)."""
         if not sequences:
             return []
-        sizes = np.array([len(s) for s in sequences])
-        longest, k = int(sizes.max()), len(TAGS)
-        scores = np.zeros((len(sequences), longest, k))
-        unknown = len(self.names)
-        for i, words in enumerate(sequences):
-            rows = [[self.names.get(f, unknown) for f in word_features(words, j)]
-                    for j in range(len(words))]
-            scores[i, :len(words)] = self.emission[np.array(rows)].sum(axis=1)
-        scores[:, :, 0] += self.caution
-        back = np.zeros((len(sequences), longest, k), dtype=np.int64)
-        best = scores[:, 0].copy()
-        ended = np.zeros((len(sequences), k))
-        ended[sizes == 1] = best[sizes == 1]
+        ids, inside = self.lexicon.line(sequences)
+        scores = self.lexicon.scores(ids, inside)
+        scores[:, 0] += self.caution
+        open_ = self._open(scores, ids, inside)
+        whole = np.zeros(len(ids), dtype=np.int64)
+        at = inside[open_]
+        place = np.full(len(ids), -1)  # of a word's scores
+        place[inside] = np.arange(len(inside))
+        if len(at):
+            breaks = np.flatnonzero(np.diff(at) > 1) + 1
+            begin, end = at[np.r_[0, breaks]], at[np.r_[breaks - 1, len(at) - 1]] + 1
+            order = np.argsort(end - begin, kind="stable")
+            done = 0
+            while done < len(order):  # neighbours in length share a batch: little is padded
+                size = (end - begin)[order[done:]]
+                few = max(1, int(np.searchsorted(size * np.arange(1, len(size) + 1), CELLS, "right")))
+                some = order[done:done + few]
+                self._decode(whole, scores, place, begin[some], end[some])
+                done += few
+        first = np.cumsum([0] + [len(s) + PADDING for s in sequences]) + BEFORE
+        return [whole[a:a + len(s)] for a, s in zip(first, sequences)]
+
+    def _open(self, scores: np.ndarray, ids: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """The words at which a best path can have a tag.
+
+        A tag that is behind none by more than its transitions can gain, from any tags that the
+        words beside it can have, is on no best path: none in its place would be better. What is
+        struck out at a word leaves its neighbours less to gain, so this is done again. Where only
+        none is left the chain falls apart: what lies between is decoded on its own.
+        """
+        k = len(TAGS)
+        sets = (np.arange(1 << k)[:, None] >> np.arange(k)) & 1 == 1
+        at_end = np.zeros((1, k))
+        gains = []
+        for more in (self.transition - self.transition[:, :1], (self.transition - self.transition[:1]).T):
+            most = np.where(sets[1:, :, None], more[None], -np.inf).max(axis=1)
+            gains.append(np.concatenate([at_end, most]))  # set 0: no word there
+        left = np.zeros(len(ids), dtype=np.int64)
+        left[inside] = (1 << k) - 1
+        behind = scores[:, :1] - scores - MARGIN
+        some = np.arange(len(inside))
+        for _ in range(ROUNDS):
+            at = inside[some]
+            can = behind[some] <= gains[0][left[at - 1]] + gains[1][left[at + 1]]
+            can[:, 0] = True
+            left[at] &= np.packbits(can, axis=1, bitorder="little")[:, 0]
+            some = some[left[at] > 1]
+        return left[inside] > 1
+
+    def _decode(self, whole: np.ndarray, scores: np.ndarray, place: np.ndarray, begin: np.ndarray,
+                end: np.ndarray) -> None:
+        """Viterbi over a batch of stretches at once; a word beside a stretch has no tag."""
+        sizes = end - begin
+        longest, k, rows = int(sizes.max()), len(TAGS), np.arange(len(sizes))
+        own = scores[place[np.minimum(begin[:, None] + np.arange(longest), end[:, None] - 1)]]
+        back = np.zeros((len(sizes), longest, k), dtype=np.int8)
+        best = own[:, 0] + np.where(place[begin - 1, None] >= 0, self.transition[0], 0)
+        ended = best.copy()
         for t in range(1, longest):
             step = best[:, :, None] + self.transition[None]
             back[:, t] = step.argmax(axis=1)
-            best = step.max(axis=1) + scores[:, t]
-            ended[sizes == t + 1] = best[sizes == t + 1]
-        out = []
-        for i, size in enumerate(sizes):
-            path = np.zeros(size, dtype=np.int64)
-            path[-1] = ended[i].argmax()
-            for t in range(size - 1, 0, -1):
-                path[t - 1] = back[i, t, path[t]]
-            out.append(path)
+            best = step.max(axis=1) + own[:, t]
+            ended = np.where(sizes[:, None] > t, best, ended)
+        path = (ended + np.where(place[end, None] >= 0, self.transition[:, 0], 0)).argmax(axis=1)
+        for t in range(longest - 1, -1, -1):
+            on = sizes > t
+            whole[begin[on] + t] = path[on]
+            path = np.where(on, back[rows, t, path], path)
+
+
+ROUNDS = 8  # of striking out; what is open then is decoded
+MARGIN = 1e-6  # far above the rounding of a sum of scores
+CELLS = 20_000  # words of stretches decoded at once
+MOST_KEPT = 1 << 17  # distinct words that are kept
+BEFORE, PADDING = 2, 3  # places before a sequence, and before and behind it
+# A short word without digits and brackets has the features of its letters' cases, but for what it says.
+PLAIN = re.compile(r"[^0-9\[({]{1,15}")
+
+
+class Cases(dict):
+    """The shape of each character, by code point."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        shape = "X" if c.isupper() else "x" if c.isalpha() else c
+        return self.setdefault(code, shape)
+
+
+# What is kept of a form: rows of its later own features and of those of its neighbours, and codes
+# of its parts in the features of several words.
+(SIGNS, COLONS, LONG, TURNS, AS_BEFORE, AS_AFTER, SIGNS_BEFORE, SIGNS_AFTER, COARSE, DIGITS,
+ LENGTH) = range(11)
+
+
+class Lexicon(dict):
+    """Distinct words by number: their form, which is all that features see of a word but what it
+    says, times the number of words that features know, plus the number of what it says.
+
+    The scores are the sums of the weights of ``word_features``, in the same order.
+    """
+
+    def __init__(self, names: dict[str, int], emission: np.ndarray):
+        super().__init__()
+        self.names, self.emission, self.unknown = names, emission, len(names)
+        self.codes: list[dict[str, int]] = [{}, {}, {}]  # coarse shapes, digits, words; 0: unknown
+        found = {kind: [] for kind in ("before+own", "own+after", "counts", "long after")}
+        of = {"before+own": (0, 0), "own+after": (0, 0), "counts": (1, 1, 1), "long after": (2, 2)}
+        said: dict[str, list[tuple[int, int]]] = {"said": [], "said first": []}
+        for name, row in names.items():
+            kind, _, rest = name.partition("=")
+            if kind in said:
+                said[kind].append((self.code(2, rest), row))
+            elif kind in of:
+                parts = rest.split(" ")
+                lead = [int(parts.pop(0))] if kind == "long after" else []
+                if len(parts) == len(of[kind]):
+                    found[kind].append(([*lead, *map(self.code, of[kind], parts)], row))
+        self.sizes = [len(c) + 1 for c in self.codes]
+        self.together = {}
+        for kind, rows in found.items():
+            size = self.sizes[of[kind][0]]
+            keys = np.array([self.key(codes, size) for codes, _ in rows] + [-1], dtype=np.int64)
+            order = np.argsort(keys)
+            self.together[kind] = keys[order], np.array([r for _, r in rows] + [self.unknown])[order]
+        self.said = {kind: np.full(self.sizes[2], self.unknown) for kind in said}
+        for kind, rows in said.items():
+            for code, row in rows:
+                self.said[kind][code] = row
+        self.drop()
+
+    def __reduce__(self):
+        return Lexicon, (self.names, self.emission)
+
+    def code(self, of: int, part: str) -> int:
+        return self.codes[of].setdefault(part, len(self.codes[of]) + 1)
+
+    @staticmethod
+    def key(codes, size: int):
+        out = codes[0]
+        for code in codes[1:]:
+            out = out * size + code
+        return out
+
+    def drop(self) -> None:
+        self.clear()
+        self.cases = Cases()
+        self.plain: dict[str, int] = {}
+        self.forms: dict[tuple, int] = {}
+        self.kept = np.zeros((256, LENGTH + 1), dtype=np.int64)
+        self.own = np.zeros((256, len(TAGS)))
+        self.edges = [self.form((), (), edge, edge, "", 0) * self.sizes[2] + self.codes[2].get(edge, 0)
+                      for edge in "^$"]
+
+    def __missing__(self, word: str) -> int:
+        if PLAIN.fullmatch(word):
+            cases = word.translate(self.cases)
+            form = self.plain.get(cases)
+            if form is None:
+                form = self.plain[cases] = self.form_of(cases)
+            said = word.strip(EDGES).lower()
+        else:
+            form, said = self.form_of(word), parts_of(word)[2]
+        self[word] = number = form * self.sizes[2] + self.codes[2].get(said, 0)
+        return number
+
+    def form_of(self, word: str) -> int:
+        head, tail, length = own_features(word)
+        own, digits, _ = parts_of(word)
+        return self.form(head, tail, own, digits, signs_of(word), length)
+
+    def form(self, head, tail, own: str, digits: str, signs: str, length: int) -> int:
+        row, n = self.names.get, self.unknown
+        first = tuple(row(f, n) for f in head)
+        rows = (
+            *([row(f, n) for f in tail] or [n] * 4), row(f"before={own}", n), row(f"after={own}", n),
+            row(f"signs before={signs}", n), row(f"signs after={signs}", n),
+            self.codes[0].get(own, 0), self.codes[1].get(digits, 0), length,
+        )
+        number = self.forms.setdefault((first, rows), len(self.forms))
+        if number == len(self.kept):
+            self.kept = np.concatenate([self.kept, np.zeros_like(self.kept)])
+            self.own = np.concatenate([self.own, np.zeros_like(self.own)])
+        self.kept[number] = rows
+        self.own[number] = 0
+        for f in first:
+            self.own[number] += self.emission[f]
+        return number
+
+    def line(self, sequences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words in one array, with places around each sequence, and where the
+        words are."""
+        if len(self) > MOST_KEPT:
+            self.drop()
+        sizes = np.array([len(s) for s in sequences])
+        words = np.fromiter(map(self.__getitem__, joined.from_iterable(sequences)), np.int64, int(sizes.sum()))
+        inside = np.arange(len(words)) + BEFORE + PADDING * np.repeat(np.arange(len(sizes)), sizes)
+        ids = np.full(len(words) + PADDING * len(sizes), self.edges[0])
+        ids[np.cumsum(sizes + PADDING) - 1] = self.edges[1]
+        ids[inside] = words
+        return ids, inside
+
+    def scores(self, ids: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """What speaks for each tag at each word, before the transitions."""
+        form, said = np.divmod(ids, self.sizes[2])
+        own, before, after = (self.kept[form[inside + d]] for d in (0, -1, 1))
+        said, said_first = said[inside - 1], said[inside - 2]
+        out = self.own[form[inside]]
+
+        def add(rows: np.ndarray) -> None:
+            known = np.flatnonzero(rows != self.unknown)
+            if 2 * len(known) > len(rows):
+                out[:] += self.emission[rows]
+            else:
+                out[known] += self.emission[rows[known]]
+
+        def together(kind: str, size: int, *codes: np.ndarray) -> None:
+            keys, rows = self.together[kind]
+            key = self.key(codes, size)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            add(np.where(keys[at] == key, rows[at], self.unknown))
+
+        coarse, digits, words = self.sizes
+        add(before[:, AS_BEFORE])
+        add(after[:, AS_AFTER])
+        together("before+own", coarse, before[:, COARSE], own[:, COARSE])
+        together("own+after", coarse, own[:, COARSE], after[:, COARSE])
+        together("counts", digits, before[:, DIGITS], own[:, DIGITS], after[:, DIGITS])
+        add(self.said["said"][said])
+        add(self.said["said first"][said_first])
+        add(own[:, SIGNS])
+        add(own[:, COLONS])
+        add(before[:, SIGNS_BEFORE])
+        add(after[:, SIGNS_AFTER])
+        add(own[:, LONG])
+        add(own[:, TURNS])
+        together("long after", words, own[:, LENGTH], said, said_first)
         return out
 
 
@@ -421,49 +651,40 @@ def added_spans(text: str, base: list[Span], parts: list[Chain], tags: list[np.n
         return at == 0 or reach[at - 1] <= begin
 
     for chain, path in zip(parts, tags, strict=True):
-        own = [int(t) if t and free(*span) else 0 for t, span in zip(path, chain.spans, strict=True)]
-        i = 0
-        while i < len(own):
+        own = {i: int(path[i]) for i in np.flatnonzero(path).tolist() if free(*chain.spans[i])}
+        after = 0
+        for i, tag in own.items():
             last = i
-            while own[i] and last < min(i + MOST_WORDS, len(own)) and own[last] == own[i]:
+            while i >= after and last < i + MOST_WORDS and own.get(last) == tag:
                 last += 1
             for j in range(last, i, -1):
-                kind = TAGS[own[i]]
-                begin, end = narrowed(text, chain.spans[i][0], chain.spans[j - 1][1], kind)
-                if begin < end and reads_as(kind, text[begin:end]):
-                    out.append((begin, end, kind))
-                    i = j
+                begin, end = narrowed(text, chain.spans[i][0], chain.spans[j - 1][1], TAGS[tag])
+                if begin < end and reads_as(TAGS[tag], text[begin:end]):
+                    out.append((begin, end, TAGS[tag]))
+                    after = j
                     break
-            else:
-                i += 1
     return out
 
 
 def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
-    """(spans of the patterns, all spans) of each text; the chains of all are decoded together."""
-    base = [base_spans(t) for t in texts]
-    parts = [list(chains(t)) for t in texts]
-    flat = [c for cs in parts for c in cs]
-    tags: list[np.ndarray | None] = [None] * len(flat)
-    order = sorted(range(len(flat)), key=lambda i: len(flat[i].words))
-    begin = 0
-    while begin < len(order):  # neighbours in length share a batch: little is padded
+    """(spans of the patterns, all spans) of each text; the words of many are decoded together."""
+    out, begin = [], 0
+    while begin < len(texts):
         end, size = begin, 0
-        while end < len(order) and (end == begin or size + len(flat[order[end]].words) <= 20_000):
-            size += len(flat[order[end]].words)
+        while end < len(texts) and (end == begin or size + len(texts[end]) <= DECODED):
+            size += len(texts[end])
             end += 1
-        batch = order[begin:end]
-        for i, path in zip(batch, field.tags([flat[i].words for i in batch]), strict=True):
-            tags[i] = path
+        some = texts[begin:end]
+        for text, path in zip(some, field.tags([WORD.findall(t) for t in some]), strict=True):
+            own = base_spans(text)
+            # words without a tag add nothing, so where they stand is not asked
+            more = added_spans(text, own, list(chains(text)), [path]) if path.any() else []
+            out.append((own, in_order([*own, *more])))
         begin = end
-    out, at = [], 0
-    for text, own, cs in zip(texts, base, parts, strict=True):
-        more = added_spans(text, own, cs, tags[at:at + len(cs)])
-        out.append((own, in_order([*own, *more])))
-        at += len(cs)
     return out
 
 
+DECODED = 500_000  # code points of texts decoded at once
 FOUND = pa.schema([
     ("key", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base_sha256", pa.string()),
     ("spans", pa.string()),

@@ -231,3 +231,46 @@ def test_chains_hold_every_word_marked_or_not():
     assert [s for c in pii.chains(text) for s in c.spans] == words
     assert [c.words for c in pii.chains("password hunter two")] == [["password", "hunter", "two"]]
     assert list(pii.chains(" \t \n ")) == []
+
+
+ODD = st.sampled_from(["stone", "River,", "123", "4.5", "(at)", "[dot]", "a@b.co", "+1", "(555)", "token", "=", "key:", "2001:db8::1", "É", "ǅx",
+                       "Ⓐ", "²", "İstanbul", "^", "$", "...", "\xa0x", "٣٤", "deadbeefdeadbeef", "x=y", "a" * 70, "ß.", "10.0.0.1", "日本"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(ODD | st.text("aZé9.,:@+-_[(=)]^$", min_size=1, max_size=20), max_size=9), min_size=1, max_size=4),
+       st.integers(0, 2**32 - 1), st.sampled_from([0.1, 1.0, 3.0]))
+def test_words_said_once_score_and_decode_as_their_features(given_field, sequences, seed, spread):
+    rng = np.random.default_rng(seed)
+    emission = given_field.emission if seed % 2 else rng.normal(size=given_field.emission.shape)
+    emission[-1] = 0
+    model = pii.Field(given_field.names, emission, rng.normal(size=given_field.transition.shape) * spread, 0.5)
+    ids, inside = model.lexicon.line(sequences)
+    got, at = model.lexicon.scores(ids, inside), 0
+    for words, path in zip(sequences, model.tags(sequences), strict=True):
+        assert len(path) == len(words)
+        if not words:
+            continue
+        rows = [[model.names.get(f, len(model.names)) for f in pii.word_features(words, j)] for j in range(len(words))]
+        score = emission[np.array(rows)].sum(axis=1)
+        assert (got[at:at + len(words)] == score).all()
+        at += len(words)
+        score[:, 0] += 0.5
+        best, back = score[:1], []
+        for s in score[1:]:
+            step = best[0][:, None] + model.transition
+            back.append(step.argmax(axis=0))
+            best = (step.max(axis=0) + s)[None]
+        want = [int(best[0].argmax())]
+        for b in reversed(back):
+            want.insert(0, int(b[want[0]]))
+        assert path.tolist() == want
+
+
+def test_a_long_text_costs_what_its_distinct_words_do(given_field, monkeypatch):
+    rng, asked = random.Random(5), []
+    names = [f"{a}{b}" for a in "abcde" for b in ("ra", "4", "lo,", "@x.y", "(at)")]
+    text = " ".join(rng.choices(names, k=5000))
+    monkeypatch.setattr(pii, "parts_of", lambda word, f=pii.parts_of: asked.append(word) or f(word))
+    pii.find([text, text], pii.Field(given_field.names, given_field.emission, given_field.transition, 0.5))
+    assert len(asked) <= 10 * len(names)
